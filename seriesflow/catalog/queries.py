@@ -13,6 +13,7 @@ from seriesflow.functions import columns as C
 from seriesflow.operators import (
     baselines, features, learned, prepare, review, scaling, score, splits, windows,
 )
+from seriesflow.plans.layout import resolve
 from seriesflow.sources import series as sources, sinks
 from seriesflow.sources.storage import new_path
 
@@ -506,7 +507,9 @@ def high_error_review_by_model(spark, folder):
 
 @_query
 def high_error_review_users(spark, folder):
-    rows = review.high_error_review(_user_forecasts(spark, folder))
+    events = tb.user_events(spark, folder)
+    layout = resolve(events)
+    rows = review.high_error_review(baselines.baseline_forecasts(events, layout), layout)
     return rows.select("series_id", "idx", "model", *_REVIEW)
 
 

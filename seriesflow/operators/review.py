@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from seriesflow.config import AUTO, IDX, KEY, REVIEW_STDS, SEED, T, WINDOW, Layout
 from seriesflow.functions import columns as C
-from seriesflow.operators.score import MODEL, leaderboard
+from seriesflow.operators.score import MODEL, result_records
 from seriesflow.plans.layout import BLOCK, block_of, spread_over_blocks
 
 
@@ -23,24 +23,27 @@ def best_model(board: DataFrame) -> DataFrame:
     return rank_models(board, top=1).drop("rank")
 
 
-def best_vs_next(board: DataFrame) -> DataFrame:
-    """Best and second-best model and the RMSE gained between them.
+def _at_rank(rank: int, column: str) -> Column:
+    return F.max(F.when(F.col("rank") == rank, F.col(column)))
 
-    With a single model the columns of the second one are NULL.
-    """
-    def of(rank: int, column: str):
-        return F.max(F.when(F.col("rank") == rank, F.col(column)))
 
+def _pair_columns() -> list[Column]:
+    return [
+        _at_rank(1, "model").alias("best_model"),
+        _at_rank(1, "condition").alias("best_condition"),
+        _at_rank(1, "test_mae").alias("best_mae"),
+        _at_rank(1, "test_rmse").alias("best_rmse"),
+        _at_rank(1, "test_mape_percent").alias("best_mape_percent"),
+        _at_rank(2, "model").alias("next_best_model"),
+        _at_rank(2, "condition").alias("next_best_condition"),
+        _at_rank(2, "test_rmse").alias("next_best_rmse"),
+    ]
+
+
+def _with_gain(pairs: DataFrame) -> DataFrame:
     best, runner_up = F.col("best_rmse"), F.col("next_best_rmse")
-    pair = rank_models(board, top=2).groupBy(KEY).agg(
-        of(1, "model").alias("best_model"), of(1, "condition").alias("best_condition"),
-        of(1, "test_mae").alias("best_mae"), of(1, "test_rmse").alias("best_rmse"),
-        of(1, "test_mape_percent").alias("best_mape_percent"),
-        of(2, "model").alias("next_best_model"), of(2, "condition").alias("next_best_condition"),
-        of(2, "test_rmse").alias("next_best_rmse"),
-    )
     gain = runner_up - best
-    return pair.withColumns({
+    return pairs.withColumns({
         "rmse_improvement": C.report_round(gain, 3),
         "rmse_improvement_percent": C.report_round(
             F.when(runner_up != 0, gain / runner_up * 100), 2
@@ -48,41 +51,61 @@ def best_vs_next(board: DataFrame) -> DataFrame:
     })
 
 
+def best_vs_next(board: DataFrame) -> DataFrame:
+    """Best and second-best model and the RMSE gained between them.
+
+    With a single model the columns of the second one are NULL.
+    """
+    return _with_gain(rank_models(board, top=2).groupBy(KEY).agg(*_pair_columns()))
+
+
 def _abs_error():
     return F.abs(F.col("actual") - F.col("forecast"))
 
 
-def error_thresholds(forecasts: DataFrame, stds: float = REVIEW_STDS) -> DataFrame:
-    """Error above which a period needs review, per series and model."""
+def _model_stats(forecasts: DataFrame, stds: float) -> DataFrame:
+    """Scores and review threshold of every model, from one aggregate."""
+    actual, forecast = F.col("actual"), F.col("forecast")
     return forecasts.groupBy(KEY, *MODEL).agg(
+        C.mae(actual, forecast).alias("mae"),
+        C.rmse(actual, forecast).alias("rmse"),
+        C.mape(actual, forecast).alias("mape"),
         C.error_threshold(_abs_error(), stds).alias("error_threshold"),
         F.max(IDX).alias("_last"),
     )
 
 
-def _join_models(forecasts: DataFrame, per_model: DataFrame, layout: Layout) -> DataFrame:
-    """Join per-model values to the forecast rows.
+def error_thresholds(forecasts: DataFrame, stds: float = REVIEW_STDS) -> DataFrame:
+    """Error above which a period needs review, per series and model."""
+    return _model_stats(forecasts, stds).select(KEY, *MODEL, "error_threshold")
 
-    The join key includes the block of the row, so that the rows of one long
-    series do not meet in a single task.
-    """
-    per_block = spread_over_blocks(per_model, "_last", layout.block_rows)
-    return forecasts.withColumn(BLOCK, block_of(layout.block_rows)).join(
-        per_block, [KEY, *MODEL, BLOCK]
-    ).drop(BLOCK)
+
+def _best_stats(stats: DataFrame) -> DataFrame:
+    board = stats.withColumn("test_rmse", C.report_round(F.col("rmse"), 3))
+    return best_model(board).select(
+        KEY, F.col("model_order").alias("_best"), "error_threshold", "_last"
+    )
 
 
-def _flagged(forecasts: DataFrame, thresholds: DataFrame, layout: Layout) -> DataFrame:
+def _with_errors(rows: DataFrame) -> DataFrame:
     # Both sides are rounded so that float noise cannot flip an equal error.
     flag = F.round(_abs_error(), 6) >= F.round("error_threshold", 6)
-    return _join_models(forecasts, thresholds, layout).withColumns(
-        {"absolute_error": _abs_error(), "high_error_flag": flag}
-    )
+    return rows.withColumns({"absolute_error": _abs_error(), "high_error_flag": flag})
 
 
-def _best_thresholds(forecasts: DataFrame, stds: float) -> DataFrame:
-    best = best_model(leaderboard(forecasts)).select(KEY, *MODEL)
-    return error_thresholds(forecasts, stds).join(best, [KEY, *MODEL])
+def _best_rows(forecasts: DataFrame, best: DataFrame, layout: Layout) -> DataFrame:
+    """Forecast rows of the best model of each series, with its threshold."""
+    # Written as a difference, the choice of the model is no join key: forecasts
+    # already distributed by series are then joined where they are.
+    chosen = F.col("model_order") - F.col("_best") == 0
+    if layout.mode == "plain":
+        rows = forecasts.join(best.drop("_last"), KEY).filter(chosen)
+    else:
+        # Keyed by block as well, the rows of a long series go to many tasks.
+        best = spread_over_blocks(best, "_last", layout.block_rows)
+        rows = forecasts.withColumn(BLOCK, block_of(layout.block_rows))
+        rows = rows.join(best, [KEY, BLOCK]).filter(chosen).drop(BLOCK)
+    return _with_errors(rows.drop("_best"))
 
 
 def _review(rows: DataFrame) -> DataFrame:
@@ -100,14 +123,24 @@ def high_error_review(
     forecasts: DataFrame, layout: Layout = AUTO, stds: float = REVIEW_STDS
 ) -> DataFrame:
     """Forecasts of the best model of each series, flagged where the error is high."""
-    return _review(_flagged(forecasts, _best_thresholds(forecasts, stds), layout))
+    best = _best_stats(_model_stats(forecasts, stds))
+    return _review(_best_rows(forecasts, best, layout))
 
 
 def high_error_review_by_model(
     forecasts: DataFrame, layout: Layout = AUTO, stds: float = REVIEW_STDS
 ) -> DataFrame:
     """The same review for every model."""
-    return _review(_flagged(forecasts, error_thresholds(forecasts, stds), layout))
+    if layout.mode == "plain":
+        group = Window.partitionBy(KEY, *MODEL)
+        threshold = F.avg(_abs_error()).over(group) + F.lit(stds) * F.stddev_pop(
+            _abs_error()
+        ).over(group)
+        return _review(_with_errors(forecasts.withColumn("error_threshold", threshold)))
+    stats = _model_stats(forecasts, stds).select(KEY, *MODEL, "error_threshold", "_last")
+    stats = spread_over_blocks(stats, "_last", layout.block_rows)
+    rows = forecasts.withColumn(BLOCK, block_of(layout.block_rows))
+    return _review(_with_errors(rows.join(stats, [KEY, *MODEL, BLOCK])))
 
 
 def forecast_comparison(forecasts: DataFrame, layout: Layout = AUTO) -> DataFrame:
@@ -124,21 +157,27 @@ def run_summary(
     validation: DataFrame | None = None,
 ) -> DataFrame:
     """One row per series: settings, best models, gain and flagged periods."""
-    board = leaderboard(forecasts, validation)
-    lengths = series.groupBy(KEY).agg(F.count(F.lit(1)).alias("total_observations"))
-    compared = board.groupBy(KEY).agg(
+    stats = _model_stats(forecasts, REVIEW_STDS)
+    ranked = rank_models(result_records(stats, validation, keep=("error_threshold", "_last")))
+    summary = _with_gain(ranked.groupBy(KEY).agg(
         F.count(F.lit(1)).alias("models_compared"),
         F.array_sort(F.collect_set("condition")).alias("conditions_compared"),
+        *_pair_columns(),
+        _at_rank(1, "model_order").alias("_best"),
+        _at_rank(1, "error_threshold").alias("error_threshold"),
+        _at_rank(1, "_last").alias("_last"),
+    ))
+    kept = [c for c in summary.columns if not c.startswith("_")]
+    # The summary travels with the rows it is joined to for the flags, so the
+    # forecasts are gone through twice: for the threshold and for the flags.
+    flagged = _best_rows(forecasts, summary, layout).groupBy(*kept).agg(
+        F.count_if("high_error_flag").alias("high_error_periods_flagged")
     )
-    thresholds = _best_thresholds(forecasts, REVIEW_STDS)
-    flags = _flagged(forecasts, thresholds, layout).groupBy(KEY).agg(
-        F.count_if("high_error_flag").alias("high_error_periods_flagged"),
-        C.report_round(F.max("error_threshold"), 3).alias("review_threshold"),
-    )
+    lengths = series.groupBy(KEY).agg(F.count(F.lit(1)).alias("total_observations"))
     return (
-        lengths.join(compared, KEY)
-        .join(best_vs_next(board), KEY)
-        .join(flags, KEY)
+        flagged.join(lengths, KEY)
+        .withColumn("review_threshold", C.report_round(F.col("error_threshold"), 3))
+        .drop("error_threshold")
         .withColumns({
             "dataset": F.lit(dataset),
             "forecast_horizon": F.lit("1-step ahead"),

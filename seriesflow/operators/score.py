@@ -6,6 +6,7 @@ model_order, actual, forecast``; ``model_order`` decides ties.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -46,11 +47,13 @@ def score(forecasts: DataFrame) -> DataFrame:
     )
 
 
-def result_records(scores: DataFrame, validation: DataFrame | None = None) -> DataFrame:
+def result_records(
+    scores: DataFrame, validation: DataFrame | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
     """Scores in report precision.
 
     ``validation`` has ``condition, model, best_val_mse`` for fitted models;
-    rule-based ones have none.
+    rule-based ones have none. ``keep`` names further columns to pass on.
     """
     if validation is None:
         scores = scores.withColumn("best_val_mse", F.lit(None).cast("double"))
@@ -62,6 +65,7 @@ def result_records(scores: DataFrame, validation: DataFrame | None = None) -> Da
         C.report_round(F.col("mae"), 3).alias("test_mae"),
         C.report_round(F.col("rmse"), 3).alias("test_rmse"),
         C.report_round(F.col("mape"), 2).alias("test_mape_percent"),
+        *keep,
     )
 
 

@@ -15,10 +15,12 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from seriesflow.config import AUTO, IDX, KEY, N, T, TIE, Layout
+from seriesflow.config import AUTO, IDX, KEY, N, PLAIN, T, TIE, Layout
 from seriesflow.sources.storage import store
 
 BLOCK = "_block"
+# Row count up to which a side whose rows have been counted is broadcast.
+BROADCAST_ROWS = 100_000
 WindowColumns = Callable[[WindowSpec], dict[str, Column]]
 
 
@@ -40,6 +42,15 @@ def block_of(block_rows: int) -> Column:
     return F.expr(f"{IDX} div {block_rows}")
 
 
+@dataclass(frozen=True)
+class Lengths:
+    """What is known about the lengths of the series of a table."""
+
+    has_short: bool
+    long_series: int = 0
+    long_rows: int = 0
+
+
 @dataclass(frozen=True)
 class SeriesFrame:
     """Indexed rows of many series: short ones whole, long ones in blocks."""
@@ -48,6 +59,7 @@ class SeriesFrame:
     long: DataFrame | None
     order: tuple[str, ...]
     block_rows: int
+    lengths: Lengths
 
     def map(self, fn: Callable[[DataFrame], DataFrame]) -> SeriesFrame:
         """Apply a row-wise step (projection or filter) to all rows."""
@@ -67,8 +79,11 @@ class SeriesFrame:
             params = long.groupBy(KEY).agg(
                 *[c.alias(k) for k, c in aggs.items()], F.max(IDX).alias("_last")
             )
-            params = spread_over_blocks(params, "_last", self.block_rows)
-            long = long.join(params, [KEY, BLOCK])
+            if self.lengths.long_series <= BROADCAST_ROWS:
+                long = long.join(F.broadcast(params.drop("_last")), KEY)
+            else:
+                params = spread_over_blocks(params, "_last", self.block_rows)
+                long = long.join(params, [KEY, BLOCK])
         return replace(self, short=short, long=long)
 
     def renumber(self, position: str, total: str) -> SeriesFrame:
@@ -87,9 +102,10 @@ class SeriesFrame:
                 F.sum("_rows").over(Window.partitionBy(KEY)).alias(total),
             )
             in_block = Window.partitionBy(KEY, BLOCK).orderBy(IDX)
+            blocks = self.lengths.long_rows // self.block_rows + self.lengths.long_series
             long = (
                 long.withColumn("_local", F.row_number().over(in_block) - 1)
-                .join(starts, [KEY, BLOCK])
+                .join(_broadcast_up_to(starts, blocks), [KEY, BLOCK])
                 .withColumn(position, F.col("_start") + F.col("_local"))
                 .drop("_start", "_local")
             )
@@ -118,45 +134,67 @@ def index_series(
     if max(back, ahead) > layout.block_rows:
         raise ValueError("block_rows must be at least the reach of the windows")
     order = order_columns(df)
-    short, long, long_rows = _by_length(df, layout)
+    lengths = measure_lengths(df, layout)
+    short, long = _by_length(df, lengths, layout)
     if short is not None:
         short = _index_short(short, order, windows)
     if long is not None:
-        long = _index_long(long, order, long_rows, layout)
+        long = _index_long(long, order, lengths, layout)
         if windows is not None:
             long = _over_blocks(long, windows, back, ahead, layout.block_rows)
-    return SeriesFrame(short, long, tuple(order), layout.block_rows)
+    return SeriesFrame(short, long, tuple(order), layout.block_rows, lengths)
 
 
-def _by_length(df: DataFrame, layout: Layout):
-    """Split the rows into those of short and of long series.
+def measure_lengths(df: DataFrame, layout: Layout) -> Lengths:
+    """Count short and long series and the rows of the long ones.
 
-    The one job run here counts rows per series, reading only the key column,
-    and returns a single row.
+    One job that reads only the key column and returns a single row.
     """
     if layout.mode == "plain":
-        return df, None, 0
-    if layout.mode == "blocks":
-        return None, df, df.count()
-    counts = df.groupBy(KEY).agg(F.count(F.lit(1)).alias("_rows"))
-    is_long = F.col("_rows") > layout.block_rows
-    found = counts.agg(
+        return Lengths(has_short=True)
+    is_long = F.lit(True) if layout.mode == "blocks" else F.col("_rows") > layout.block_rows
+    found = _row_counts(df).agg(
         F.count_if(~is_long).alias("short"),
         F.count_if(is_long).alias("long"),
         F.sum(F.when(is_long, F.col("_rows"))).alias("long_rows"),
     ).first()
-    if not found["long"]:
-        return df, None, 0
-    if not found["short"]:
-        return None, df, found["long_rows"]
-    long_keys = counts.filter(is_long).select(KEY)
-    return (
-        df.join(long_keys, KEY, "left_anti"),
-        df.join(long_keys, KEY, "left_semi"),
-        found["long_rows"],
+    return Lengths(
+        has_short=found["short"] > 0 or not found["long"],
+        long_series=found["long"],
+        long_rows=found["long_rows"] or 0,
     )
 
 
+def resolve(df: DataFrame, layout: Layout = AUTO) -> Layout:
+    """The plain layout if no series is long, else the layout as given.
+
+    Resolving once saves the operators that follow from counting again.
+    """
+    return layout if measure_lengths(df, layout).long_series else PLAIN
+
+
+def _row_counts(df: DataFrame) -> DataFrame:
+    return df.groupBy(KEY).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def _broadcast_up_to(small: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a side known to have at most ``rows`` rows, if that is few."""
+    return F.broadcast(small) if rows <= BROADCAST_ROWS else small
+
+
+def _by_length(
+    df: DataFrame, lengths: Lengths, layout: Layout
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """The rows of the short series and those of the long series."""
+    if not lengths.long_series:
+        return df, None
+    if not lengths.has_short:
+        return None, df
+    keys = _row_counts(df).filter(F.col("_rows") > layout.block_rows).select(KEY)
+    keys = _broadcast_up_to(keys, lengths.long_series)
+    return df.join(keys, KEY, "left_anti"), df.join(keys, KEY, "left_semi")
+
+
 def _index_short(df: DataFrame, order: list[str], windows: WindowColumns | None) -> DataFrame:
     # Position and window columns share one Window node; the length of the
     # series needs a second one but no second shuffle.
@@ -169,16 +207,16 @@ def _index_short(df: DataFrame, order: list[str], windows: WindowColumns | None)
     ).withColumn(N, F.count(F.lit(1)).over(Window.partitionBy(KEY)))
 
 
-def _index_long(df: DataFrame, order: list[str], rows: int, layout: Layout) -> DataFrame:
+def _index_long(df: DataFrame, order: list[str], lengths: Lengths, layout: Layout) -> DataFrame:
     """Number the rows of long series without one task seeing a whole series.
 
     Range partitions on key and order are balanced however skewed the keys.
     They are written out before use: the row positions must not change when a
     lost task is run again. Only counts per partition are then summed up.
     """
-    parts = min(ceil(rows / layout.block_rows), layout.max_range_partitions)
+    parts = min(ceil(lengths.long_rows / layout.block_rows), layout.max_range_partitions)
     placed = store(
-        df.repartitionByRange(max(parts, 1), KEY, *order)
+        df.repartitionByRange(parts, KEY, *order)
         .sortWithinPartitions(KEY, *order)
         .withColumn("_pos", F.monotonically_increasing_id()),
         "positions",
@@ -192,7 +230,7 @@ def _index_long(df: DataFrame, order: list[str], rows: int, layout: Layout) -> D
         F.sum("_rows").over(Window.partitionBy(KEY)).alias(N),
     )
     return (
-        placed.join(starts, [KEY, "_piece"])
+        placed.join(_broadcast_up_to(starts, parts + lengths.long_series), [KEY, "_piece"])
         .withColumn(IDX, F.col("_pos") + F.col("_shift"))
         .withColumn(BLOCK, block_of(layout.block_rows))
         .drop("_pos", "_piece", "_shift")
@@ -204,11 +242,14 @@ def _over_blocks(
 ) -> DataFrame:
     block, in_block = F.col(BLOCK), F.col(IDX) % block_rows
     last_block = F.expr(f"({N} - 1) div {block_rows}")
-    homes = F.array_compact(F.array(
-        block,
-        F.when((in_block >= block_rows - back) & (block < last_block), block + 1),
-        F.when((in_block < ahead) & (block > 0), block - 1),
-    ))
+    to_next = (in_block >= block_rows - back) & (block < last_block)
+    to_previous = (in_block < ahead) & (block > 0)
+    homes = (
+        F.when(to_next & to_previous, F.array(block, block + 1, block - 1))
+        .when(to_next, F.array(block, block + 1))
+        .when(to_previous, F.array(block, block - 1))
+        .otherwise(F.array(block))
+    )
     copied = df.withColumn(BLOCK, F.explode(homes))
     ordered = Window.partitionBy(KEY, BLOCK).orderBy(IDX)
     extra = windows(ordered)
