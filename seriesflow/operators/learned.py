@@ -7,15 +7,13 @@ next difference, from which the level is then rebuilt.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Model
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, functions as F
-from pyspark.storagelevel import StorageLevel
 
 from seriesflow.config import (
     AUTO, BASELINE_MODELS, IDX, KEY, MIN_GAIN, PATIENCE, SEED, SPLIT, T, TEST, TRAIN,
@@ -23,6 +21,7 @@ from seriesflow.config import (
 )
 from seriesflow.operators.scaling import unscaled
 from seriesflow.operators.windows import supervised_rows
+from seriesflow.sources.storage import store
 
 LEVEL, DELTA = "Learned - no differencing", "Learned - differencing"
 _LABELS = {LEVEL: "level_target", DELTA: "delta_target"}
@@ -75,18 +74,17 @@ def learning_rows(df: DataFrame, layout: Layout = AUTO, length: int = WINDOW) ->
     return rows.withColumn("features", vector)
 
 
-@contextmanager
-def _fitting_data(rows: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
-    # The fits pass over these rows many times. Lost blocks are rebuilt from lineage.
-    held = (
-        rows.filter(F.col("usable") & F.col(SPLIT).isin(TRAIN, VALIDATION))
-        .select(SPLIT, "features", *_LABELS.values())
-        .persist(StorageLevel.MEMORY_AND_DISK)
+def _fitting_data(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Training and validation rows, written out once.
+
+    The fits pass over them many times; read from a table, a lost executor
+    does not send each pass back through the windows.
+    """
+    usable = rows.filter(F.col("usable") & F.col(SPLIT).isin(TRAIN, VALIDATION))
+    kept = store(
+        usable.select("features", *_LABELS.values(), SPLIT), "windows", partition_by=SPLIT
     )
-    try:
-        yield held.filter(F.col(SPLIT) == TRAIN), held.filter(F.col(SPLIT) == VALIDATION)
-    finally:
-        held.unpersist()
+    return kept.filter(F.col(SPLIT) == TRAIN), kept.filter(F.col(SPLIT) == VALIDATION)
 
 
 def _fit_linear(train, validation, settings: LearnedSettings) -> dict[str, tuple]:
@@ -141,10 +139,10 @@ _FITS = {LINEAR: _fit_linear, BOOSTED: _fit_boosted}
 
 def fit_models(rows: DataFrame, settings: LearnedSettings = LearnedSettings()) -> list[Fitted]:
     """Fit every model under both conditions; none if there is no training window."""
-    with _fitting_data(rows) as (train, validation):
-        if train.isEmpty():
-            return []
-        fits = {name: _FITS[name](train, validation, settings) for name in settings.models}
+    train, validation = _fitting_data(rows)
+    if train.isEmpty():
+        return []
+    fits = {name: _FITS[name](train, validation, settings) for name in settings.models}
     pairs = [(c, name) for c in _LABELS for name in settings.models]
     return [
         Fitted(c, name, len(BASELINE_MODELS) + i, *fits[name][c])

@@ -32,9 +32,10 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+def store(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    writer = df.write if partition_by is None else df.write.partitionBy(partition_by)
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
