@@ -40,13 +40,18 @@ def make_series(spark):
     return make
 
 
-LAYOUTS = [Layout("plain"), Layout("auto"), Layout("auto", block_rows=30), Layout("blocks", block_rows=30)]
+LAYOUTS = [
+    Layout("plain"), Layout("auto"), Layout("auto", block_rows=30), Layout("blocks", block_rows=30),
+]
 
 
 def rows_of(df, *keys):
     """Rows as dicts in a fixed order."""
-    key = lambda row: tuple(str(row[k]).rjust(20) for k in keys)
-    return sorted((r.asDict() for r in df.collect()), key=key)
+    return in_order([r.asDict() for r in df.collect()], keys)
+
+
+def in_order(rows, keys):
+    return sorted(rows, key=lambda row: tuple(str(row[k]).rjust(20) for k in keys))
 
 
 def same(a, b, tolerance=1e-9):
