@@ -181,7 +181,7 @@ def test_slice(spark, folder):
 
 @_query
 def window_counts(spark, folder):
-    return splits.window_counts(tb.monthly_orders(spark, folder), MONTHLY)
+    return splits.window_counts(tb.monthly_orders(spark, folder))
 
 
 # --- features --------------------------------------------------------------

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from seriesflow.config import (
-    N, REVIEW_STDS, TEST, TRAIN, TRAIN_SHARE, VALIDATION, VALIDATION_SHARE,
+    N, TEST, TRAIN, TRAIN_SHARE, VALIDATION, VALIDATION_SHARE,
     ZERO_ACTUAL,
 )
 
@@ -47,14 +47,14 @@ def rmse(actual: Column, forecast: Column) -> Column:
     return F.sqrt(F.avg(error * error))
 
 
-def mape(actual: Column, forecast: Column) -> Column:
-    """Percentage error over the rows whose actual is neither zero nor NaN."""
+def error_share(actual: Column, forecast: Column) -> Column:
+    """Error as a share of the actual; NULL where that is zero or NaN."""
     share = F.when(F.abs(actual) >= ZERO_ACTUAL, F.abs((actual - forecast) / actual))
-    return F.avg(F.nanvl(share, F.lit(None).cast("double"))) * 100
+    return F.nanvl(share, F.lit(None).cast("double"))
 
 
-def error_threshold(abs_error: Column, stds: float = REVIEW_STDS) -> Column:
-    return F.avg(abs_error) + F.lit(stds) * F.stddev_pop(abs_error)
+def mape(actual: Column, forecast: Column) -> Column:
+    return F.avg(error_share(actual, forecast)) * 100
 
 
 def report_round(value: Column, places: int) -> Column:

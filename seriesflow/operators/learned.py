@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression
@@ -116,9 +118,9 @@ def _fit_linear(train, validation, settings: LearnedSettings) -> dict[str, tuple
 
 def _fit_boosted(train, validation, settings: LearnedSettings) -> dict[str, tuple]:
     """Boosted trees with as many rounds as patience on the validation curve keeps."""
-    chosen = {}
     has_validation = not validation.isEmpty()
-    for condition, label in _LABELS.items():
+
+    def fit(label: str) -> tuple:
         trees = GBTRegressor(
             labelCol=label, maxDepth=settings.depth, maxIter=settings.max_rounds, seed=SEED
         )
@@ -130,8 +132,12 @@ def _fit_boosted(train, validation, settings: LearnedSettings) -> dict[str, tupl
             if kept + 1 < rounds:
                 rounds = kept + 1
                 model = trees.setMaxIter(rounds).fit(train)
-        chosen[condition] = (model, loss, f"rounds={rounds}")
-    return chosen
+        return model, loss, f"rounds={rounds}"
+
+    # Boosting is a long chain of small jobs; the two conditions run side by side.
+    with ThreadPool(len(_LABELS)) as pool:
+        fits = pool.map(inheritable_thread_target(train.sparkSession)(fit), _LABELS.values())
+    return dict(zip(_LABELS, fits))
 
 
 _FITS = {LINEAR: _fit_linear, BOOSTED: _fit_boosted}

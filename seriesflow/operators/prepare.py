@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
 
-from seriesflow.config import AUTO, KEY, T, TIE, VALIDATION, TEST, TRAIN, WINDOW, Y, Layout
+from seriesflow.config import AUTO, KEY, LAGS, T, TIE, WINDOW, Y, Layout
 from seriesflow.functions import columns as C
-from seriesflow.operators.features import feature_table
-from seriesflow.operators.splits import split_counts
+from seriesflow.plans.layout import index_series
 
 
 def prepare_series(
@@ -21,7 +20,7 @@ def prepare_series(
 
 
 def _per_period(df: DataFrame) -> DataFrame:
-    """One row per series and period with the counts all reports are made of.
+    """Rows, missing and NaN values per series and period.
 
     The missing period counts as a period of its own.
     """
@@ -44,24 +43,42 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     return _per_period(df).groupBy(KEY).agg(F.sum(F.col("_rows") - 1).alias("duplicate_rows"))
 
 
+def _report_windows(w: WindowSpec) -> dict[str, Column]:
+    return {
+        "_lag": F.lag(Y, max(LAGS)).over(w),
+        "_next": F.lead(Y, 1).over(w),
+        "_before": F.lag(F.struct(T), 1).over(w),
+        "_before_that": F.lag(F.struct(T), 2).over(w),
+    }
+
+
 def prep_report(df: DataFrame, layout: Layout = AUTO) -> DataFrame:
-    """Quality counts, size of the feature table and its splits, per series."""
-    quality = _per_period(df).groupBy(KEY).agg(
-        F.sum("_rows").alias("raw_rows"),
-        F.coalesce(F.sum(F.when(F.col(T).isNull(), F.col("_rows"))), F.lit(0)).alias(
-            "missing_months"
-        ),
-        F.sum("_missing").alias("missing_values"),
-        F.sum("_nan").alias("nan_values"),
-        F.count_if(F.col("_rows") > 1).alias("duplicate_groups"),
-        F.sum(F.col("_rows") - 1).alias("duplicate_rows"),
+    """Quality counts, size of the feature table and its splits, per series.
+
+    Rows of one period are neighbours in the order the features need anyway,
+    so duplicates are counted there, without grouping by period as well. The
+    split sizes follow from the number of feature rows.
+    """
+    rows = index_series(df, layout, _report_windows, back=max(LAGS), ahead=1).df
+    # The struct tells a missing period from there being no row before.
+    repeated = F.col("_before").isNotNull() & F.col("_before.t").eqNullSafe(F.col(T))
+    second = repeated & ~(
+        F.col("_before_that").isNotNull() & F.col("_before_that.t").eqNullSafe(F.col(T))
     )
-    parts = split_counts(feature_table(df, layout))
-    return quality.join(parts, KEY, "left").select(
-        *quality.columns,
-        F.coalesce("total_rows", F.lit(0)).alias("feature_rows"),
-        *[F.coalesce(f"{s}_rows", F.lit(0)).alias(f"{s}_rows") for s in (TRAIN, VALIDATION, TEST)],
+    counts = rows.groupBy(KEY).agg(
+        F.count(F.lit(1)).alias("raw_rows"),
+        F.count_if(F.col(T).isNull()).alias("missing_months"),
+        F.count_if(F.col(Y).isNull()).alias("missing_values"),
+        F.count_if(F.isnan(Y)).alias("nan_values"),
+        F.count_if(second).alias("duplicate_groups"),
+        F.count_if(repeated).alias("duplicate_rows"),
+        F.count_if(F.col("_lag").isNotNull() & F.col("_next").isNotNull()).alias("feature_rows"),
     )
+    n = F.col("feature_rows")
+    train, validation = C.train_end(n), C.validation_end(n)
+    return counts.withColumns({
+        "train_rows": train, "validation_rows": validation - train, "test_rows": n - validation,
+    })
 
 
 def data_quality_report(df: DataFrame, dataset: str, window: int = WINDOW) -> DataFrame:

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from seriesflow.config import AUTO, IDX, KEY, REVIEW_STDS, SEED, T, WINDOW, Layout
 from seriesflow.functions import columns as C
-from seriesflow.operators.score import MODEL, result_records
-from seriesflow.plans.layout import BLOCK, block_of, spread_over_blocks
+from seriesflow.operators.score import MODEL, report_metrics
+from seriesflow.plans.layout import BLOCK, block_of, join_series, spread_over_blocks
+
+
+def _by_rmse() -> WindowSpec:
+    return Window.partitionBy(KEY).orderBy(F.col("test_rmse").asc_nulls_last(), "model_order")
 
 
 def rank_models(board: DataFrame, top: int | None = None) -> DataFrame:
     """Rank by rounded RMSE; equal RMSE keeps the order of the models."""
     # A series has one row per model here, however many observations it has.
-    order = Window.partitionBy(KEY).orderBy(F.col("test_rmse").asc_nulls_last(), "model_order")
-    ranked = board.withColumn("rank", F.row_number().over(order).cast("bigint"))
+    ranked = board.withColumn("rank", F.row_number().over(_by_rmse()).cast("bigint"))
     return ranked if top is None else ranked.filter(F.col("rank") <= top)
 
 
@@ -59,53 +62,60 @@ def best_vs_next(board: DataFrame) -> DataFrame:
     return _with_gain(rank_models(board, top=2).groupBy(KEY).agg(*_pair_columns()))
 
 
-def _abs_error():
+def _abs_error() -> Column:
     return F.abs(F.col("actual") - F.col("forecast"))
 
 
-def _model_stats(forecasts: DataFrame, stds: float) -> DataFrame:
-    """Scores and review threshold of every model, from one aggregate."""
+def _error_aggregates() -> dict[str, Column]:
     actual, forecast = F.col("actual"), F.col("forecast")
-    return forecasts.groupBy(KEY, *MODEL).agg(
-        C.mae(actual, forecast).alias("mae"),
-        C.rmse(actual, forecast).alias("rmse"),
-        C.mape(actual, forecast).alias("mape"),
-        C.error_threshold(_abs_error(), stds).alias("error_threshold"),
-        F.max(IDX).alias("_last"),
+    return {
+        "_mean": F.avg(_abs_error()),
+        "_square": F.avg((actual - forecast) * (actual - forecast)),
+        "_share": F.avg(C.error_share(actual, forecast)),
+        "_spread": F.stddev_pop(_abs_error()),
+    }
+
+
+def _with_metrics(df: DataFrame, stds: float) -> DataFrame:
+    """Report metrics and review threshold in place of the aggregates."""
+    mean, square, share, spread = (F.col(c) for c in _error_aggregates())
+    metrics = report_metrics(mean, F.sqrt(square), share * 100)
+    return df.withColumns(metrics | {"error_threshold": mean + F.lit(stds) * spread}).drop(
+        *_error_aggregates()
     )
 
 
 def error_thresholds(forecasts: DataFrame, stds: float = REVIEW_STDS) -> DataFrame:
     """Error above which a period needs review, per series and model."""
-    return _model_stats(forecasts, stds).select(KEY, *MODEL, "error_threshold")
-
-
-def _best_stats(stats: DataFrame) -> DataFrame:
-    board = stats.withColumn("test_rmse", C.report_round(F.col("rmse"), 3))
-    return best_model(board).select(
-        KEY, F.col("model_order").alias("_best"), "error_threshold", "_last"
+    stats = forecasts.groupBy(KEY, *MODEL).agg(
+        *[c.alias(name) for name, c in _error_aggregates().items()]
     )
+    return _with_metrics(stats, stds).select(KEY, *MODEL, "error_threshold")
 
 
-def _with_errors(rows: DataFrame) -> DataFrame:
-    # Both sides are rounded so that float noise cannot flip an equal error.
-    flag = F.round(_abs_error(), 6) >= F.round("error_threshold", 6)
-    return rows.withColumns({"absolute_error": _abs_error(), "high_error_flag": flag})
-
-
-def _best_rows(forecasts: DataFrame, best: DataFrame, layout: Layout) -> DataFrame:
-    """Forecast rows of the best model of each series, with its threshold."""
-    # Written as a difference, the choice of the model is no join key: forecasts
-    # already distributed by series are then joined where they are.
-    chosen = F.col("model_order") - F.col("_best") == 0
+def ranked_errors(
+    forecasts: DataFrame, layout: Layout = AUTO, stds: float = REVIEW_STDS
+) -> DataFrame:
+    """Forecast rows with error, flag, and metrics, threshold and rank of their model."""
+    aggregates = _error_aggregates()
     if layout.mode == "plain":
-        rows = forecasts.join(best.drop("_last"), KEY).filter(chosen)
+        # Forecasts stay distributed by series: no join, no further shuffle.
+        group = Window.partitionBy(KEY, *MODEL)
+        rows = forecasts.select("*", *[c.over(group).alias(k) for k, c in aggregates.items()])
+        rows = _with_metrics(rows, stds)
+        rows = rows.withColumn("rank", F.dense_rank().over(_by_rmse()).cast("bigint"))
     else:
+        stats = forecasts.groupBy(KEY, *MODEL).agg(
+            *[c.alias(k) for k, c in aggregates.items()], F.max(IDX).alias("_last")
+        )
+        stats = rank_models(_with_metrics(stats, stds))
         # Keyed by block as well, the rows of a long series go to many tasks.
-        best = spread_over_blocks(best, "_last", layout.block_rows)
+        stats = spread_over_blocks(stats, "_last", layout.block_rows)
         rows = forecasts.withColumn(BLOCK, block_of(layout.block_rows))
-        rows = rows.join(best, [KEY, BLOCK]).filter(chosen).drop(BLOCK)
-    return _with_errors(rows.drop("_best"))
+        rows = join_series(rows, stats, *MODEL, BLOCK).drop(BLOCK)
+    # Both sides are rounded so that float noise cannot flip an equal error.
+    flag = F.round(_abs_error(), 6) >= F.round("error_threshold", 6)
+    return rows.withColumns({"absolute_error": _abs_error(), "high_error_flag": flag})
 
 
 def _review(rows: DataFrame) -> DataFrame:
@@ -123,24 +133,14 @@ def high_error_review(
     forecasts: DataFrame, layout: Layout = AUTO, stds: float = REVIEW_STDS
 ) -> DataFrame:
     """Forecasts of the best model of each series, flagged where the error is high."""
-    best = _best_stats(_model_stats(forecasts, stds))
-    return _review(_best_rows(forecasts, best, layout))
+    return _review(ranked_errors(forecasts, layout, stds).filter(F.col("rank") == 1))
 
 
 def high_error_review_by_model(
     forecasts: DataFrame, layout: Layout = AUTO, stds: float = REVIEW_STDS
 ) -> DataFrame:
     """The same review for every model."""
-    if layout.mode == "plain":
-        group = Window.partitionBy(KEY, *MODEL)
-        threshold = F.avg(_abs_error()).over(group) + F.lit(stds) * F.stddev_pop(
-            _abs_error()
-        ).over(group)
-        return _review(_with_errors(forecasts.withColumn("error_threshold", threshold)))
-    stats = _model_stats(forecasts, stds).select(KEY, *MODEL, "error_threshold", "_last")
-    stats = spread_over_blocks(stats, "_last", layout.block_rows)
-    rows = forecasts.withColumn(BLOCK, block_of(layout.block_rows))
-    return _review(_with_errors(rows.join(stats, [KEY, *MODEL, BLOCK])))
+    return _review(ranked_errors(forecasts, layout, stds))
 
 
 def forecast_comparison(forecasts: DataFrame, layout: Layout = AUTO) -> DataFrame:
@@ -150,38 +150,21 @@ def forecast_comparison(forecasts: DataFrame, layout: Layout = AUTO) -> DataFram
 
 
 def run_summary(
-    series: DataFrame,
-    forecasts: DataFrame,
-    dataset: str,
-    layout: Layout = AUTO,
-    validation: DataFrame | None = None,
+    series: DataFrame, forecasts: DataFrame, dataset: str, layout: Layout = AUTO
 ) -> DataFrame:
     """One row per series: settings, best models, gain and flagged periods."""
-    stats = _model_stats(forecasts, REVIEW_STDS)
-    ranked = rank_models(result_records(stats, validation, keep=("error_threshold", "_last")))
-    summary = _with_gain(ranked.groupBy(KEY).agg(
-        F.count(F.lit(1)).alias("models_compared"),
+    best = F.col("rank") == 1
+    compared = ranked_errors(forecasts, layout).groupBy(KEY).agg(
+        F.max("rank").alias("models_compared"),
         F.array_sort(F.collect_set("condition")).alias("conditions_compared"),
         *_pair_columns(),
-        _at_rank(1, "model_order").alias("_best"),
-        _at_rank(1, "error_threshold").alias("error_threshold"),
-        _at_rank(1, "_last").alias("_last"),
-    ))
-    kept = [c for c in summary.columns if not c.startswith("_")]
-    # The summary travels with the rows it is joined to for the flags, so the
-    # forecasts are gone through twice: for the threshold and for the flags.
-    flagged = _best_rows(forecasts, summary, layout).groupBy(*kept).agg(
-        F.count_if("high_error_flag").alias("high_error_periods_flagged")
+        F.count_if(best & F.col("high_error_flag")).alias("high_error_periods_flagged"),
+        C.report_round(_at_rank(1, "error_threshold"), 3).alias("review_threshold"),
     )
     lengths = series.groupBy(KEY).agg(F.count(F.lit(1)).alias("total_observations"))
-    return (
-        flagged.join(lengths, KEY)
-        .withColumn("review_threshold", C.report_round(F.col("error_threshold"), 3))
-        .drop("error_threshold")
-        .withColumns({
-            "dataset": F.lit(dataset),
-            "forecast_horizon": F.lit("1-step ahead"),
-            "window_length": F.lit(WINDOW).cast("bigint"),
-            "seed": F.lit(SEED).cast("bigint"),
-        })
-    )
+    return join_series(_with_gain(compared), lengths).withColumns({
+        "dataset": F.lit(dataset),
+        "forecast_horizon": F.lit("1-step ahead"),
+        "window_length": F.lit(WINDOW).cast("bigint"),
+        "seed": F.lit(SEED).cast("bigint"),
+    })

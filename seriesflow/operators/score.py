@@ -6,13 +6,13 @@ model_order, actual, forecast``; ``model_order`` decides ties.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from seriesflow.config import IDX, KEY, T, Y
 from seriesflow.functions import columns as C
+from seriesflow.plans.layout import join_series
 
 MODEL = ["condition", "model", "model_order"]
 COLUMNS = [KEY, T, IDX, *MODEL, "actual", "forecast"]
@@ -30,11 +30,8 @@ def join_forecasts(actuals: DataFrame, forecasts: DataFrame) -> DataFrame:
     spread evenly even when one series holds most rows.
     """
     made = forecasts.select(KEY, IDX, *MODEL, "forecast")
-    return (
-        actuals.select(KEY, T, IDX, F.col(Y).alias("actual"))
-        .join(made, [KEY, IDX])
-        .select(*COLUMNS)
-    )
+    seen = actuals.select(KEY, T, IDX, F.col(Y).alias("actual"))
+    return join_series(seen, made, IDX).select(*COLUMNS)
 
 
 def score(forecasts: DataFrame) -> DataFrame:
@@ -47,13 +44,20 @@ def score(forecasts: DataFrame) -> DataFrame:
     )
 
 
-def result_records(
-    scores: DataFrame, validation: DataFrame | None = None, keep: Sequence[str] = ()
-) -> DataFrame:
+def report_metrics(mae: Column, rmse: Column, mape: Column) -> dict[str, Column]:
+    """Metrics in report precision."""
+    return {
+        "test_mae": C.report_round(mae, 3),
+        "test_rmse": C.report_round(rmse, 3),
+        "test_mape_percent": C.report_round(mape, 2),
+    }
+
+
+def result_records(scores: DataFrame, validation: DataFrame | None = None) -> DataFrame:
     """Scores in report precision.
 
     ``validation`` has ``condition, model, best_val_mse`` for fitted models;
-    rule-based ones have none. ``keep`` names further columns to pass on.
+    rule-based ones have none.
     """
     if validation is None:
         scores = scores.withColumn("best_val_mse", F.lit(None).cast("double"))
@@ -62,10 +66,7 @@ def result_records(
     return scores.select(
         KEY, *MODEL,
         C.report_round(F.col("best_val_mse"), 6).alias("best_val_mse"),
-        C.report_round(F.col("mae"), 3).alias("test_mae"),
-        C.report_round(F.col("rmse"), 3).alias("test_rmse"),
-        C.report_round(F.col("mape"), 2).alias("test_mape_percent"),
-        *keep,
+        *[c.alias(k) for k, c in report_metrics(*map(F.col, ("mae", "rmse", "mape"))).items()],
     )
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from seriesflow.config import (
-    AUTO, IDX, KEY, SPLIT, TEST, TRAIN, VALIDATION, WINDOW, Layout,
+    AUTO, IDX, KEY, N, SPLIT, TEST, TRAIN, VALIDATION, WINDOW, Layout,
 )
-from seriesflow.functions.columns import split_label
+from seriesflow.functions.columns import split_label, train_end, validation_end
 from seriesflow.plans.layout import index_series
 
 
@@ -34,12 +34,18 @@ def split_counts(labelled: DataFrame) -> DataFrame:
     )
 
 
-def window_counts(df: DataFrame, layout: Layout = AUTO, window: int = WINDOW) -> DataFrame:
-    """Number of full input windows whose target lies in each split."""
-    full = split_raw(df, layout).withColumn("_full", F.col(IDX) >= window)
-    return full.groupBy(KEY).agg(
-        *[
-            F.count_if(F.col("_full") & (F.col(SPLIT) == s)).alias(f"{s}_windows")
-            for s in (TRAIN, VALIDATION, TEST)
-        ]
-    )
+def window_counts(df: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Number of full input windows whose target lies in each split.
+
+    They follow from the length of the series, so its rows need no order.
+    """
+    n = F.col(N)
+    # First and last-plus-one target position of each split.
+    ends = [F.lit(0), train_end(), validation_end(), n]
+    sizes = [
+        F.greatest(end - F.greatest(start, F.lit(window)), F.lit(0)).cast("bigint")
+        for start, end in zip(ends, ends[1:])
+    ]
+    names = [f"{s}_windows" for s in (TRAIN, VALIDATION, TEST)]
+    lengths = df.groupBy(KEY).agg(F.count(F.lit(1)).alias(N))
+    return lengths.select(KEY, *[c.alias(name) for name, c in zip(names, sizes)])

@@ -38,6 +38,15 @@ def spread_over_blocks(params: DataFrame, last_idx: str, block_rows: int) -> Dat
     return params.withColumn(BLOCK, F.explode(blocks)).drop(last_idx)
 
 
+def join_series(left: DataFrame, right: DataFrame, *also: str, how: str = "inner") -> DataFrame:
+    """Join on the series, and on further columns, keeping a NULL key as a series."""
+    keys = [KEY, *also]
+    right = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    matches = [F.col(KEY).eqNullSafe(F.col(f"_right_{KEY}"))]
+    matches += [F.col(k) == F.col(f"_right_{k}") for k in also]
+    return left.join(right, matches, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def block_of(block_rows: int) -> Column:
     return F.expr(f"{IDX} div {block_rows}")
 
@@ -80,10 +89,10 @@ class SeriesFrame:
                 *[c.alias(k) for k, c in aggs.items()], F.max(IDX).alias("_last")
             )
             if self.lengths.long_series <= BROADCAST_ROWS:
-                long = long.join(F.broadcast(params.drop("_last")), KEY)
+                long = join_series(long, F.broadcast(params.drop("_last")))
             else:
                 params = spread_over_blocks(params, "_last", self.block_rows)
-                long = long.join(params, [KEY, BLOCK])
+                long = join_series(long, params, BLOCK)
         return replace(self, short=short, long=long)
 
     def renumber(self, position: str, total: str) -> SeriesFrame:
@@ -103,9 +112,9 @@ class SeriesFrame:
             )
             in_block = Window.partitionBy(KEY, BLOCK).orderBy(IDX)
             blocks = self.lengths.long_rows // self.block_rows + self.lengths.long_series
+            long = long.withColumn("_local", F.row_number().over(in_block) - 1)
             long = (
-                long.withColumn("_local", F.row_number().over(in_block) - 1)
-                .join(_broadcast_up_to(starts, blocks), [KEY, BLOCK])
+                join_series(long, _broadcast_up_to(starts, blocks), BLOCK)
                 .withColumn(position, F.col("_start") + F.col("_local"))
                 .drop("_start", "_local")
             )
@@ -192,7 +201,7 @@ def _by_length(
         return None, df
     keys = _row_counts(df).filter(F.col("_rows") > layout.block_rows).select(KEY)
     keys = _broadcast_up_to(keys, lengths.long_series)
-    return df.join(keys, KEY, "left_anti"), df.join(keys, KEY, "left_semi")
+    return join_series(df, keys, how="left_anti"), join_series(df, keys, how="left_semi")
 
 
 def _index_short(df: DataFrame, order: list[str], windows: WindowColumns | None) -> DataFrame:
@@ -230,7 +239,7 @@ def _index_long(df: DataFrame, order: list[str], lengths: Lengths, layout: Layou
         F.sum("_rows").over(Window.partitionBy(KEY)).alias(N),
     )
     return (
-        placed.join(_broadcast_up_to(starts, parts + lengths.long_series), [KEY, "_piece"])
+        join_series(placed, _broadcast_up_to(starts, parts + lengths.long_series), "_piece")
         .withColumn(IDX, F.col("_pos") + F.col("_shift"))
         .withColumn(BLOCK, block_of(layout.block_rows))
         .drop("_pos", "_piece", "_shift")

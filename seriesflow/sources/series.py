@@ -39,8 +39,8 @@ def load_series(
 ) -> DataFrame:
     """Give the columns of any table the series roles.
 
-    The key must not be NULL. Rows of one series with equal time need a
-    tiebreak, as a table has no row order to fall back on.
+    Rows of one series with equal time need a tiebreak, as a table has no row
+    order to fall back on. Rows without a key form a series of their own.
     """
     columns = [key.alias(KEY), time.alias(TIME), value.alias(Y)]
     if tiebreak is not None:

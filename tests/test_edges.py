@@ -36,6 +36,15 @@ def test_windows_need_24_earlier_values(by_length):
     counts = {r.series_id: r["count"] for r in
               windows.window_arrays(by_length, PLAIN).groupBy("series_id").count().collect()}
     assert counts == {f"n{n}": n - 24 for n in LENGTHS if n > 24}
+    labelled = windows.supervised_rows(by_length, PLAIN)
+    by_split = {r.series_id: r for r in splits.split_counts(labelled).collect()}
+    for row in splits.window_counts(by_length).collect():
+        if row.series_id in by_split:
+            seen = by_split[row.series_id]
+            assert (row.train_windows, row.validation_windows, row.test_windows) == (
+                seen.train_rows, seen.validation_rows, seen.test_rows)
+        else:
+            assert row.train_windows + row.validation_windows + row.test_windows == 0
     report = {r.series_id: r for r in prepare.data_quality_report(by_length, "d").collect()}
     assert report["n24"].train_windows == 0 and report["n90"].train_windows == 38
 
@@ -154,6 +163,9 @@ def test_quality_counts(dirty):
     # January and the missing month occur more than once.
     assert (a.duplicate_groups, a.duplicate_rows) == (2, 3)
     assert (a.feature_rows, a.train_rows, a.test_rows) == (0, 0, 0)
+    for layout in (PLAIN, Layout("blocks", block_rows=12)):
+        again = prepare.prep_report(dirty, layout)
+        assert rows_of(again, "series_id") == [rows[k].asDict() for k in ("a", "b")]
     assert rows["b"].raw_rows == 1 and rows["b"].duplicate_groups == 0
     assert {r.series_id: r.duplicate_groups for r in prepare.duplicate_groups(dirty).collect()} == {
         "a": 2, "b": 0}

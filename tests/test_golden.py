@@ -55,9 +55,8 @@ def test_quality_report(air):
     assert (row.train_windows, row.validation_windows, row.test_windows) == (76, 22, 22)
 
 
-@pytest.mark.parametrize("layout", LAYOUTS, ids=str)
-def test_window_counts(air, layout):
-    row = splits.window_counts(air, layout).first()
+def test_window_counts(air):
+    row = splits.window_counts(air).first()
     assert (row.train_windows, row.validation_windows, row.test_windows) == (76, 22, 22)
 
 

@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from seriesflow.config import PLAIN, Layout
-from seriesflow.operators import baselines, features, review, scaling, splits, windows
+from seriesflow.operators import (
+    baselines, features, prepare, review, scaling, splits, windows,
+)
 from seriesflow.plans.layout import index_series, measure_lengths, resolve
 from tests.conftest import rows_of, same
 
@@ -73,6 +75,30 @@ def test_review_in_blocks_equals_plain(skewed, layout):
         assert len(plain) > 0 and plain == blocks
 
 
+def test_prep_report_in_blocks_equals_grouping(skewed):
+    """Duplicates found between neighbours are those found by grouping."""
+    groups = {r.series_id: r.duplicate_groups for r in prepare.duplicate_groups(skewed).collect()}
+    surplus = {r.series_id: r.duplicate_rows for r in prepare.duplicate_rows(skewed).collect()}
+    for layout in [PLAIN, *SMALL_BLOCKS]:
+        rows = prepare.prep_report(skewed, layout).collect()
+        assert {r.series_id: r.duplicate_groups for r in rows} == groups
+        assert {r.series_id: r.duplicate_rows for r in rows} == surplus
+
+
+def test_rows_without_a_key_are_a_series(skewed):
+    unnamed = skewed.withColumn(
+        "series_id", F.when(F.col("series_id") != "hot", F.col("series_id")))
+    forecasts = baselines.baseline_forecasts(unnamed, PLAIN)
+    hot = rows_of(baselines.baseline_forecasts(
+        skewed.filter("series_id = 'hot'"), PLAIN).drop("series_id"), "model", "idx")
+    for layout in SMALL_BLOCKS:
+        blocks = baselines.baseline_forecasts(unnamed, layout)
+        assert blocks.count() == forecasts.count()
+    alone = skewed.filter("series_id = 'hot'").withColumn("series_id", F.lit(None).cast("string"))
+    blocks = baselines.baseline_forecasts(alone, SMALL_BLOCKS[0]).drop("series_id")
+    assert same(rows_of(blocks, "model", "idx"), hot)
+
+
 def test_lengths_are_measured(skewed):
     lengths = measure_lengths(skewed, Layout("auto", block_rows=100))
     assert (lengths.has_short, lengths.long_series, lengths.long_rows) == (True, 1, 600)
