@@ -242,7 +242,7 @@ LEFT JOIN (
 
 def _quality(dataset: str) -> str:
     return f"""SELECT series_id, '{dataset}' AS dataset, n AS total_observations,
-  start_period, end_period, missing_values, duplicate_months,
+  start_month, end_month, missing_values, duplicate_months,
   train_end AS train_points, validation_end - train_end AS validation_points,
   n - validation_end AS test_points, CAST(24 AS BIGINT) AS window_length,
   greatest(train_end - 24, 0) AS train_windows,
@@ -251,8 +251,8 @@ FROM (
   SELECT *, CAST(floor(CAST(0.70 AS DOUBLE) * n) AS BIGINT) AS train_end,
          CAST(floor(CAST(0.85 AS DOUBLE) * n) AS BIGINT) AS validation_end
   FROM (
-    SELECT series_id, COUNT(*) AS n, substr(CAST(MIN(t) AS VARCHAR), 1, 7) AS start_period,
-           substr(CAST(MAX(t) AS VARCHAR), 1, 7) AS end_period,
+    SELECT series_id, COUNT(*) AS n, substr(CAST(MIN(t) AS VARCHAR), 1, 7) AS start_month,
+           substr(CAST(MAX(t) AS VARCHAR), 1, 7) AS end_month,
            COUNT(*) FILTER (y IS NULL OR isnan(y)) AS missing_values,
            COUNT(*) - COUNT(DISTINCT COALESCE(CAST(t AS VARCHAR), 'none')) AS duplicate_months
     FROM series GROUP BY 1))"""
@@ -264,8 +264,8 @@ best AS (
     b.test_mae AS best_mae, b.test_rmse AS best_rmse, b.test_mape_percent AS best_mape_percent,
     s.model AS next_best_model, s.condition AS next_best_condition,
     s.test_rmse AS next_best_rmse,
-    {_r("s.test_rmse - b.test_rmse", 3)} AS rmse_improvement,
-    {_r("(s.test_rmse - b.test_rmse) / s.test_rmse * 100", 2)} AS rmse_improvement_percent
+    {_r("s.test_rmse - b.test_rmse", 3)} AS rmse_improvement_vs_next_best,
+    {_r("(s.test_rmse - b.test_rmse) / s.test_rmse * 100", 2)} AS rmse_improvement_percent_vs_next_best
   FROM ranked b LEFT JOIN ranked s ON s.series_id = b.series_id AND s.rank = 2
   WHERE b.rank = 1)"""
 

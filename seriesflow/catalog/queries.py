@@ -120,11 +120,7 @@ def prep_report_orders(spark, folder):
 
 
 def _quality(df: DataFrame, dataset: str) -> DataFrame:
-    report = prepare.data_quality_report(df, dataset)
-    return report.withColumns({
-        "start_period": C.month_text(F.col("start_period")),
-        "end_period": C.month_text(F.col("end_period")),
-    })
+    return prepare.with_months(prepare.data_quality_report(df, dataset))
 
 
 @_query

@@ -109,3 +109,11 @@ def data_quality_report(df: DataFrame, dataset: str, window: int = WINDOW) -> Da
             (n - validation).alias("test_windows"),
         )
     )
+
+
+def with_months(report: DataFrame) -> DataFrame:
+    """The quality report of monthly series, with its range as ``yyyy-MM`` texts."""
+    return report.withColumns({
+        "start_period": C.month_text(F.col("start_period")),
+        "end_period": C.month_text(F.col("end_period")),
+    }).withColumnsRenamed({"start_period": "start_month", "end_period": "end_month"})

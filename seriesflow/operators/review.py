@@ -47,8 +47,8 @@ def _with_gain(pairs: DataFrame) -> DataFrame:
     best, runner_up = F.col("best_rmse"), F.col("next_best_rmse")
     gain = runner_up - best
     return pairs.withColumns({
-        "rmse_improvement": C.report_round(gain, 3),
-        "rmse_improvement_percent": C.report_round(
+        "rmse_improvement_vs_next_best": C.report_round(gain, 3),
+        "rmse_improvement_percent_vs_next_best": C.report_round(
             F.when(runner_up != 0, gain / runner_up * 100), 2
         ),
     })

@@ -30,6 +30,11 @@ def read_series_csv(
     )
 
 
+def read_texts(spark: SparkSession, path: str) -> DataFrame:
+    """Read a CSV file with a header, every column as text, nothing inferred."""
+    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+
+
 def load_series(
     table: DataFrame,
     key: Column,
@@ -48,13 +53,15 @@ def load_series(
     return table.select(*columns)
 
 
-def load_monthly(table: DataFrame, key: Column, time: Column, value: Column) -> DataFrame:
-    """Sum a measure per key and calendar month.
+def load_monthly(
+    table: DataFrame, key: Column, time: Column, value: Column, places: int = 2
+) -> DataFrame:
+    """Sum a measure of ``places`` decimal places per key and calendar month.
 
-    Money is summed as a decimal, so the result does not depend on row order.
+    Summed as a decimal, the result does not depend on the order of the rows.
     At most one row per key and month remains, whatever the table's size.
     """
-    return (
-        table.groupBy(key.alias(KEY), F.trunc(time, "month").alias(TIME))
-        .agg(F.sum(value.cast("decimal(18,2)")).cast("double").alias(Y))
+    total = F.sum(value.cast(f"decimal(28,{places})"))
+    return table.groupBy(key.alias(KEY), F.trunc(time, "month").alias(TIME)).agg(
+        total.cast("double").alias(Y)
     )

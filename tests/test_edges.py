@@ -89,7 +89,7 @@ def test_all_zero_actuals_have_no_percentage(make_series):
     # All models tie, so the first in their order is best.
     assert review.best_model(board).first().model == "Naive"
     pair = review.best_vs_next(board).first()
-    assert pair.rmse_improvement == 0 and pair.rmse_improvement_percent is None
+    assert pair.rmse_improvement_vs_next_best == 0 and pair.rmse_improvement_percent_vs_next_best is None
 
 
 def test_constant_series_scales_to_zero(make_series):
@@ -106,7 +106,7 @@ def test_equal_errors_are_all_flagged(spark):
         assert all(r.high_error_flag for r in review.high_error_review(forecasts, layout).collect())
     pair = review.best_vs_next(score.leaderboard(forecasts)).first()
     assert pair.best_model == "m" and pair.next_best_model is None
-    assert pair.rmse_improvement is None
+    assert pair.rmse_improvement_vs_next_best is None
 
 
 def test_nan_series_ranks_last_and_does_not_fail(make_series):

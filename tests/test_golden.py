@@ -138,7 +138,7 @@ def test_baseline_ranking(air):
     row = review.best_vs_next(board).first()
     assert (row.best_model, row.best_rmse) == ("SeasonalNaive-12", 51.783)
     assert (row.next_best_model, row.next_best_rmse) == ("Naive", 53.725)
-    assert (row.rmse_improvement, row.rmse_improvement_percent) == (1.942, 3.61)
+    assert (row.rmse_improvement_vs_next_best, row.rmse_improvement_percent_vs_next_best) == (1.942, 3.61)
 
 
 def test_published_ranking(spark):
@@ -151,7 +151,7 @@ def test_published_ranking(spark):
     assert (row.best_model, row.best_condition) == ("BiLSTM", "RNN - differencing")
     assert (row.best_mae, row.best_rmse, row.best_mape_percent) == fixed.PUBLISHED_METRICS
     assert (row.next_best_model, row.next_best_rmse) == ("GRU", 41.037)
-    assert (row.rmse_improvement, row.rmse_improvement_percent) == (6.106, 14.88)
+    assert (row.rmse_improvement_vs_next_best, row.rmse_improvement_percent_vs_next_best) == (6.106, 14.88)
 
 
 @pytest.mark.parametrize("layout", LAYOUTS, ids=str)
