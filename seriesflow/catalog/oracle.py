@@ -185,8 +185,8 @@ external AS (
 
 PERIODS = """,
 periods AS (
-  SELECT series_id, t, COUNT(*) AS c, COUNT(*) FILTER (y IS NULL) AS missing,
-         COUNT(*) FILTER (isnan(y)) AS nans
+  SELECT series_id, t, COUNT(*) AS c, COUNT(*) FILTER (WHERE y IS NULL) AS missing,
+         COUNT(*) FILTER (WHERE isnan(y)) AS nans
   FROM series GROUP BY 1, 2)"""
 
 
@@ -217,9 +217,9 @@ DIRTY_ORDER = "t NULLS FIRST, tiebreak"
 DIRTY_INDEXED = DIRTY + _indexed(DIRTY_ORDER)
 
 _SPLIT_COUNTS = """SELECT series_id, COUNT(*) AS total_rows,
-  COUNT(*) FILTER (split = 'train') AS train_rows,
-  COUNT(*) FILTER (split = 'validation') AS validation_rows,
-  COUNT(*) FILTER (split = 'test') AS test_rows
+  COUNT(*) FILTER (WHERE split = 'train') AS train_rows,
+  COUNT(*) FILTER (WHERE split = 'validation') AS validation_rows,
+  COUNT(*) FILTER (WHERE split = 'test') AS test_rows
 FROM labelled GROUP BY 1"""
 
 _PREP_REPORT = """SELECT series_id, raw_rows, missing_months, missing_values, nan_values,
@@ -228,15 +228,15 @@ _PREP_REPORT = """SELECT series_id, raw_rows, missing_months, missing_values, na
   COALESCE(test_rows, 0) AS test_rows
 FROM (
   SELECT series_id, CAST(SUM(c) AS BIGINT) AS raw_rows,
-         CAST(COALESCE(SUM(c) FILTER (t IS NULL), 0) AS BIGINT) AS missing_months,
+         CAST(COALESCE(SUM(c) FILTER (WHERE t IS NULL), 0) AS BIGINT) AS missing_months,
          CAST(SUM(missing) AS BIGINT) AS missing_values, CAST(SUM(nans) AS BIGINT) AS nan_values,
-         COUNT(*) FILTER (c > 1) AS duplicate_groups,
+         COUNT(*) FILTER (WHERE c > 1) AS duplicate_groups,
          CAST(SUM(c - 1) AS BIGINT) AS duplicate_rows
   FROM periods GROUP BY 1)
 LEFT JOIN (
-  SELECT series_id, COUNT(*) AS feature_rows, COUNT(*) FILTER (split = 'train') AS train_rows,
-         COUNT(*) FILTER (split = 'validation') AS validation_rows,
-         COUNT(*) FILTER (split = 'test') AS test_rows
+  SELECT series_id, COUNT(*) AS feature_rows, COUNT(*) FILTER (WHERE split = 'train') AS train_rows,
+         COUNT(*) FILTER (WHERE split = 'validation') AS validation_rows,
+         COUNT(*) FILTER (WHERE split = 'test') AS test_rows
   FROM features GROUP BY 1) USING (series_id)"""
 
 
@@ -253,7 +253,7 @@ FROM (
   FROM (
     SELECT series_id, COUNT(*) AS n, substr(CAST(MIN(t) AS VARCHAR), 1, 7) AS start_month,
            substr(CAST(MAX(t) AS VARCHAR), 1, 7) AS end_month,
-           COUNT(*) FILTER (y IS NULL OR isnan(y)) AS missing_values,
+           COUNT(*) FILTER (WHERE y IS NULL OR isnan(y)) AS missing_values,
            COUNT(*) - COUNT(DISTINCT COALESCE(CAST(t AS VARCHAR), 'none')) AS duplicate_months
     FROM series GROUP BY 1))"""
 
@@ -277,7 +277,7 @@ SELECT best.*, total_observations, models_compared, 'Baseline' AS conditions_com
 FROM best
 JOIN (SELECT series_id, COUNT(*) AS total_observations FROM series GROUP BY 1) USING (series_id)
 JOIN (SELECT series_id, COUNT(*) AS models_compared FROM records GROUP BY 1) USING (series_id)
-JOIN (SELECT series_id, COUNT(*) FILTER (high_error_flag) AS high_error_periods_flagged,
+JOIN (SELECT series_id, COUNT(*) FILTER (WHERE high_error_flag) AS high_error_periods_flagged,
              MAX(error_threshold) AS review_threshold
       FROM review WHERE rank = 1 GROUP BY 1) USING (series_id)""")
 
@@ -320,7 +320,7 @@ ORACLE: dict[str, str] = {
         DIRTY, f"SELECT series_id, tiebreak AS order_key, {DAY}, "
         "CASE WHEN NOT isnan(y) THEN y END AS y FROM series"),
     "duplicate_groups": _sql(
-        DIRTY + PERIODS, "SELECT series_id, COUNT(*) FILTER (c > 1) AS duplicate_groups "
+        DIRTY + PERIODS, "SELECT series_id, COUNT(*) FILTER (WHERE c > 1) AS duplicate_groups "
         "FROM periods GROUP BY 1"),
     "duplicate_rows": _sql(
         DIRTY + PERIODS, "SELECT series_id, CAST(SUM(c - 1) AS BIGINT) AS duplicate_rows "
@@ -340,9 +340,9 @@ ORACLE: dict[str, str] = {
     "test_slice": _sql(
         ORDERS_INDEXED, f"SELECT series_id, {TEXTS}, y FROM labelled WHERE split = 'test'"),
     "window_counts": _sql(ORDERS_INDEXED, """SELECT series_id,
-  COUNT(*) FILTER (idx >= 24 AND split = 'train') AS train_windows,
-  COUNT(*) FILTER (idx >= 24 AND split = 'validation') AS validation_windows,
-  COUNT(*) FILTER (idx >= 24 AND split = 'test') AS test_windows
+  COUNT(*) FILTER (WHERE idx >= 24 AND split = 'train') AS train_windows,
+  COUNT(*) FILTER (WHERE idx >= 24 AND split = 'validation') AS validation_windows,
+  COUNT(*) FILTER (WHERE idx >= 24 AND split = 'test') AS test_windows
 FROM labelled GROUP BY 1"""),
     "lag_features": _sql(
         ORDERS_INDEXED + _features(), f"SELECT series_id, {DAY}, y, {LAGS} FROM featured"),
@@ -365,7 +365,7 @@ FROM labelled GROUP BY 1"""),
         LINEITEM + _indexed() + _features(), f"SELECT {FEATURE_DAYS} FROM features"),
     "feature_table_long": _sql(
         LONG_INDEXED + _features(EVENT_ORDER),
-        f"SELECT series_id, epoch_us(t) AS t_micros, {FEATURE_ROW} FROM features"),
+        f"SELECT series_id, tiebreak AS event_id, {FEATURE_ROW} FROM features"),
     "sink_features": _FEATURES,
     "scaler_fit": _sql(
         ORDERS_INDEXED + SCALED,

@@ -244,8 +244,7 @@ def feature_table_lineitem(spark, folder):
 def feature_table_long(spark, folder):
     """Features of one long series, worked on in blocks."""
     rows = features.feature_table(tb.all_events(spark, folder), ONE_LONG_SERIES)
-    micros = F.unix_micros(F.col("t").cast("timestamp")).alias("t_micros")
-    return _features(rows, micros)
+    return _features(rows, F.col("tiebreak").alias("event_id"))
 
 
 @_query

@@ -38,9 +38,8 @@ def with_baselines(
 ) -> DataFrame:
     """Every row with its split and one forecast column per model."""
     wanted = [_COLUMNS[m] for m in models]
-    frame = index_series(df, layout, _windows, back=SEASON)
-    if TREND in models:
-        frame = frame.with_aggs(_trend_fit())
+    fit = _trend_fit() if TREND in models else None
+    frame = index_series(df, layout, _windows, back=SEASON, aggs=fit)
 
     def forecasts(rows: DataFrame) -> DataFrame:
         # The season falls back by position: a NULL one season ago stays NULL.

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
 
 from seriesflow.config import AUTO, KEY, LAGS, ROLLS, SPLIT, T, Y, Layout
 from seriesflow.functions.columns import split_label
-from seriesflow.plans.layout import SeriesFrame, index_series
+from seriesflow.plans.layout import SeriesFrame, index_series, order_columns
 
 FEATURES = [*[f"lag_{k}" for k in LAGS], *[f"rolling_mean_{k}" for k in ROLLS]]
 TARGETS = ["target_next", "target_t"]
@@ -62,6 +62,6 @@ def feature_table(df: DataFrame, layout: Layout = AUTO) -> DataFrame:
     """Complete feature rows, split 70/15/15 by their position among themselves."""
     numbered = _complete_frame(df, layout).renumber("_position", "_total")
     return numbered.df.select(
-        KEY, T, Y, *FEATURES, *TARGETS,
+        KEY, *order_columns(df), Y, *FEATURES, *TARGETS,
         split_label(F.col("_position"), F.col("_total")).alias(SPLIT),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from seriesflow.config import AUTO, IDX, KEY, STD_EPSILON, Y, Layout
 from seriesflow.functions.columns import train_end
-from seriesflow.plans.layout import SeriesFrame, index_series
+from seriesflow.plans.layout import SeriesFrame, WindowColumns, index_series
 
 
 def _fit_columns() -> dict[str, Column]:
@@ -19,9 +19,11 @@ def _widened(df: DataFrame) -> DataFrame:
     return df.withColumn("scale_std", F.col("scale_std") + F.lit(STD_EPSILON))
 
 
-def with_scale(frame: SeriesFrame) -> SeriesFrame:
-    """Add mean and spread of the training rows to every row of the series."""
-    return frame.with_aggs(_fit_columns()).map(_widened)
+def index_with_scale(
+    df: DataFrame, layout: Layout, windows: WindowColumns | None = None, back: int = 0
+) -> SeriesFrame:
+    """Indexed rows with mean and spread of the training rows of their series."""
+    return index_series(df, layout, windows, back=back, aggs=_fit_columns()).map(_widened)
 
 
 def scaled(value: Column) -> Column:
@@ -40,7 +42,7 @@ def scaler_fit(df: DataFrame, layout: Layout = AUTO) -> DataFrame:
 
 def scaler_transform(df: DataFrame, layout: Layout = AUTO) -> DataFrame:
     """Every row with its scaled value ``z`` and the fit it was scaled by."""
-    return with_scale(index_series(df, layout)).df.withColumn("z", scaled(F.col(Y)))
+    return index_with_scale(df, layout).df.withColumn("z", scaled(F.col(Y)))
 
 
 def scaler_inverse(df: DataFrame, value: str = "z", out: str = "y_back") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
 
 from seriesflow.config import AUTO, IDX, KEY, SPLIT, T, WINDOW, Y, Layout
 from seriesflow.functions.columns import split_label
-from seriesflow.operators.scaling import scaled, unscaled, with_scale
+from seriesflow.operators.scaling import index_with_scale, scaled, unscaled
 from seriesflow.plans.layout import index_series
 
 
@@ -38,7 +38,7 @@ def supervised_rows(df: DataFrame, layout: Layout = AUTO, length: int = WINDOW)
     A row belongs to the split of its target, so the windows of validation
     and test rows reach back into the rows before their split.
     """
-    frame = with_scale(index_series(df, layout, _past(length), back=length)).map(
+    frame = index_with_scale(df, layout, _past(length), back=length).map(
         lambda rows: rows.filter(F.col(IDX) >= length)
     )
     last = scaled(F.col("_past_1"))
@@ -54,7 +54,7 @@ def supervised_rows(df: DataFrame, layout: Layout = AUTO, length: int = WINDOW)
 
 def level_delta_targets(df: DataFrame, layout: Layout = AUTO, length: int = WINDOW) -> DataFrame:
     """Targets of ``supervised_rows`` without carrying the windows along."""
-    frame = with_scale(index_series(df, layout, _past(1), back=1)).map(
+    frame = index_with_scale(df, layout, _past(1), back=1).map(
         lambda rows: rows.filter(F.col(IDX) >= length)
     )
     last = scaled(F.col("_past_1"))

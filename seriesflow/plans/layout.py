@@ -78,23 +78,6 @@ class SeriesFrame:
             long=None if self.long is None else fn(self.long),
         )
 
-    def with_aggs(self, aggs: dict[str, Column]) -> SeriesFrame:
-        """Add per-series aggregates to every row of the series."""
-        short, long = self.short, self.long
-        if short is not None:
-            whole = Window.partitionBy(KEY)
-            short = short.select("*", *[c.over(whole).alias(k) for k, c in aggs.items()])
-        if long is not None:
-            params = long.groupBy(KEY).agg(
-                *[c.alias(k) for k, c in aggs.items()], F.max(IDX).alias("_last")
-            )
-            if self.lengths.long_series <= BROADCAST_ROWS:
-                long = join_series(long, F.broadcast(params.drop("_last")))
-            else:
-                params = spread_over_blocks(params, "_last", self.block_rows)
-                long = join_series(long, params, BLOCK)
-        return replace(self, short=short, long=long)
-
     def renumber(self, position: str, total: str) -> SeriesFrame:
         """Number the rows that are left, from 0, and count them per series."""
         short, long = self.short, self.long
@@ -134,11 +117,12 @@ def index_series(
     windows: WindowColumns | None = None,
     back: int = 0,
     ahead: int = 0,
+    aggs: dict[str, Column] | None = None,
 ) -> SeriesFrame:
-    """Add position ``idx``, length ``n`` and window columns.
+    """Add position ``idx``, length ``n``, per-series aggregates and window columns.
 
-    ``windows`` maps an ordered window to columns; they may look at most
-    ``back`` rows back and ``ahead`` rows ahead.
+    ``aggs`` may use ``idx`` and ``n``. ``windows`` maps an ordered window to
+    columns; they may look at most ``back`` rows back and ``ahead`` rows ahead.
     """
     if max(back, ahead) > layout.block_rows:
         raise ValueError("block_rows must be at least the reach of the windows")
@@ -146,9 +130,11 @@ def index_series(
     lengths = measure_lengths(df, layout)
     short, long = _by_length(df, lengths, layout)
     if short is not None:
-        short = _index_short(short, order, windows)
+        short = _index_short(short, order, windows, aggs)
     if long is not None:
         long = _index_long(long, order, lengths, layout)
+        if aggs is not None:
+            long = _long_aggregates(long, aggs, lengths, layout)
         if windows is not None:
             long = _over_blocks(long, windows, back, ahead, layout.block_rows)
     return SeriesFrame(short, long, tuple(order), layout.block_rows, lengths)
@@ -204,16 +190,24 @@ def _by_length(
     return join_series(df, keys, how="left_anti"), join_series(df, keys, how="left_semi")
 
 
-def _index_short(df: DataFrame, order: list[str], windows: WindowColumns | None) -> DataFrame:
-    # Position and window columns share one Window node; the length of the
-    # series needs a second one but no second shuffle.
-    ordered = Window.partitionBy(KEY).orderBy(*order)
-    extra = windows(ordered) if windows else {}
-    return df.select(
-        "*",
-        (F.row_number().over(ordered) - 1).cast("bigint").alias(IDX),
-        *[c.alias(name) for name, c in extra.items()],
-    ).withColumn(N, F.count(F.lit(1)).over(Window.partitionBy(KEY)))
+def _index_short(
+    df: DataFrame,
+    order: list[str],
+    windows: WindowColumns | None,
+    aggs: dict[str, Column] | None,
+) -> DataFrame:
+    ordered, whole = Window.partitionBy(KEY).orderBy(*order), Window.partitionBy(KEY)
+    extra = [c.alias(name) for name, c in windows(ordered).items()] if windows else []
+    idx = (F.row_number().over(ordered) - 1).cast("bigint").alias(IDX)
+    n = F.count(F.lit(1)).over(whole).alias(N)
+    # All of these share one distribution and order: one shuffle, one sort.
+    if aggs is None:
+        return df.select("*", idx, *extra).select("*", n)
+    # A window over a whole series holds its rows back, so the aggregates come
+    # before the window columns widen the rows.
+    totals = [c.over(whole).alias(name) for name, c in aggs.items()]
+    indexed = df.select("*", idx).select("*", n).select("*", *totals)
+    return indexed.select("*", *extra)
 
 
 def _index_long(df: DataFrame, order: list[str], lengths: Lengths, layout: Layout) -> DataFrame:
@@ -246,6 +240,17 @@ def _index_long(df: DataFrame, order: list[str], lengths: Lengths, layout: Layou
     )
 
 
+def _long_aggregates(
+    df: DataFrame, aggs: dict[str, Column], lengths: Lengths, layout: Layout
+) -> DataFrame:
+    params = df.groupBy(KEY).agg(
+        *[c.alias(name) for name, c in aggs.items()], F.max(IDX).alias("_last")
+    )
+    if lengths.long_series <= BROADCAST_ROWS:
+        return join_series(df, F.broadcast(params.drop("_last")))
+    return join_series(df, spread_over_blocks(params, "_last", layout.block_rows), BLOCK)
+
+
 def _over_blocks(
     df: DataFrame, windows: WindowColumns, back: int, ahead: int, block_rows: int
 ) -> DataFrame:
