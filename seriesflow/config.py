@@ -33,10 +33,14 @@ class Layout:
     ``plain``  one task per series. Only for data whose series length is
                bounded by construction, such as one row per calendar month.
     ``blocks`` cut every series into blocks.
+
+    ``indexed`` says that the rows carry position ``idx`` and length ``n`` of
+    their whole series, so that these need not be found again.
     """
 
     mode: str = "auto"
     block_rows: int = 1_000_000
+    indexed: bool = False
     max_range_partitions: int = 20_000
 
     def __post_init__(self):

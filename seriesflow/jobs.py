@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from seriesflow.config import AUTO, PLAIN, Layout
 from seriesflow.functions.columns import month_text
 from seriesflow.operators import baselines, features, learned, prepare, review, score
-from seriesflow.plans.layout import resolve
+from seriesflow.plans.layout import keep_index
 from seriesflow.sources import sinks
 from seriesflow.sources.series import load_series, read_texts
 
@@ -34,7 +34,7 @@ def read_input(
 
 def prepare_job(series: DataFrame, output: str, layout: Layout = AUTO) -> None:
     """Write the feature table and the preparation report."""
-    layout = resolve(series, layout)
+    series, layout = keep_index(series, layout)
     sinks.write_features(features.feature_table(series, layout), f"{output}/features")
     sinks.write_summary_json(
         prepare.prep_report(series, layout), f"{output}/preparation_report"
@@ -46,7 +46,7 @@ def forecast_job(
 ) -> None:
     """Forecast every series, score and rank the models, and write all reports."""
     spark = series.sparkSession
-    layout = resolve(series, layout)
+    series, layout = keep_index(series, layout)
     tables, selection = [baselines.baseline_forecasts(series, layout)], None
     if with_learned:
         forecasts, selection = learned.learned_forecasts(series, layout)

@@ -126,13 +126,15 @@ def index_series(
     """
     if max(back, ahead) > layout.block_rows:
         raise ValueError("block_rows must be at least the reach of the windows")
-    order = order_columns(df)
+    order = [IDX] if layout.indexed else order_columns(df)
     lengths = measure_lengths(df, layout)
     short, long = _by_length(df, lengths, layout)
     if short is not None:
-        short = _index_short(short, order, windows, aggs)
+        short = _index_short(short, order, layout.indexed, windows, aggs)
     if long is not None:
-        long = _index_long(long, order, lengths, layout)
+        if not layout.indexed:
+            long = _index_long(long, order, lengths, layout)
+        long = long.withColumn(BLOCK, block_of(layout.block_rows))
         if aggs is not None:
             long = _long_aggregates(long, aggs, lengths, layout)
         if windows is not None:
@@ -148,7 +150,7 @@ def measure_lengths(df: DataFrame, layout: Layout) -> Lengths:
     if layout.mode == "plain":
         return Lengths(has_short=True)
     is_long = F.lit(True) if layout.mode == "blocks" else F.col("_rows") > layout.block_rows
-    found = _row_counts(df).agg(
+    found = _row_counts(df, layout).agg(
         F.count_if(~is_long).alias("short"),
         F.count_if(is_long).alias("long"),
         F.sum(F.when(is_long, F.col("_rows"))).alias("long_rows"),
@@ -165,10 +167,28 @@ def resolve(df: DataFrame, layout: Layout = AUTO) -> Layout:
 
     Resolving once saves the operators that follow from counting again.
     """
-    return layout if measure_lengths(df, layout).long_series else PLAIN
+    if measure_lengths(df, layout).long_series:
+        return layout
+    return replace(PLAIN, indexed=layout.indexed)
 
 
-def _row_counts(df: DataFrame) -> DataFrame:
+def keep_index(df: DataFrame, layout: Layout = AUTO) -> tuple[DataFrame, Layout]:
+    """Rows and layout for running several operators over the same series.
+
+    Numbering the rows of long series costs a sort, so it is done once and
+    written to the shared folder. Without long series nothing is written.
+    """
+    if layout.mode == "plain" or layout.indexed:
+        return df, layout
+    frame = index_series(df, layout)
+    if frame.long is None:
+        return df, PLAIN
+    return store(frame.df, "indexed"), replace(layout, indexed=True)
+
+
+def _row_counts(df: DataFrame, layout: Layout) -> DataFrame:
+    if layout.indexed:
+        return df.filter(F.col(IDX) == 0).select(KEY, F.col(N).alias("_rows"))
     return df.groupBy(KEY).agg(F.count(F.lit(1)).alias("_rows"))
 
 
@@ -185,7 +205,9 @@ def _by_length(
         return df, None
     if not lengths.has_short:
         return None, df
-    keys = _row_counts(df).filter(F.col("_rows") > layout.block_rows).select(KEY)
+    if layout.indexed:
+        return df.filter(F.col(N) <= layout.block_rows), df.filter(F.col(N) > layout.block_rows)
+    keys = _row_counts(df, layout).filter(F.col("_rows") > layout.block_rows).select(KEY)
     keys = _broadcast_up_to(keys, lengths.long_series)
     return join_series(df, keys, how="left_anti"), join_series(df, keys, how="left_semi")
 
@@ -193,21 +215,23 @@ def _by_length(
 def _index_short(
     df: DataFrame,
     order: list[str],
+    indexed: bool,
     windows: WindowColumns | None,
     aggs: dict[str, Column] | None,
 ) -> DataFrame:
     ordered, whole = Window.partitionBy(KEY).orderBy(*order), Window.partitionBy(KEY)
     extra = [c.alias(name) for name, c in windows(ordered).items()] if windows else []
-    idx = (F.row_number().over(ordered) - 1).cast("bigint").alias(IDX)
-    n = F.count(F.lit(1)).over(whole).alias(N)
+    idx, n = [], []
+    if not indexed:
+        idx = [(F.row_number().over(ordered) - 1).cast("bigint").alias(IDX)]
+        n = [F.count(F.lit(1)).over(whole).alias(N)]
     # All of these share one distribution and order: one shuffle, one sort.
     if aggs is None:
-        return df.select("*", idx, *extra).select("*", n)
+        return df.select("*", *idx, *extra).select("*", *n)
     # A window over a whole series holds its rows back, so the aggregates come
     # before the window columns widen the rows.
     totals = [c.over(whole).alias(name) for name, c in aggs.items()]
-    indexed = df.select("*", idx).select("*", n).select("*", *totals)
-    return indexed.select("*", *extra)
+    return df.select("*", *idx).select("*", *n).select("*", *totals).select("*", *extra)
 
 
 def _index_long(df: DataFrame, order: list[str], lengths: Lengths, layout: Layout) -> DataFrame:
@@ -235,7 +259,6 @@ def _index_long(df: DataFrame, order: list[str], lengths: Lengths, layout: Layou
     return (
         join_series(placed, _broadcast_up_to(starts, parts + lengths.long_series), "_piece")
         .withColumn(IDX, F.col("_pos") + F.col("_shift"))
-        .withColumn(BLOCK, block_of(layout.block_rows))
         .drop("_pos", "_piece", "_shift")
     )
 

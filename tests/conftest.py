@@ -40,9 +40,7 @@ def make_series(spark):
     return make
 
 
-LAYOUTS = [
-    Layout("plain"), Layout("auto"), Layout("auto", block_rows=30), Layout("blocks", block_rows=30),
-]
+LAYOUTS = [Layout("plain"), Layout("auto"), Layout("auto", block_rows=30)]
 
 
 def rows_of(df, *keys):

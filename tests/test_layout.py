@@ -9,11 +9,10 @@ from seriesflow.config import PLAIN, Layout
 from seriesflow.operators import (
     baselines, features, prepare, review, scaling, splits, windows,
 )
-from seriesflow.plans.layout import index_series, measure_lengths, resolve
+from seriesflow.plans.layout import index_series, keep_index, measure_lengths, resolve
 from tests.conftest import rows_of, same
 
-SMALL_BLOCKS = [Layout("blocks", block_rows=24), Layout("blocks", block_rows=37),
-                Layout("auto", block_rows=100)]
+SMALL_BLOCKS = [Layout("blocks", block_rows=24), Layout("auto", block_rows=100)]
 
 
 @pytest.fixture(scope="module")
@@ -34,6 +33,11 @@ def skewed(spark):
     ).cache()
 
 
+@pytest.fixture(scope="module")
+def kept(skewed):
+    return keep_index(skewed, Layout("auto", block_rows=100))
+
+
 OPERATORS = {
     "chrono_index": splits.chrono_index,
     "split_raw": splits.split_raw,
@@ -66,6 +70,33 @@ def test_blocks_equal_plain(skewed, name, layout):
     assert same(rows_of(plain, *_keys(plain)), rows_of(blocks, *_keys(plain)))
 
 
+@pytest.mark.parametrize("name", [*OPERATORS, "prep_report"])
+def test_kept_index_gives_the_same(kept, skewed, name):
+    operator = OPERATORS.get(name, prepare.prep_report)
+    rows, layout = kept
+    plain, again = operator(skewed, PLAIN), operator(rows, layout)
+    assert set(plain.columns) == set(again.columns)
+    assert same(
+        rows_of(plain, *_keys(plain)), rows_of(again.select(plain.columns), *_keys(plain)))
+
+
+def test_index_is_kept_only_for_long_series(skewed, kept):
+    rows, layout = kept
+    assert layout.indexed and layout.mode == "auto" and rows.count() == 1800
+    assert keep_index(rows, layout) == (rows, layout)
+    assert keep_index(skewed, Layout()) == (skewed, PLAIN)
+    plan = features.lag_features(rows, layout)._jdf.queryExecution().executedPlan().toString()
+    assert "row_number" not in plan
+
+
+def test_blocks_bound_the_rows_of_a_task_group(skewed):
+    layout = Layout("auto", block_rows=50)
+    frame = index_series(skewed, layout, lambda w: {"p": F.lag("y", 24).over(w)}, back=24)
+    sizes = frame.long.groupBy("series_id", "_block").count().collect()
+    assert {r["count"] for r in sizes} == {50} and len(sizes) == 12
+    assert frame.short.groupBy("series_id").count().agg(F.max("count")).first()[0] <= 50
+
+
 @pytest.mark.parametrize("layout", SMALL_BLOCKS, ids=str)
 def test_review_in_blocks_equals_plain(skewed, layout):
     forecasts = baselines.baseline_forecasts(skewed, PLAIN).cache()
