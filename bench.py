@@ -21,8 +21,9 @@ HEADLINE = [
     "scaler_transform_long", "window_arrays_long", "supervised_rows", "baseline_suite",
     "baseline_suite_users", "baseline_suite_lineitem", "baseline_suite_long", "leaderboard",
     "high_error_review_users", "run_summary", "sink_features", "sink_summary_json",
+    "feature_table_skewed", "baseline_suite_skewed", "high_error_review_skewed",
 ]
-FITS = ["leaderboard_learned"]
+FITS = ["learned_forecast_users", "leaderboard_learned"]
 
 
 def _seconds(spark: SparkSession, name: str, folder: str) -> float:

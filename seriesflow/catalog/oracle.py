@@ -28,6 +28,12 @@ LONG = """
 series AS (
   SELECT 'all' AS series_id, ts AS t, value AS y, event_id AS tiebreak FROM events)"""
 
+SKEWED = """
+series AS (
+  SELECT CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS series_id,
+         ts AS t, value AS y, event_id AS tiebreak
+  FROM events)"""
+
 RAW = """
 raw AS (
   SELECT o_orderpriority AS priority, o_orderkey AS order_key,
@@ -213,6 +219,8 @@ EVENT_ORDER = "t, tiebreak"
 USERS_INDEXED = USERS + _indexed(EVENT_ORDER)
 USERS_RANKED = USERS_INDEXED + _forecasts(EVENT_ORDER) + _scores()
 LONG_INDEXED = LONG + _indexed(EVENT_ORDER)
+SKEWED_INDEXED = SKEWED + _indexed(EVENT_ORDER)
+SKEWED_RANKED = SKEWED_INDEXED + _forecasts(EVENT_ORDER) + _scores()
 DIRTY_ORDER = "t NULLS FIRST, tiebreak"
 DIRTY_INDEXED = DIRTY + _indexed(DIRTY_ORDER)
 
@@ -222,6 +230,12 @@ _SPLIT_COUNTS = """SELECT series_id, COUNT(*) AS total_rows,
   COUNT(*) FILTER (WHERE split = 'test') AS test_rows
 FROM labelled GROUP BY 1"""
 
+_WINDOW_COUNTS = """SELECT series_id,
+  COUNT(*) FILTER (WHERE idx >= 24 AND split = 'train') AS train_windows,
+  COUNT(*) FILTER (WHERE idx >= 24 AND split = 'validation') AS validation_windows,
+  COUNT(*) FILTER (WHERE idx >= 24 AND split = 'test') AS test_windows
+FROM labelled GROUP BY 1"""
+
 _PREP_REPORT = """SELECT series_id, raw_rows, missing_months, missing_values, nan_values,
   duplicate_groups, duplicate_rows, COALESCE(feature_rows, 0) AS feature_rows,
   COALESCE(train_rows, 0) AS train_rows, COALESCE(validation_rows, 0) AS validation_rows,
@@ -269,17 +283,17 @@ best AS (
   FROM ranked b LEFT JOIN ranked s ON s.series_id = b.series_id AND s.rank = 2
   WHERE b.rank = 1)"""
 
-_SUMMARY = _sql(ORDERS_REVIEW + "," + _BEST_VS_NEXT, """
-SELECT best.*, total_observations, models_compared, 'Baseline' AS conditions_compared,
-  high_error_periods_flagged, review_threshold, 'monthly_orders' AS dataset,
-  '1-step ahead' AS forecast_horizon, CAST(24 AS BIGINT) AS window_length,
-  CAST(42 AS BIGINT) AS seed
+def _summary(dataset: str) -> str:
+    return f"""SELECT best.*, total_observations, models_compared,
+  'Baseline' AS conditions_compared, high_error_periods_flagged, review_threshold,
+  '{dataset}' AS dataset, '1-step ahead' AS forecast_horizon,
+  CAST(24 AS BIGINT) AS window_length, CAST(42 AS BIGINT) AS seed
 FROM best
 JOIN (SELECT series_id, COUNT(*) AS total_observations FROM series GROUP BY 1) USING (series_id)
 JOIN (SELECT series_id, COUNT(*) AS models_compared FROM records GROUP BY 1) USING (series_id)
 JOIN (SELECT series_id, COUNT(*) FILTER (WHERE high_error_flag) AS high_error_periods_flagged,
              MAX(error_threshold) AS review_threshold
-      FROM review WHERE rank = 1 GROUP BY 1) USING (series_id)""")
+      FROM review WHERE rank = 1 GROUP BY 1) USING (series_id)"""
 
 
 def _forecast(column: str) -> str:
@@ -292,6 +306,7 @@ def _forecast(column: str) -> str:
 _FORECAST_ROW = (
     f"series_id, {TEXTS}, condition, model, actual, {_r('forecast', 2)} AS forecast"
 )
+_SUMMARY = _sql(ORDERS_REVIEW + "," + _BEST_VS_NEXT, _summary("monthly_orders"))
 _BOTH = """,
 every AS (SELECT * FROM forecasts UNION ALL SELECT * FROM external)"""
 _LOADED = _sql(ORDERS, f"SELECT series_id, {DAY}, y FROM series")
@@ -327,6 +342,9 @@ ORACLE: dict[str, str] = {
         "FROM periods GROUP BY 1"),
     "prep_report": _sql(DIRTY_INDEXED + _features(DIRTY_ORDER) + PERIODS, _PREP_REPORT),
     "prep_report_orders": _sql(ORDERS_INDEXED + _features() + PERIODS, _PREP_REPORT),
+    "prep_report_skewed": _sql(
+        SKEWED_INDEXED + _features(EVENT_ORDER) + PERIODS, _PREP_REPORT),
+    "data_quality_report_users": _sql(USERS, _quality("user_events")),
     "data_quality_report": _sql(ORDERS, _quality("monthly_orders")),
     "data_quality_report_dirty": _sql(DIRTY, _quality("dirty_orders")),
     "chrono_index": _sql(ORDERS_INDEXED, f"SELECT series_id, {DAY}, y, idx, n FROM indexed"),
@@ -339,11 +357,8 @@ ORACLE: dict[str, str] = {
     "split_counts_users": _sql(USERS_INDEXED, _SPLIT_COUNTS),
     "test_slice": _sql(
         ORDERS_INDEXED, f"SELECT series_id, {TEXTS}, y FROM labelled WHERE split = 'test'"),
-    "window_counts": _sql(ORDERS_INDEXED, """SELECT series_id,
-  COUNT(*) FILTER (WHERE idx >= 24 AND split = 'train') AS train_windows,
-  COUNT(*) FILTER (WHERE idx >= 24 AND split = 'validation') AS validation_windows,
-  COUNT(*) FILTER (WHERE idx >= 24 AND split = 'test') AS test_windows
-FROM labelled GROUP BY 1"""),
+    "window_counts": _sql(ORDERS_INDEXED, _WINDOW_COUNTS),
+    "window_counts_users": _sql(USERS_INDEXED, _WINDOW_COUNTS),
     "lag_features": _sql(
         ORDERS_INDEXED + _features(), f"SELECT series_id, {DAY}, y, {LAGS} FROM featured"),
     "lag_features_users": _sql(
@@ -363,6 +378,12 @@ FROM labelled GROUP BY 1"""),
     "feature_table": _FEATURES,
     "feature_table_lineitem": _sql(
         LINEITEM + _indexed() + _features(), f"SELECT {FEATURE_DAYS} FROM features"),
+    "feature_table_users": _sql(
+        USERS_INDEXED + _features(EVENT_ORDER),
+        f"SELECT series_id, tiebreak AS event_id, {FEATURE_ROW} FROM features"),
+    "feature_table_skewed": _sql(
+        SKEWED_INDEXED + _features(EVENT_ORDER),
+        f"SELECT series_id, tiebreak AS event_id, {FEATURE_ROW} FROM features"),
     "feature_table_long": _sql(
         LONG_INDEXED + _features(EVENT_ORDER),
         f"SELECT series_id, tiebreak AS event_id, {FEATURE_ROW} FROM features"),
@@ -371,6 +392,10 @@ FROM labelled GROUP BY 1"""),
         ORDERS_INDEXED + SCALED,
         f"SELECT series_id, {_r('scale_mean')} AS scale_mean, {_r('scale_std')} AS scale_std "
         "FROM fit"),
+    "scaler_fit_skewed": _sql(
+        SKEWED_INDEXED + SCALED,
+        f"SELECT series_id, {_r('scale_mean')} AS scale_mean, {_r('scale_std')} AS scale_std "
+        "FROM fit"),
     "scaler_transform": _sql(
         ORDERS_INDEXED + SCALED, f"SELECT series_id, {DAY}, {_r('z')} AS z FROM scaled"),
     "scaler_transform_long": _sql(
@@ -387,6 +412,13 @@ FROM labelled GROUP BY 1"""),
         f"SELECT series_id, idx, {_texts('x', 2)} FROM windowed"),
     "level_delta_targets": _sql(
         ORDERS_WINDOWED, f"SELECT series_id, {TEXTS}, split, {_TARGETS} FROM windowed"),
+    "level_delta_targets_skewed": _sql(
+        SKEWED_INDEXED + SCALED + _windowed("z", "scaled", EVENT_ORDER),
+        f"SELECT series_id, idx, split, {_TARGETS} FROM windowed"),
+    "supervised_rows_users": _sql(
+        USERS_INDEXED + SCALED + _windowed("z", "scaled", EVENT_ORDER),
+        f"SELECT series_id, idx, split, {_texts('x', 5)}, {_r('z')} AS level_target "
+        "FROM windowed"),
     "supervised_rows": _sql(
         ORDERS_WINDOWED,
         f"SELECT series_id, {TEXTS}, split, {_texts('x', 5)}, {_TARGETS} FROM windowed"),
@@ -401,6 +433,7 @@ FROM labelled GROUP BY 1"""),
     "baseline_suite": _sql(ORDERS_RANKED, _SUITE),
     "baseline_suite_users": _sql(USERS_RANKED, _SUITE),
     "baseline_suite_lineitem": _sql(LINEITEM + _indexed() + _forecasts() + _scores(), _SUITE),
+    "baseline_suite_skewed": _sql(SKEWED_RANKED, _SUITE),
     "baseline_suite_long": _sql(LONG_INDEXED + _forecasts(EVENT_ORDER) + _scores(), _SUITE),
     "metric_mae": _sql(ORDERS_RANKED, f"SELECT series_id, model, {_r('mae')} AS mae FROM scores"),
     "metric_rmse": _sql(
@@ -413,6 +446,7 @@ FROM labelled GROUP BY 1"""),
     "result_records": _RECORDS,
     "leaderboard": _sql(
         ORDERS_FORECASTS + EXTERNAL + _BOTH + _scores("every"), f"SELECT {RECORD} FROM records"),
+    "leaderboard_users": _sql(USERS_RANKED, f"SELECT {RECORD} FROM records"),
     "rank_models": _sql(ORDERS_RANKED, "SELECT series_id, rank, model, test_rmse FROM ranked"),
     "best_model": _sql(
         ORDERS_RANKED,
@@ -425,6 +459,11 @@ FROM labelled GROUP BY 1"""),
     "high_error_review_users": _sql(
         USERS_RANKED + REVIEW,
         f"SELECT series_id, idx, model, {REVIEW_ROW} FROM review WHERE rank = 1"),
+    "high_error_review_skewed": _sql(
+        SKEWED_RANKED + REVIEW,
+        f"SELECT series_id, idx, model, {REVIEW_ROW} FROM review WHERE rank = 1"),
+    "run_summary_skewed": _sql(
+        SKEWED_RANKED + REVIEW + "," + _BEST_VS_NEXT, _summary("skewed_events")),
     "run_summary": _SUMMARY,
     "sink_reports": _RECORDS,
     "sink_forecast_report": _COMPARED,

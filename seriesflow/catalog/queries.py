@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from seriesflow.catalog import tables as tb
-from seriesflow.catalog.tables import MONTHLY, ONE_LONG_SERIES
+from seriesflow.catalog.tables import MONTHLY, ONE_HOT_SERIES, ONE_LONG_SERIES
 from seriesflow.config import AUTO, BASELINE_MODELS, SPLIT, TEST
 from seriesflow.functions import columns as C
 from seriesflow.operators import (
@@ -119,6 +119,11 @@ def prep_report_orders(spark, folder):
     return prepare.prep_report(tb.monthly_orders(spark, folder), MONTHLY)
 
 
+@_query
+def prep_report_skewed(spark, folder):
+    return prepare.prep_report(tb.skewed_events(spark, folder), ONE_HOT_SERIES)
+
+
 def _quality(df: DataFrame, dataset: str) -> DataFrame:
     return prepare.with_months(prepare.data_quality_report(df, dataset))
 
@@ -128,6 +133,11 @@ def data_quality_report(spark, folder):
     return _quality(tb.monthly_orders(spark, folder), ORDERS)
 
 
+@_query
+def data_quality_report_users(spark, folder):
+    return _quality(tb.user_events(spark, folder), "user_events")
+
+
 @_query
 def data_quality_report_dirty(spark, folder):
     return _quality(tb.dirty_orders(spark, folder), "dirty_orders")
@@ -175,6 +185,11 @@ def test_slice(spark, folder):
     return rows.select("series_id", _day(), "idx", "y")
 
 
+@_query
+def window_counts_users(spark, folder):
+    return splits.window_counts(tb.user_events(spark, folder))
+
+
 @_query
 def window_counts(spark, folder):
     return splits.window_counts(tb.monthly_orders(spark, folder))
@@ -240,6 +255,19 @@ def feature_table_lineitem(spark, folder):
     return _features(rows, _day(), _day("target_t"))
 
 
+@_query
+def feature_table_users(spark, folder):
+    rows = features.feature_table(tb.user_events(spark, folder))
+    return _features(rows, F.col("tiebreak").alias("event_id"))
+
+
+@_query
+def feature_table_skewed(spark, folder):
+    """Features where one series holds a third of the rows."""
+    rows = features.feature_table(tb.skewed_events(spark, folder), ONE_HOT_SERIES)
+    return _features(rows, F.col("tiebreak").alias("event_id"))
+
+
 @_query
 def feature_table_long(spark, folder):
     """Features of one long series, worked on in blocks."""
@@ -263,6 +291,12 @@ def scaler_fit(spark, folder):
     return fit.select("series_id", _r("scale_mean"), _r("scale_std"))
 
 
+@_query
+def scaler_fit_skewed(spark, folder):
+    fit = scaling.scaler_fit(tb.skewed_events(spark, folder), ONE_HOT_SERIES)
+    return fit.select("series_id", _r("scale_mean"), _r("scale_std"))
+
+
 @_query
 def scaler_transform(spark, folder):
     rows = scaling.scaler_transform(tb.monthly_orders(spark, folder), MONTHLY)
@@ -311,6 +345,20 @@ def supervised_rows(spark, folder):
     )
 
 
+@_query
+def level_delta_targets_skewed(spark, folder):
+    rows = windows.level_delta_targets(tb.skewed_events(spark, folder), ONE_HOT_SERIES)
+    return rows.select(
+        "series_id", "idx", SPLIT, _r("last_level"), _r("level_target"), _r("delta_target")
+    )
+
+
+@_query
+def supervised_rows_users(spark, folder):
+    rows = windows.supervised_rows(tb.user_events(spark, folder))
+    return rows.select("series_id", "idx", SPLIT, _joined("x", 5), _r("level_target"))
+
+
 def _season_change(rows: DataFrame) -> DataFrame:
     """Stand-in prediction: the change seen one season earlier."""
     change = F.element_at("x", 13) - F.element_at("x", 12)
@@ -371,6 +419,11 @@ def baseline_suite_lineitem(spark, folder):
     return _suite(baselines.baseline_suite(tb.monthly_lineitem(spark, folder), MONTHLY))
 
 
+@_query
+def baseline_suite_skewed(spark, folder):
+    return _suite(baselines.baseline_suite(tb.skewed_events(spark, folder), ONE_HOT_SERIES))
+
+
 @_query
 def baseline_suite_long(spark, folder):
     return _suite(baselines.baseline_suite(tb.all_events(spark, folder), ONE_LONG_SERIES))
@@ -459,6 +512,11 @@ def leaderboard(spark, folder):
     return score.leaderboard(rows).select(*_RECORD)
 
 
+@_query
+def leaderboard_users(spark, folder):
+    return score.leaderboard(_user_forecasts(spark, folder)).select(*_RECORD)
+
+
 @_query
 def rank_models(spark, folder):
     ranked = review.rank_models(score.leaderboard(_orders_forecasts(spark, folder)))
@@ -508,6 +566,16 @@ def high_error_review_users(spark, folder):
     return rows.select("series_id", "idx", "model", *_REVIEW)
 
 
+def _skewed_forecasts(spark, folder) -> DataFrame:
+    return baselines.baseline_forecasts(tb.skewed_events(spark, folder), ONE_HOT_SERIES)
+
+
+@_query
+def high_error_review_skewed(spark, folder):
+    rows = review.high_error_review(_skewed_forecasts(spark, folder), ONE_HOT_SERIES)
+    return rows.select("series_id", "idx", "model", *_REVIEW)
+
+
 def _summary(spark, folder) -> DataFrame:
     series = tb.monthly_orders(spark, folder)
     rows = review.run_summary(series, _orders_forecasts(spark, folder), ORDERS, MONTHLY)
@@ -519,6 +587,15 @@ def run_summary(spark, folder):
     return _summary(spark, folder)
 
 
+@_query
+def run_summary_skewed(spark, folder):
+    series = tb.skewed_events(spark, folder)
+    rows = review.run_summary(
+        series, _skewed_forecasts(spark, folder), "skewed_events", ONE_HOT_SERIES
+    )
+    return rows.withColumn("conditions_compared", F.array_join("conditions_compared", ","))
+
+
 # --- report sinks ----------------------------------------------------------
 
 def _csv_round_trip(spark, df: DataFrame, name: str) -> DataFrame:
@@ -582,3 +659,11 @@ def leaderboard_learned(spark, folder):
     forecasts, selection = _learned(spark, folder)
     rows = score.all_forecasts(_orders_forecasts(spark, folder), forecasts)
     return score.leaderboard(rows, selection).select(*_RECORD)
+
+
+@_query
+def learned_forecast_users(spark, folder):
+    """One linear model over the windows of all users."""
+    settings = learned.LearnedSettings(models=(learned.LINEAR,))
+    forecasts, _ = learned.learned_forecasts(tb.user_events(spark, folder), AUTO, settings)
+    return forecasts.select("series_id", "idx", "condition", "model", "actual", "forecast")

@@ -14,6 +14,8 @@ MONTHLY = PLAIN
 # A whole event table as one series: cut into blocks small enough that the
 # test tables have several of them.
 ONE_LONG_SERIES = Layout("auto", block_rows=4096)
+# Users' series stay whole, the large one is cut into several blocks.
+ONE_HOT_SERIES = Layout("auto", block_rows=500)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -52,6 +54,15 @@ def all_events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def skewed_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Event values per user, with a third of all rows under one key."""
+    key = F.when(F.col("event_id") % 3 == 0, F.lit(-1).cast("bigint"))
+    return load_series(
+        table(spark, folder, "events"),
+        key.otherwise(F.col("user_id")), F.col("ts"), F.col("value"), F.col("event_id"),
+    )
+
+
 def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as texts, some of them unreadable; one row per order."""
     key = F.col("o_orderkey")

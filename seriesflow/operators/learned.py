@@ -34,7 +34,7 @@ LINEAR, BOOSTED = "LinearRegression", "GBT"
 class LearnedSettings:
     models: tuple[str, ...] = (LINEAR, BOOSTED)
     ridge: tuple[float, ...] = (0.0, 0.01, 0.1)
-    max_rounds: int = 60
+    max_rounds: int = 40
     depth: int = 3
     patience: int = PATIENCE
     min_gain: float = MIN_GAIN

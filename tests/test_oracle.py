@@ -38,7 +38,7 @@ def test_query_equals_its_sql(spark, sql, name):
 
 def test_only_the_iterative_fits_have_no_sql():
     assert set(entry.queries()) - set(entry.oracle_sql()) == {
-        "learned_forecast", "model_selection", "leaderboard_learned"}
+        "learned_forecast", "learned_forecast_users", "model_selection", "leaderboard_learned"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
