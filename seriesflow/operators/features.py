@@ -62,6 +62,6 @@ def feature_table(df: DataFrame, layout: Layout = AUTO) -> DataFrame:
     """Complete feature rows, split 70/15/15 by their position among themselves."""
     numbered = _complete_frame(df, layout).renumber("_position", "_total")
     return numbered.df.select(
-        KEY, *order_columns(df), Y, *FEATURES, *TARGETS,
+        KEY, *order_columns(df), *FEATURES, *TARGETS,
         split_label(F.col("_position"), F.col("_total")).alias(SPLIT),
     )

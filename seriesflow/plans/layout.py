@@ -15,7 +15,7 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from seriesflow.config import AUTO, IDX, KEY, N, PLAIN, T, TIE, Layout
+from seriesflow.config import AUTO, IDX, KEY, N, PLAIN, T, TIE, Y, Layout
 from seriesflow.sources.storage import store
 
 BLOCK = "_block"
@@ -25,7 +25,8 @@ WindowColumns = Callable[[WindowSpec], dict[str, Column]]
 
 
 def order_columns(df: DataFrame) -> list[str]:
-    return [T, TIE] if TIE in df.columns else [T]
+    """Order within a series; rows equal in all of these are interchangeable."""
+    return [T, TIE, Y] if TIE in df.columns else [T, Y]
 
 
 def spread_over_blocks(params: DataFrame, last_idx: str, block_rows: int) -> DataFrame:
@@ -237,15 +238,20 @@ def _index_short(
 def _index_long(df: DataFrame, order: list[str], lengths: Lengths, layout: Layout) -> DataFrame:
     """Number the rows of long series without one task seeing a whole series.
 
-    Range partitions on key and order are balanced however skewed the keys.
-    They are written out before use: the row positions must not change when a
-    lost task is run again. Only counts per partition are then summed up.
+    Range partitions on key and order, with a row number last, are balanced
+    however many rows share a key, a time or all of their values. The row
+    numbers and then the places of the rows are written out before use: neither
+    may change when a lost task is run again. Only counts per partition are
+    then summed up.
     """
+    order = [KEY, *order, "_row"]
+    numbered = store(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
     parts = min(ceil(lengths.long_rows / layout.block_rows), layout.max_range_partitions)
     placed = store(
-        df.repartitionByRange(parts, KEY, *order)
-        .sortWithinPartitions(KEY, *order)
-        .withColumn("_pos", F.monotonically_increasing_id()),
+        numbered.repartitionByRange(parts, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("_pos", F.monotonically_increasing_id())
+        .drop("_row"),
         "positions",
     ).withColumn("_piece", F.shiftright("_pos", 33))  # the id's upper bits name the partition
     pieces = placed.groupBy(KEY, "_piece").agg(

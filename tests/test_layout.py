@@ -1,5 +1,7 @@
 """Long series in blocks give what the plain window gives."""
 
+import glob
+import os
 import re
 
 import pytest
@@ -10,6 +12,7 @@ from seriesflow.operators import (
     baselines, features, prepare, review, scaling, splits, windows,
 )
 from seriesflow.plans.layout import index_series, keep_index, measure_lengths, resolve
+from seriesflow.sources import storage
 from tests.conftest import rows_of, same
 
 SMALL_BLOCKS = [Layout("blocks", block_rows=24), Layout("auto", block_rows=100)]
@@ -116,6 +119,22 @@ def test_prep_report_in_blocks_equals_grouping(skewed):
         assert {r.series_id: r.duplicate_rows for r in rows} == surplus
 
 
+def test_copies_of_one_row_are_spread(spark):
+    """A third of the rows are the same row, without anything to tell them apart."""
+    rows = spark.range(900).select(
+        F.lit("a").alias("series_id"),
+        F.timestamp_seconds(F.when(F.col("id") % 3 == 0, 450).otherwise(F.col("id"))).alias("t"),
+        F.when(F.col("id") % 3 == 0, 1.0).otherwise(F.col("id").cast("double")).alias("y"),
+    )
+    layout = Layout("blocks", block_rows=50)
+    plain = features.rolling_means(rows, PLAIN)
+    assert same(rows_of(plain, "idx"), rows_of(features.rolling_means(rows, layout), "idx"))
+    folder = storage.shared_folder(spark).removeprefix("file:")
+    latest = max(glob.glob(f"{folder}/positions-*"), key=os.path.getmtime)
+    pieces = spark.read.parquet(latest).groupBy(F.shiftright("_pos", 33)).count().collect()
+    assert len(pieces) > 12 and max(r["count"] for r in pieces) < 150
+
+
 def test_rows_without_a_key_are_a_series(skewed):
     unnamed = skewed.withColumn(
         "series_id", F.when(F.col("series_id") != "hot", F.col("series_id")))
