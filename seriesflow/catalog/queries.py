@@ -13,7 +13,7 @@ from seriesflow.functions import columns as C
 from seriesflow.operators import (
     baselines, features, learned, prepare, review, scaling, score, splits, windows,
 )
-from seriesflow.plans.layout import resolve
+from seriesflow.plans.layout import SeriesFrame
 from seriesflow.sources import series as sources, sinks
 from seriesflow.sources.storage import new_path
 
@@ -560,19 +560,17 @@ def high_error_review_by_model(spark, folder):
 
 @_query
 def high_error_review_users(spark, folder):
-    events = tb.user_events(spark, folder)
-    layout = resolve(events)
-    rows = review.high_error_review(baselines.baseline_forecasts(events, layout), layout)
+    rows = review.high_error_review(baselines.baseline_frame(tb.user_events(spark, folder)))
     return rows.select("series_id", "idx", "model", *_REVIEW)
 
 
-def _skewed_forecasts(spark, folder) -> DataFrame:
-    return baselines.baseline_forecasts(tb.skewed_events(spark, folder), ONE_HOT_SERIES)
+def _skewed_forecasts(spark, folder) -> SeriesFrame:
+    return baselines.baseline_frame(tb.skewed_events(spark, folder), ONE_HOT_SERIES)
 
 
 @_query
 def high_error_review_skewed(spark, folder):
-    rows = review.high_error_review(_skewed_forecasts(spark, folder), ONE_HOT_SERIES)
+    rows = review.high_error_review(_skewed_forecasts(spark, folder))
     return rows.select("series_id", "idx", "model", *_REVIEW)
 
 
@@ -590,9 +588,7 @@ def run_summary(spark, folder):
 @_query
 def run_summary_skewed(spark, folder):
     series = tb.skewed_events(spark, folder)
-    rows = review.run_summary(
-        series, _skewed_forecasts(spark, folder), "skewed_events", ONE_HOT_SERIES
-    )
+    rows = review.run_summary(series, _skewed_forecasts(spark, folder), "skewed_events")
     return rows.withColumn("conditions_compared", F.array_join("conditions_compared", ","))
 
 

@@ -14,7 +14,7 @@ from seriesflow.config import (
     AUTO, BASELINE, BASELINE_MODELS, IDX, KEY, SEASON, SPLIT, T, TEST, Y, Layout,
 )
 from seriesflow.functions import columns as C
-from seriesflow.plans.layout import index_series
+from seriesflow.plans.layout import SeriesFrame, index_series
 
 NAIVE, MOVING_AVERAGE, SEASONAL, TREND = BASELINE_MODELS
 _COLUMNS = dict(zip(BASELINE_MODELS, ("naive", "moving_average", "seasonal", "trend")))
@@ -33,10 +33,7 @@ def _trend_fit() -> dict[str, Column]:
     return {"_slope": F.regr_slope(y, F.col(IDX)), "_intercept": F.regr_intercept(y, F.col(IDX))}
 
 
-def with_baselines(
-    df: DataFrame, layout: Layout = AUTO, models: Sequence[str] = BASELINE_MODELS
-) -> DataFrame:
-    """Every row with its split and one forecast column per model."""
+def _forecast_columns(df: DataFrame, layout: Layout, models: Sequence[str]) -> SeriesFrame:
     wanted = [_COLUMNS[m] for m in models]
     fit = _trend_fit() if TREND in models else None
     frame = index_series(df, layout, _windows, back=SEASON, aggs=fit)
@@ -47,19 +44,31 @@ def with_baselines(
         rows = rows.withColumn("seasonal", seasonal)
         if TREND in models:
             rows = rows.withColumn("trend", F.col("_slope") * F.col(IDX) + F.col("_intercept"))
-        return rows.select(KEY, T, IDX, Y, C.split_label(F.col(IDX)).alias(SPLIT), *wanted)
+        split = C.split_label(F.col(IDX)).alias(SPLIT)
+        return rows.select(KEY, T, IDX, Y, split, *wanted)
 
-    return frame.map(forecasts).df
+    return frame.map(forecasts)
 
 
-def _test_rows(df: DataFrame, layout: Layout, models: Sequence[str]) -> DataFrame:
-    return with_baselines(df, layout, models).filter(F.col(SPLIT) == TEST)
+def with_baselines(
+    df: DataFrame, layout: Layout = AUTO, models: Sequence[str] = BASELINE_MODELS
+) -> DataFrame:
+    """Every row with its split and one forecast column per model."""
+    return _forecast_columns(df, layout, models).df
 
 
-def baseline_forecasts(
+def _is_test() -> Column:
+    return F.col(SPLIT) == TEST
+
+
+def baseline_frame(
     df: DataFrame, layout: Layout = AUTO, models: Sequence[str] = BASELINE_MODELS
-) -> DataFrame:
-    """Forecasts of the test rows, one row per row and model."""
+) -> SeriesFrame:
+    """Forecast tables of the short and of the long series, kept apart.
+
+    The review of short series needs no further shuffle, so it is best given
+    these and not their union.
+    """
     long = F.explode(F.array(*[
         F.struct(
             F.lit(m).alias("model"),
@@ -67,15 +76,22 @@ def baseline_forecasts(
             F.col(_COLUMNS[m]).alias("forecast"),
         )
         for m in models
-    ]))
-    return _test_rows(df, layout, models).select(
-        KEY, T, IDX, F.lit(BASELINE).alias("condition"), F.col(Y).alias("actual"),
-        long.alias("_f"),
-    ).select(
-        KEY, T, IDX, "condition", "_f.model", "_f.model_order", "actual", "_f.forecast"
+    ])).alias("_f")
+    fixed = [KEY, T, IDX, F.lit(BASELINE).alias("condition"), F.col(Y).alias("actual")]
+    return _forecast_columns(df, layout, models).map(
+        lambda rows: rows.filter(_is_test())
+        .select(*fixed, long)
+        .select(KEY, T, IDX, "condition", "_f.model", "_f.model_order", "actual", "_f.forecast")
     )
 
 
+def baseline_forecasts(
+    df: DataFrame, layout: Layout = AUTO, models: Sequence[str] = BASELINE_MODELS
+) -> DataFrame:
+    """Forecasts of the test rows, one row per row and model."""
+    return baseline_frame(df, layout, models).df
+
+
 def baseline_suite(df: DataFrame, layout: Layout = AUTO) -> DataFrame:
     """Test metrics of all baselines per series.
 
@@ -99,7 +115,8 @@ def baseline_suite(df: DataFrame, layout: Layout = AUTO) -> DataFrame:
         for i, (m, c) in enumerate(_COLUMNS.items())
     ]))
     return (
-        _test_rows(df, layout, BASELINE_MODELS)
+        with_baselines(df, layout)
+        .filter(_is_test())
         .groupBy(KEY)
         .agg(*metrics)
         .select(KEY, F.lit(BASELINE).alias("condition"), rows.alias("_m"))

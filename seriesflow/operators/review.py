@@ -1,13 +1,23 @@
-"""Ranking of models and review of the periods with high forecast error."""
+"""Ranking of models and review of the periods with high forecast error.
+
+The review takes a forecast table, or the frame an operator made it in: then
+the short series are reviewed where they are and only long ones are joined.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from seriesflow.config import AUTO, IDX, KEY, REVIEW_STDS, SEED, T, WINDOW, Layout
+from seriesflow.config import AUTO, IDX, KEY, PLAIN, REVIEW_STDS, SEED, T, WINDOW, Layout
 from seriesflow.functions import columns as C
 from seriesflow.operators.score import MODEL, report_metrics
-from seriesflow.plans.layout import BLOCK, block_of, join_series, spread_over_blocks
+from seriesflow.plans.layout import (
+    BLOCK, SeriesFrame, block_of, join_series, spread_over_blocks,
+)
+
+Forecasts = DataFrame | SeriesFrame
 
 
 def _by_rmse() -> WindowSpec:
@@ -94,30 +104,42 @@ def error_thresholds(forecasts: DataFrame, stds: float = REVIEW_STDS) -> DataFra
 
 
 def ranked_errors(
-    forecasts: DataFrame, layout: Layout = AUTO, stds: float = REVIEW_STDS
+    forecasts: Forecasts, layout: Layout = AUTO, stds: float = REVIEW_STDS
 ) -> DataFrame:
     """Forecast rows with error, flag, and metrics, threshold and rank of their model."""
-    aggregates = _error_aggregates()
+    if isinstance(forecasts, SeriesFrame):
+        blocks = Layout("blocks", block_rows=forecasts.block_rows)
+        parts = [(forecasts.short, PLAIN), (forecasts.long, blocks)]
+        ranked = [ranked_errors(df, how, stds) for df, how in parts if df is not None]
+        return reduce(DataFrame.unionByName, ranked)
     if layout.mode == "plain":
-        # Forecasts stay distributed by series: no join, no further shuffle.
-        group = Window.partitionBy(KEY, *MODEL)
-        rows = forecasts.select("*", *[c.over(group).alias(k) for k, c in aggregates.items()])
-        rows = _with_metrics(rows, stds)
-        rows = rows.withColumn("rank", F.dense_rank().over(_by_rmse()).cast("bigint"))
+        rows = _ranked_in_place(forecasts, stds)
     else:
-        stats = forecasts.groupBy(KEY, *MODEL).agg(
-            *[c.alias(k) for k, c in aggregates.items()], F.max(IDX).alias("_last")
-        )
-        stats = rank_models(_with_metrics(stats, stds))
-        # Keyed by block as well, the rows of a long series go to many tasks.
-        stats = spread_over_blocks(stats, "_last", layout.block_rows)
-        rows = forecasts.withColumn(BLOCK, block_of(layout.block_rows))
-        rows = join_series(rows, stats, *MODEL, BLOCK).drop(BLOCK)
+        rows = _ranked_by_block(forecasts, stds, layout.block_rows)
     # Both sides are rounded so that float noise cannot flip an equal error.
     flag = F.round(_abs_error(), 6) >= F.round("error_threshold", 6)
     return rows.withColumns({"absolute_error": _abs_error(), "high_error_flag": flag})
 
 
+def _ranked_in_place(forecasts: DataFrame, stds: float) -> DataFrame:
+    # Forecasts stay distributed by series: no join, no further shuffle.
+    group = Window.partitionBy(KEY, *MODEL)
+    aggregates = [c.over(group).alias(name) for name, c in _error_aggregates().items()]
+    rows = _with_metrics(forecasts.select("*", *aggregates), stds)
+    return rows.withColumn("rank", F.dense_rank().over(_by_rmse()).cast("bigint"))
+
+
+def _ranked_by_block(forecasts: DataFrame, stds: float, block_rows: int) -> DataFrame:
+    stats = forecasts.groupBy(KEY, *MODEL).agg(
+        *[c.alias(name) for name, c in _error_aggregates().items()], F.max(IDX).alias("_last")
+    )
+    stats = rank_models(_with_metrics(stats, stds))
+    # Keyed by block as well, the rows of a long series go to many tasks.
+    stats = spread_over_blocks(stats, "_last", block_rows)
+    rows = forecasts.withColumn(BLOCK, block_of(block_rows))
+    return join_series(rows, stats, *MODEL, BLOCK).drop(BLOCK)
+
+
 def _review(rows: DataFrame) -> DataFrame:
     return rows.select(
         KEY, T, IDX, *MODEL,
@@ -130,27 +152,27 @@ def _review(rows: DataFrame) -> DataFrame:
 
 
 def high_error_review(
-    forecasts: DataFrame, layout: Layout = AUTO, stds: float = REVIEW_STDS
+    forecasts: Forecasts, layout: Layout = AUTO, stds: float = REVIEW_STDS
 ) -> DataFrame:
     """Forecasts of the best model of each series, flagged where the error is high."""
     return _review(ranked_errors(forecasts, layout, stds).filter(F.col("rank") == 1))
 
 
 def high_error_review_by_model(
-    forecasts: DataFrame, layout: Layout = AUTO, stds: float = REVIEW_STDS
+    forecasts: Forecasts, layout: Layout = AUTO, stds: float = REVIEW_STDS
 ) -> DataFrame:
     """The same review for every model."""
     return _review(ranked_errors(forecasts, layout, stds))
 
 
-def forecast_comparison(forecasts: DataFrame, layout: Layout = AUTO) -> DataFrame:
+def forecast_comparison(forecasts: Forecasts, layout: Layout = AUTO) -> DataFrame:
     """Actual, forecast and error of the best model of each series."""
     review = high_error_review(forecasts, layout)
     return review.drop("error_threshold", "high_error_flag")
 
 
 def run_summary(
-    series: DataFrame, forecasts: DataFrame, dataset: str, layout: Layout = AUTO
+    series: DataFrame, forecasts: Forecasts, dataset: str, layout: Layout = AUTO
 ) -> DataFrame:
     """One row per series: settings, best models, gain and flagged periods."""
     best = F.col("rank") == 1

@@ -107,6 +107,8 @@ def test_review_in_blocks_equals_plain(skewed, layout):
         plain = rows_of(operator(forecasts, PLAIN), "series_id", "model", "idx")
         blocks = rows_of(operator(forecasts, layout), "series_id", "model", "idx")
         assert len(plain) > 0 and plain == blocks
+        frame = baselines.baseline_frame(skewed, layout)
+        assert plain == rows_of(operator(frame), "series_id", "model", "idx")
 
 
 def test_prep_report_in_blocks_equals_grouping(skewed):
