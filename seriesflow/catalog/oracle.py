@@ -279,7 +279,8 @@ best AS (
     s.model AS next_best_model, s.condition AS next_best_condition,
     s.test_rmse AS next_best_rmse,
     {_r("s.test_rmse - b.test_rmse", 3)} AS rmse_improvement_vs_next_best,
-    {_r("(s.test_rmse - b.test_rmse) / s.test_rmse * 100", 2)} AS rmse_improvement_percent_vs_next_best
+    {_r("(s.test_rmse - b.test_rmse) / s.test_rmse * 100", 2)}
+      AS rmse_improvement_percent_vs_next_best
   FROM ranked b LEFT JOIN ranked s ON s.series_id = b.series_id AND s.rank = 2
   WHERE b.rank = 1)"""
 

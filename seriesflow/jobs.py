@@ -1,7 +1,9 @@
 """The two batch jobs: prepare features, and forecast with all reports.
 
-    spark-submit seriesflow/jobs.py prepare  --input demand.csv --time Month --value Units --output out
-    spark-submit seriesflow/jobs.py forecast --input demand.parquet --key product --time day --value units --output out
+    spark-submit seriesflow/jobs.py prepare \\
+        --input demand.csv --time Month --value Units --output out
+    spark-submit seriesflow/jobs.py forecast \\
+        --input demand.parquet --key product --time day --value units --output out
 """
 
 from __future__ import annotations

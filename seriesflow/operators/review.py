@@ -95,14 +95,6 @@ def _with_metrics(df: DataFrame, stds: float) -> DataFrame:
     )
 
 
-def error_thresholds(forecasts: DataFrame, stds: float = REVIEW_STDS) -> DataFrame:
-    """Error above which a period needs review, per series and model."""
-    stats = forecasts.groupBy(KEY, *MODEL).agg(
-        *[c.alias(name) for name, c in _error_aggregates().items()]
-    )
-    return _with_metrics(stats, stds).select(KEY, *MODEL, "error_threshold")
-
-
 def ranked_errors(
     forecasts: Forecasts, layout: Layout = AUTO, stds: float = REVIEW_STDS
 ) -> DataFrame:

@@ -21,7 +21,8 @@ def by_length(make_series):
 
 
 def test_split_sizes_use_double_arithmetic(by_length):
-    rows = {r.series_id: r for r in splits.split_counts(splits.split_raw(by_length, PLAIN)).collect()}
+    counts = splits.split_counts(splits.split_raw(by_length, PLAIN))
+    rows = {r.series_id: r for r in counts.collect()}
     for n in LENGTHS:
         row = rows[f"n{n}"]
         train, validation = int(0.70 * n), int(0.85 * n)
@@ -89,7 +90,8 @@ def test_all_zero_actuals_have_no_percentage(make_series):
     # All models tie, so the first in their order is best.
     assert review.best_model(board).first().model == "Naive"
     pair = review.best_vs_next(board).first()
-    assert pair.rmse_improvement_vs_next_best == 0 and pair.rmse_improvement_percent_vs_next_best is None
+    assert pair.rmse_improvement_vs_next_best == 0
+    assert pair.rmse_improvement_percent_vs_next_best is None
 
 
 def test_constant_series_scales_to_zero(make_series):

@@ -160,11 +160,11 @@ def test_lengths_are_measured(skewed):
 
 def test_joins_without_broadcast_give_the_same(skewed, monkeypatch):
     layout = Layout("auto", block_rows=50)
-    expected = rows_of(features.feature_table(skewed, layout), "series_id", "t", "y", "lag_1", "lag_3")
+    keys = ("series_id", "t", "y", "lag_1", "lag_3")
+    expected = rows_of(features.feature_table(skewed, layout), *keys)
     scaled = rows_of(scaling.scaler_transform(skewed, layout), "series_id", "idx")
     monkeypatch.setattr("seriesflow.plans.layout.BROADCAST_ROWS", -1)
-    assert expected == rows_of(
-        features.feature_table(skewed, layout), "series_id", "t", "y", "lag_1", "lag_3")
+    assert expected == rows_of(features.feature_table(skewed, layout), *keys)
     assert same(scaled, rows_of(scaling.scaler_transform(skewed, layout), "series_id", "idx"))
 
 

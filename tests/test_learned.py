@@ -40,7 +40,8 @@ def test_linear_model_is_least_squares(air):
     train = [r for r in rows if r["split"] == "train"]
     test = [r for r in rows if r["split"] == "test"]
     x = lambda part: np.array([r["x"] + [1.0] for r in part])
-    weights, *_ = np.linalg.lstsq(x(train), np.array([r["level_target"] for r in train]), rcond=None)
+    y = np.array([r["level_target"] for r in train])
+    weights, *_ = np.linalg.lstsq(x(train), y, rcond=None)
     expected = x(test) @ weights * test[0]["scale_std"] + test[0]["scale_mean"]
     for condition in (learned.LEVEL, learned.DELTA):
         found = rows_of(forecasts.filter(F.col("condition") == condition), "idx")

@@ -46,7 +46,8 @@ def test_past_does_not_see_the_future(series, changed_later):
 
 def test_training_fits_do_not_see_later_rows(series, changed_later):
     fit = _only_a(scaling.scaler_fit(series, PLAIN))
-    assert rows_of(fit, "series_id") == rows_of(scaling.scaler_fit(changed_later, PLAIN), "series_id")
+    later_fit = scaling.scaler_fit(changed_later, PLAIN)
+    assert rows_of(fit, "series_id") == rows_of(later_fit, "series_id")
     trend = [baselines.TREND]
     a = rows_of(_only_a(baselines.baseline_forecasts(series, PLAIN, trend)).drop("actual"), "idx")
     b = rows_of(baselines.baseline_forecasts(changed_later, PLAIN, trend).drop("actual"), "idx")
