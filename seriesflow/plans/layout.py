@@ -209,7 +209,8 @@ def _by_length(
     if layout.indexed:
         return df.filter(F.col(N) <= layout.block_rows), df.filter(F.col(N) > layout.block_rows)
     keys = _row_counts(df, layout).filter(F.col("_rows") > layout.block_rows).select(KEY)
-    keys = _broadcast_up_to(keys, lengths.long_series)
+    # Used twice, and a small table: kept, so that it is not counted out again.
+    keys = _broadcast_up_to(store(keys, "long-keys"), lengths.long_series)
     return join_series(df, keys, how="left_anti"), join_series(df, keys, how="left_semi")
 
 

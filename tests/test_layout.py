@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from seriesflow.config import PLAIN, Layout
 from seriesflow.operators import (
-    baselines, features, prepare, review, scaling, splits, windows,
+    baselines, features, prepare, review, scaling, score, splits, windows,
 )
 from seriesflow.plans.layout import index_series, keep_index, measure_lengths, resolve
 from seriesflow.sources import storage
@@ -109,6 +109,7 @@ def test_review_in_blocks_equals_plain(skewed, layout):
         assert len(plain) > 0 and plain == blocks
         frame = baselines.baseline_frame(skewed, layout)
         assert plain == rows_of(operator(frame), "series_id", "model", "idx")
+    forecasts.unpersist()
 
 
 def test_prep_report_in_blocks_equals_grouping(skewed):
@@ -189,6 +190,29 @@ def test_one_shuffle_for_the_plain_suite(skewed):
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_review_of_bounded_series_adds_no_shuffle(skewed):
+    plan = _plan(review.high_error_review(baselines.baseline_forecasts(skewed, PLAIN), PLAIN))
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_best_model_keeps_only_the_first_of_a_group(skewed):
+    board = score.leaderboard(baselines.baseline_forecasts(skewed, PLAIN))
+    assert "WindowGroupLimit" in _plan(review.best_model(board))
+
+
+def test_scan_reads_only_the_columns_used(spark, skewed, tmp_path):
+    path = str(tmp_path / "wide")
+    skewed.withColumn("unused", F.lit("x")).write.parquet(path)
+    plan = _plan(splits.split_raw(spark.read.parquet(path).drop("unused"), PLAIN).select("idx"))
+    assert "ReadSchema: struct<series_id:string,t:timestamp,y:double,tiebreak:bigint>" in plan
+    counts = _plan(splits.window_counts(spark.read.parquet(path)))
+    assert "ReadSchema: struct<series_id:string>" in counts
+
+
 def test_key_filter_reaches_the_scan(spark, skewed, tmp_path):
     path = str(tmp_path / "series")
     skewed.write.parquet(path)
