@@ -7,7 +7,7 @@ next difference, from which the level is then rebuilt.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
@@ -89,16 +89,24 @@ def _fitting_data(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return kept.filter(F.col(SPLIT) == TRAIN), kept.filter(F.col(SPLIT) == VALIDATION)
 
 
+def _side_by_side(fit: Callable, choices: Sequence, train: DataFrame) -> list:
+    """Fit once per choice, at the same time: each fit is a chain of Spark jobs."""
+    with ThreadPool(len(choices)) as pool:
+        return pool.map(inheritable_thread_target(train.sparkSession)(fit), choices)
+
+
 def _fit_linear(train, validation, settings: LearnedSettings) -> dict[str, tuple]:
     """Ridge regression; the penalty is the one with the lowest validation error."""
-    candidates = {
-        (condition, ridge): LinearRegression(
-            labelCol=label, regParam=ridge, solver="normal",
-            predictionCol=f"_p{i}_{j}",
+    choices = [(condition, ridge) for condition in _LABELS for ridge in settings.ridge]
+
+    def fit(choice: tuple[str, float]) -> Model:
+        condition, ridge = choice
+        return LinearRegression(
+            labelCol=_LABELS[condition], regParam=ridge, solver="normal",
+            predictionCol=f"_p{choices.index(choice)}",
         ).fit(train)
-        for i, (condition, label) in enumerate(_LABELS.items())
-        for j, ridge in enumerate(settings.ridge)
-    }
+
+    candidates = dict(zip(choices, _side_by_side(fit, choices, train)))
     # All candidates are scored in one pass over the validation rows.
     scored = validation
     for model in candidates.values():
@@ -134,10 +142,7 @@ def _fit_boosted(train, validation, settings: LearnedSettings) -> dict[str, tupl
                 model = trees.setMaxIter(rounds).fit(train)
         return model, loss, f"rounds={rounds}"
 
-    # Boosting is a long chain of small jobs; the two conditions run side by side.
-    with ThreadPool(len(_LABELS)) as pool:
-        fits = pool.map(inheritable_thread_target(train.sparkSession)(fit), _LABELS.values())
-    return dict(zip(_LABELS, fits))
+    return dict(zip(_LABELS, _side_by_side(fit, list(_LABELS.values()), train)))
 
 
 _FITS = {LINEAR: _fit_linear, BOOSTED: _fit_boosted}
