@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
 
-from seriesflow.config import AUTO, KEY, LAGS, T, TIE, WINDOW, Y, Layout
+from seriesflow.config import AUTO, IDX, KEY, LAGS, T, TIE, WINDOW, Y, Layout
 from seriesflow.functions import columns as C
 from seriesflow.plans.layout import index_series
 
@@ -47,8 +47,8 @@ def _report_windows(w: WindowSpec) -> dict[str, Column]:
     return {
         "_lag": F.lag(Y, max(LAGS)).over(w),
         "_next": F.lead(Y, 1).over(w),
-        "_before": F.lag(F.struct(T), 1).over(w),
-        "_before_that": F.lag(F.struct(T), 2).over(w),
+        "_before": F.lag(T, 1).over(w),
+        "_before_that": F.lag(T, 2).over(w),
     }
 
 
@@ -60,11 +60,9 @@ def prep_report(df: DataFrame, layout: Layout = AUTO) -> DataFrame:
     split sizes follow from the number of feature rows.
     """
     rows = index_series(df, layout, _report_windows, back=max(LAGS), ahead=1).df
-    # The struct tells a missing period from there being no row before.
-    repeated = F.col("_before").isNotNull() & F.col("_before.t").eqNullSafe(F.col(T))
-    second = repeated & ~(
-        F.col("_before_that").isNotNull() & F.col("_before_that.t").eqNullSafe(F.col(T))
-    )
+    # The position tells a missing period before from there being no row before.
+    repeated = (F.col(IDX) >= 1) & F.col(T).eqNullSafe(F.col("_before"))
+    second = repeated & ~((F.col(IDX) >= 2) & F.col(T).eqNullSafe(F.col("_before_that")))
     counts = rows.groupBy(KEY).agg(
         F.count(F.lit(1)).alias("raw_rows"),
         F.count_if(F.col(T).isNull()).alias("missing_months"),
