@@ -15,7 +15,7 @@ MONTHLY = PLAIN
 # test tables have several of them.
 ONE_LONG_SERIES = Layout("auto", block_rows=4096)
 # Users' series stay whole, the large one is cut into several blocks.
-ONE_HOT_SERIES = Layout("auto", block_rows=500)
+ONE_HOT_SERIES = Layout("auto", block_rows=1000)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -18,14 +18,9 @@ def write_features(df: DataFrame, path: str, max_rows_per_file: int = 50_000_000
     )
 
 
-def write_report_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Report as CSV with a header, columns in the order of the DataFrame.
-
-    ``single_file`` gathers the rows in one task, so it is only for reports
-    known to be small, such as the metrics of a few series.
-    """
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+def write_report_csv(df: DataFrame, path: str) -> None:
+    """Report as CSV with a header, columns in the order of the DataFrame."""
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_summary_json(df: DataFrame, path: str) -> None:

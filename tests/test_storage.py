@@ -65,7 +65,7 @@ def test_reports_survive_the_round_trip(spark, make_series, tmp_path):
     df = make_series(a=[float(i * i % 17) for i in range(60)])
     forecasts = baselines.baseline_forecasts(df, PLAIN)
     records = score.leaderboard(forecasts)
-    sinks.write_report_csv(records, str(tmp_path / "csv"), single_file=True)
+    sinks.write_report_csv(records, str(tmp_path / "csv"))
     back = sources.read_series_csv(spark, str(tmp_path / "csv"), records.schema, strict=True)
     assert rows_of(back, "model") == rows_of(records, "model")
     summary = review.run_summary(df, forecasts, "d", PLAIN)
