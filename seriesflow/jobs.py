@@ -1,8 +1,8 @@
 """The two batch jobs: prepare features, and forecast with all reports.
 
-    spark-submit seriesflow/jobs.py prepare \\
+    spark-submit run_job.py prepare \\
         --input demand.csv --time Month --value Units --output out
-    spark-submit seriesflow/jobs.py forecast \\
+    spark-submit run_job.py forecast \\
         --input demand.parquet --key product --time day --value units --output out
 """
 
@@ -103,7 +103,3 @@ def main(arguments: Sequence[str] | None = None) -> None:
     else:
         forecast_job(
             series, args.dataset or args.input, args.output, layout, not args.baselines_only)
-
-
-if __name__ == "__main__":
-    main()
