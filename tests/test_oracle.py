@@ -27,17 +27,17 @@ def _ordered(rows, columns):
     return sorted((tuple(r[i] for i in order) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(entry.ORACLE))
 def test_query_equals_its_sql(spark, sql, name):
     found = entry.queries()[name](spark, FOLDER)
-    expected = sql.sql(entry.oracle_sql()[name])
+    expected = sql.sql(entry.ORACLE[name])
     assert sorted(found.columns) == sorted(expected.columns)
     rows = _ordered([tuple(r) for r in found.collect()], found.columns)
     assert rows and rows == _ordered(expected.fetchall(), expected.columns)
 
 
 def test_only_the_iterative_fits_have_no_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {
+    assert set(entry.QUERIES) - set(entry.ORACLE) == {
         "learned_forecast", "learned_forecast_users", "model_selection", "leaderboard_learned"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
