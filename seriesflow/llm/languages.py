@@ -102,24 +102,24 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> LanguageMode
 
 def mixtures(p: np.ndarray, counts: np.ndarray, lengths: np.ndarray, allowed: np.ndarray,
              rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Shares and log-likelihood of each text.
+    """Shares (language x text) and log-likelihood of each text.
 
-    ``p`` has a row per different trigram of a text (texts end to end, ``lengths`` rows
-    each, none empty), ``counts`` its count; ``allowed`` (text x language) are the
-    languages that may have a share.
+    ``p`` (language x trigram) has a column per different trigram of a text (texts end to
+    end, ``lengths`` columns each, none empty), ``counts`` its count; ``allowed``
+    (language x text) are the languages that may have a share.
     """
     starts = starts_of(lengths)
     text_of = np.repeat(np.arange(len(lengths)), lengths)
     total = np.add.reduceat(counts, starts)
-    shares = allowed / allowed.sum(axis=1, keepdims=True)
+    shares = (allowed / allowed.sum(axis=0)).astype(np.float32)
     for step in range(rounds + 1):
-        joint = p * shares[text_of].astype(np.float32)
-        likelihood = joint.sum(axis=1)
+        joint = p * shares[:, text_of]
+        likelihood = joint.sum(axis=0)
         if step == rounds:
             break
-        joint *= (counts / likelihood)[:, None]
-        shares = np.add.reduceat(joint, starts, axis=0).astype(np.float64) / total[:, None]
-    return shares, np.add.reduceat(counts * np.log(likelihood.astype(np.float64)), starts)
+        joint *= counts / likelihood
+        shares = np.add.reduceat(joint, starts, axis=1) / total
+    return shares, np.add.reduceat(counts * np.log(likelihood), starts, dtype=np.float64)
 
 
 def infer(texts: list[str], model: LanguageModel, table: np.ndarray):
@@ -135,24 +135,24 @@ def infer(texts: list[str], model: LanguageModel, table: np.ndarray):
     counts = np.diff(np.append(first, len(keys))).astype(np.float32)
     keys = keys[first]
     lengths = np.bincount(keys // FEATURES, minlength=len(some))
-    p = model.p[keys % FEATURES]
+    p = np.ascontiguousarray(model.p[keys % FEATURES].T)
     n = np.array([len(found[i]) for i in some], np.float64)
-    full, _ = mixtures(p, counts, lengths, np.ones((len(some), len(names))))
-    place = np.argsort(np.argsort(-full, axis=1, kind="stable"), axis=1)
+    full = mixtures(p, counts, lengths, np.ones((len(names), len(some))))
+    place = np.argsort(np.argsort(-full[0], axis=0, kind="stable"), axis=0)
     best = np.full(len(some), -np.inf)
-    chosen = np.zeros_like(full)
+    chosen = np.zeros_like(full[0])
     for size in range(1, len(names) + 1):
-        shares, fit_ = mixtures(p, counts, lengths, (place < size).astype(np.float64),
-                                0 if size == 1 else ROUNDS)
+        shares, fit_ = full if size == len(names) > 1 else mixtures(
+            p, counts, lengths, place < size, 0 if size == 1 else ROUNDS)
         value = fit_ - 0.5 * (size - 1) * np.log(n)
         better = value > best
         if not better.any():
             break
-        chosen[better], best[better] = shares[better], value[better]
-    top = chosen.argmax(axis=1)
+        chosen[:, better], best[better] = shares[:, better], value[better]
+    top = chosen.argmax(axis=0)
     for k, i in enumerate(some):
-        lang[i], score[i] = names[top[k]], float(min(chosen[k, top[k]], 1.0))
-        mixture[i] = {names[j]: float(chosen[k, j]) for j in np.flatnonzero(chosen[k] > 0)}
+        lang[i], score[i] = names[top[k]], float(min(chosen[top[k], k], 1.0))
+        mixture[i] = {names[j]: float(chosen[j, k]) for j in np.flatnonzero(chosen[:, k] > 0)}
     return lang, score, mixture
 
 

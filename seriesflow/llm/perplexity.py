@@ -9,6 +9,7 @@ those of all texts, added up by Spark; the model is looked up in sorted arrays o
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import chain, count
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -173,7 +174,13 @@ class HashedModel:
         return keys[at] == wanted, values[at]
 
     def log10(self, codes: np.ndarray) -> np.ndarray:
-        """log10 probability of the last symbol of each 4-gram."""
+        """log10 probability of the last symbol of each 4-gram; equal ones are found once."""
+        different = np.flatnonzero(np.bincount(codes, minlength=SYMBOLS ** ORDER))
+        table = np.zeros(SYMBOLS ** ORDER)
+        table[different] = self._log10(different)
+        return table[codes]
+
+    def _log10(self, codes: np.ndarray) -> np.ndarray:
         out = np.zeros(len(codes), np.float64)
         rest, added = np.arange(len(codes)), np.zeros(len(codes), np.float64)
         left = codes.astype(np.int64)
@@ -223,8 +230,8 @@ def _repeated_lines(text: bytes) -> int:
 def repeated_words(words: list[list[bytes]], lengths: np.ndarray, size: int = 5) -> np.ndarray:
     """Words of each text that lie in a window of ``size`` words found twice in it."""
     ids: dict[bytes, int] = {}
-    flat = np.fromiter((ids.setdefault(w, len(ids)) for text in words for w in text),
-                       np.int64, int(lengths.sum()))
+    flat = np.fromiter(map(ids.setdefault, chain.from_iterable(words), count()), np.int64,
+                       int(lengths.sum()))
     covered = np.zeros(len(flat) + 1, np.int64)
     text_of = np.repeat(np.arange(len(words)), lengths)
     if len(flat) >= size:
