@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seriesflow.llm import languages, perplexity, pieces, token_counts
+from seriesflow.llm import languages, perplexity, pieces, simhash, token_counts, toxicity
 from seriesflow.llm.common import crc_mod
 
 QUERIES: dict = {}
@@ -43,3 +43,19 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
 def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode_texts(_table(spark, folder, "documents"),
                                public_tokenizers.path("piece_bpe_32k.model"), digests=True)
+
+
+@_query
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").withColumn("held_out", crc_mod(F.col("doc_id"), 4) == 2)
+    model = toxicity.fit(docs.where(~F.col("held_out")), _learnable(_table(spark, folder, "labels")))
+    return toxicity.score(docs, model, ["doc_id", "held_out"])
+
+
+def _learnable(labels: DataFrame) -> DataFrame:
+    return labels.where(crc_mod(F.col("doc_id"), 4) != 2)
+
+
+@_query
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_components(_table(spark, folder, "documents"))
