@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seriesflow.llm import languages, perplexity, pieces, simhash, token_counts, toxicity
+from seriesflow.llm import languages, perplexity, pieces, repeats, simhash, token_counts, toxicity
 from seriesflow.llm.common import crc_mod
 
 QUERIES: dict = {}
@@ -59,3 +59,37 @@ def _learnable(labels: DataFrame) -> DataFrame:
 @_query
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_components(_table(spark, folder, "documents"))
+
+
+@_query
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(_table(spark, folder, "documents"), digest=True)
+
+
+# Words, windows of 20 words, and the words that some window found earlier covers.
+ORACLE["op9_substring_dedup"] = r"""
+WITH cut AS (
+    SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                               lambda w: w <> '') AS words
+    FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(words[i:i + 19], ' ') AS w
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM cut WHERE len(words) >= 20)
+), ranked AS (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS r FROM windows
+), gone AS (
+    SELECT doc_id, list(DISTINCT p) AS gone
+    FROM (SELECT doc_id, unnest(range(i, i + 20)) AS p FROM ranked WHERE r > 1) GROUP BY doc_id
+), words AS (
+    SELECT cut.doc_id, words, coalesce(gone, []) AS gone FROM cut LEFT JOIN gone USING (doc_id)
+), kept AS (
+    SELECT w.doc_id, array_to_string(list(w.words[w.p] ORDER BY w.p), ' ') AS text
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS p FROM words) w
+    LEFT JOIN (SELECT doc_id, unnest(gone) AS p, true AS gone FROM words) g
+        ON w.doc_id = g.doc_id AND w.p = g.p
+    WHERE g.gone IS NULL GROUP BY w.doc_id
+)
+SELECT words.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(gone) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
