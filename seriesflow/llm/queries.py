@@ -5,8 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seriesflow.llm import languages, perplexity, pieces, repeats, simhash, token_counts, toxicity
+from seriesflow.llm import (
+    languages, perplexity, pieces, repeats, simhash, templates, token_counts, toxicity, warc,
+)
 from seriesflow.llm.common import crc_mod
+from seriesflow.sources.storage import new_path
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -93,3 +96,28 @@ SELECT words.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(gone) AS BI
        sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM words LEFT JOIN kept USING (doc_id)
 """
+
+
+@_query
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return templates.contaminations(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+@_query
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archive = new_path(spark, "warc")
+    warc.write_archives(_table(spark, folder, "pages"), archive)
+    return warc.read_archives(spark, archive).drop("url")
+
+
+ORACLE["op2_warc"] = """
+WITH bodies AS (
+    SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS size FROM pages
+), kept AS (
+    SELECT body, max(page_id) AS kept FROM bodies WHERE size >= 1000 GROUP BY body
+)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, sha1(body) AS payload_digest,
+       CASE WHEN page_id < kept THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < kept THEN kept END AS refers_to
+FROM bodies LEFT JOIN kept USING (body)
+"""
