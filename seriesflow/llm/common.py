@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Callable, Iterable, Iterator
-from itertools import islice
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -109,6 +110,16 @@ def mix(values: np.ndarray) -> np.ndarray:
     return x
 
 
+def numbered(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each word, equal for equal words, and the hash of each number's word."""
+    numbers: dict[bytes, int] = {}
+    flat = np.fromiter(map(numbers.setdefault, words, count()), np.int64, len(words))
+    places = np.fromiter(numbers.values(), np.int64, len(numbers))
+    hashes = np.zeros(len(words), np.uint64)
+    hashes[places] = np.fromiter(map(xxhash.xxh64_intdigest, numbers), np.uint64, len(numbers))
+    return flat, hashes
+
+
 def starts_of(lengths: np.ndarray) -> np.ndarray:
     """First positions of segments of the given lengths laid end to end."""
     starts = np.zeros(len(lengths), np.int64)

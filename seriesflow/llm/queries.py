@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from seriesflow.llm import (
-    languages, perplexity, pieces, repeats, simhash, templates, token_counts, toxicity, warc,
+    interpolation, languages, perplexity, pieces, repeats, simhash, templates, token_counts, toxicity,
+    warc,
 )
 from seriesflow.llm.common import crc_mod
 from seriesflow.sources.storage import new_path
@@ -121,3 +122,8 @@ SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, sha1(body) AS payload_dig
        CASE WHEN page_id < kept THEN kept END AS refers_to
 FROM bodies LEFT JOIN kept USING (body)
 """
+
+
+@_query
+def op4_interpolation(spark: SparkSession, folder: str) -> DataFrame:
+    return interpolation.score(_table(spark, folder, "documents"))

@@ -20,11 +20,10 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from seriesflow.llm.common import mix, ranges, share, starts_of
+from seriesflow.llm.common import mix, numbered, ranges, share, starts_of
 
 MINI = 4
 LONGEST = 2048  # windows of one super-k-mer
@@ -42,16 +41,6 @@ def _identified(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
                        F.col(text).cast("string").cast("binary").alias("text"))
 
 
-def _numbered(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """A number for each word, equal for equal words, and the hash of each number's word."""
-    numbers: dict[bytes, int] = {}
-    flat = np.fromiter(map(numbers.setdefault, words, count()), np.int64, len(words))
-    places = np.fromiter(numbers.values(), np.int64, len(numbers))
-    hashes = np.zeros(len(words), np.uint64)
-    hashes[places] = np.fromiter(map(xxhash.xxh64_intdigest, numbers), np.uint64, len(numbers))
-    return flat, hashes
-
-
 def super_kmers(lengths: np.ndarray, word_hash: np.ndarray, size: int, hot: np.ndarray):
     """First word, number of windows and minimiser of each super-k-mer of the texts.
 
@@ -120,7 +109,7 @@ def _slices_of(batches):
 def _kmers_of(words: list[list[bytes]], size: int, hot: np.ndarray):
     lengths = np.array([len(w) for w in words], np.int64)
     flat = [w for text in words for w in text]
-    numbers, hashes = _numbered(flat)
+    numbers, hashes = numbered(flat)
     first, sizes, minimiser = super_kmers(lengths, hashes[numbers], size, hot)
     text_of = np.repeat(np.arange(len(lengths)), lengths)[first] if len(first) else first
     return flat, text_of, first - starts_of(lengths)[text_of] if len(first) else first, first, sizes, minimiser
@@ -152,7 +141,7 @@ def find_repeats(ids, ties, starts, sizes, contents: list[bytes], size: int):
     order = np.lexsort((starts, ties, ids))
     ids, ties, starts, sizes = ids[order], ties[order], starts[order].astype(np.int64), sizes[order].astype(np.int64)
     lengths = sizes + size - 1
-    numbers, hashes = _numbered(b" ".join([contents[i] for i in order]).split(b" "))
+    numbers, hashes = numbered(b" ".join([contents[i] for i in order]).split(b" "))
     value = hashes[numbers]
     # polynomial hash of a window, by doubling
     base = np.uint64(0x9E3779B97F4A7C15)

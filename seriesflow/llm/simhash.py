@@ -211,15 +211,17 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_components(docs: DataFrame, shingle: int = 3, budget: int = 2, keep: list[str] | None = None,
                     text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``fingerprint`` (16 hex digits) and ``component_id`` of every row, beside ``keep``.
+    """``fingerprint`` (16 hex digits), ``component_id`` and ``component_fp`` of every row,
+    beside columns ``keep``.
 
     Texts are linked if their fingerprints differ in at most ``budget`` bits; component_id
-    is the smallest doc_id reachable, null if no row of the component has an id. Null texts
+    is the smallest doc_id reachable, null if no row of the component has an id;
+    component_fp is one fingerprint of the component and tells components apart. Null texts
     and texts without words have fingerprint zero and are linked like any other; repeated
     rows are each returned. An input column named like a new one is replaced.
     """
     keep = [c for c in ([doc_id] if keep is None else keep)
-            if c not in ("fingerprint", "component_id", "fp_", "root_", "lowest_")]
+            if c not in ("fingerprint", "component_id", "component_fp", "fp_", "root_", "lowest_")]
     source = docs.withColumn("lowest_", F.col(doc_id))
     rows = store(fingerprints(source, [*keep, "lowest_"], shingle, text), "fingerprints")
     different = store(rows.groupBy("fp_").agg(F.min("lowest_").alias("lowest_")), "different")
@@ -227,6 +229,10 @@ def near_components(docs: DataFrame, shingle: int = 3, budget: int = 2, keep: li
     rooted = different.join(roots.select(F.col("v").alias("fp_"), F.col("root").alias("root_")), "fp_", "left")
     rooted = store(rooted.withColumn("root_", F.coalesce("root_", "fp_")), "rooted")
     least = rooted.groupBy("root_").agg(F.min("lowest_").alias("component_id"))
-    named = store(rooted.join(least, "root_").select("fp_", "component_id"), "named")
+    named = store(rooted.join(least, "root_").select("fp_", "root_", "component_id"), "named")
     return rows.join(named, "fp_").select(
-        *keep, F.lower(F.lpad(F.hex("fp_"), 16, "0")).alias("fingerprint"), "component_id")
+        *keep, _digits("fp_").alias("fingerprint"), "component_id", _digits("root_").alias("component_fp"))
+
+
+def _digits(name: str):
+    return F.lower(F.lpad(F.hex(name), 16, "0"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from seriesflow.llm.common import mix, ranges, share, starts_of
+from seriesflow.llm.common import add_columns, mix, ranges, share, starts_of
 
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
 _NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:st|nd|rd|th|%)?")
@@ -35,6 +35,9 @@ UNITS = frozenset("mm cm m km mg g kg t ml l s ms h hz khz mhz ghz kb mb gb tb w
                   "degree degrees percent".split())
 
 
+REMEMBERED = 500_000  # words a task remembers before it starts afresh
+
+
 @dataclass(frozen=True)
 class Matching:
     """An item is found in a document if matching windows cover ``share`` of its template
@@ -220,6 +223,40 @@ def _fits(pairs, there, back) -> bool:
     return True
 
 
+def blocks_of(benchmark: DataFrame, matching: Matching):
+    """The benchmark's items in blocks of about ``matching.block_windows`` words."""
+    known = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(
+        F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
+    words = known.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
+    blocks = max(1, -(-int(words) // matching.block_windows))
+    for block in range(blocks):
+        some = known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
+        yield Items(sorted((r.item_id, r.text) for r in some.collect()), matching)
+
+
+def without_contaminations(docs: DataFrame, benchmark: DataFrame, matching: Matching = Matching(),
+                           text: str = "text") -> DataFrame:
+    """The rows of docs in which no benchmark item is found, by the rules of ``contaminations``."""
+    columns = docs.columns
+    for items in blocks_of(benchmark, matching):
+        shared = share(docs, items)
+
+        def make(shared=shared):
+            items, reader = shared(), Reader()
+
+            def work(texts):
+                if len(reader.raw) > REMEMBERED:
+                    reader.__init__()
+                found = {row[0] for row in matches([(t or b"").decode() for t in texts], items, reader)}
+                return ([i in found for i in range(len(texts))],)
+
+            return work
+
+        docs = add_columns(docs, make, [("contaminated_", T.BooleanType())], columns, text)
+        docs = docs.where(~F.col("contaminated_")).select(*columns)
+    return docs
+
+
 def contaminations(docs: DataFrame, benchmark: DataFrame, matching: Matching = Matching(),
                    keep: list[str] | None = None, text: str = "text") -> DataFrame:
     """A row for each row of docs and benchmark item found in it.
@@ -235,19 +272,13 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, matching: Matching = M
            ("contaminated", T.BooleanType())]
     names = [n for n, _ in new]
     keep = [c for c in (["doc_id"] if keep is None else keep) if c not in names]
-    known = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(
-        F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
-    words = known.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    blocks = max(1, -(-int(words) // matching.block_windows))
     schema = T.StructType([T.StructField(c, docs.schema[c].dataType) for c in keep]
                           + [T.StructField(n, t) for n, t in new])
     source = docs.select(F.col(text).cast("string").cast("binary").alias("text_"),
                          *[F.col(c).alias(f"kept{i}_") for i, c in enumerate(keep)])
     found = None
-    for block in range(blocks):
-        some = known if blocks == 1 else known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        rows = sorted((r.item_id, r.text) for r in some.collect())
-        part = source.mapInArrow(_searching(share(docs, Items(rows, matching)), keep, names), schema)
+    for items in blocks_of(benchmark, matching):
+        part = source.mapInArrow(_searching(share(docs, items), keep, names), schema)
         found = part if found is None else found.unionByName(part)
     return found
 
@@ -262,7 +293,7 @@ def _searching(shared, keep, names):
                 continue
             sizes = np.diff(np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, texts.offset * 4))
             for a, b in ranges(sizes, 4 << 20):
-                if len(reader.raw) > 500_000:
+                if len(reader.raw) > REMEMBERED:
                     reader = Reader()
                 rows = list(matches([(t or b"").decode() for t in texts.slice(a, b - a).to_pylist()], items, reader))
                 if rows:
