@@ -100,8 +100,9 @@ def count_grams(docs: DataFrame, text: str = "text") -> DataFrame:
             sizes = np.diff(np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4)) \
                 if len(column) else []
             for a, b in ranges(sizes, 4 << 20):
-                codes, _ = grams_of([t for t in column.slice(a, b - a).to_pylist() if t], table)
-                total += np.bincount(codes, minlength=len(total))
+                texts = [t for t in column.slice(a, b - a).to_pylist() if t]
+                if texts:
+                    total += np.bincount(grams_of(texts, table)[0], minlength=len(total))
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["gram", "count"])

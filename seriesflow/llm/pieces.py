@@ -159,22 +159,28 @@ def text_coder(model: PieceModel):
             memory[word] = n, ",".join(digits[a:a + n]), b"".join(surfaces[a:a + n])
             a += n
 
+    def joined(parts_of_words):
+        n, ids, raw = 0, [], []
+        for some in parts_of_words:
+            found = [memory[w] for w in some]
+            if found:
+                sizes, digits, surfaces = zip(*found)
+                n += sum(sizes)
+                ids.append(",".join(digits))
+                raw.append(b"".join(surfaces))
+        whole = b"".join(raw)
+        return n, ",".join(ids), whole[1:] if model.dummy_prefix and whole[:1] == b" " else whole
+
+    def in_parts(text):
+        for some in parts(model.words(text), WORDS):
+            learn(set(some))
+            yield some
+
     def code(texts: list[str]):
-        split = [list(model.words(t)) if len(t) <= LONG_TEXT else None for t in texts]
+        out = [joined(in_parts(t)) if len(t) > LONG_TEXT else None for t in texts]
+        split = [list(model.words(t)) if done is None else None for t, done in zip(texts, out)]
         learn(set().union(*(s for s in split if s)))
-        for text, words in zip(texts, split):
-            n, ids, raw = 0, [], []
-            for some in [words] if words is not None else parts(model.words(text), WORDS):
-                if words is None:
-                    learn(set(some))
-                found = [memory[w] for w in some]
-                if found:
-                    sizes, digits, surfaces = zip(*found)
-                    n += sum(sizes)
-                    ids.append(",".join(digits))
-                    raw.append(b"".join(surfaces))
-            joined = b"".join(raw)
-            yield n, ",".join(ids), joined[1:] if model.dummy_prefix and joined[:1] == b" " else joined
+        return [joined([words]) if done is None else done for words, done in zip(split, out)]
 
     return code
 

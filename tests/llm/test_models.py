@@ -1,0 +1,226 @@
+"""Quality rules, languages and toxicity: brute force on small texts, held-out accuracy."""
+
+import math
+import os
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from seriesflow.llm import languages, perplexity, queries, toxicity
+from tests.llm.conftest import edge_rows
+
+MIDDLE = "/root/testdata/sf0.01"
+needs_tables = pytest.mark.skipif(not os.path.isdir(MIDDLE), reason="no test tables")
+
+
+def brute_probability(texts):
+    """Interpolated modified Kneser-Ney over symbols, from dictionaries."""
+    table = perplexity.folding()
+    runs = []
+    for t in texts:
+        symbols = [int(s) for s in perplexity.fold(np.array([ord(c) for c in t], np.uint32), table)] if t else []
+        runs.append([0, 0, 0, *symbols, 0])
+    counts = {4: Counter(tuple(r[i:i + 4]) for r in runs for i in range(len(r) - 3))}
+    for n in (3, 2, 1):
+        higher = set(counts[4]) if n == 3 else set(g[4 - n - 1:] for g in counts[4])
+        counts[n] = Counter(g[1:] for g in higher)
+    discounts, totals, kinds = {}, {}, {}
+    for n in counts:
+        of = [sum(c == i for c in counts[n].values()) for i in range(1, 5)]
+        if all(of):
+            y = of[0] / (of[0] + 2 * of[1])
+            raw = [1 - 2 * y * of[1] / of[0], 2 - 3 * y * of[2] / of[1], 3 - 4 * y * of[3] / of[2]]
+            discounts[n] = [min(max(x, 0.01), i + 0.99) for i, x in enumerate(raw)]
+        else:
+            discounts[n] = [0.5, 1.0, 1.5]
+        for g, c in counts[n].items():
+            totals[n, g[:-1]] = totals.get((n, g[:-1]), 0) + c
+            kinds.setdefault((n, g[:-1]), Counter())[min(c, 3)] += 1
+
+    def p(gram):
+        n = len(gram)
+        if not n:
+            return 1 / perplexity.SYMBOLS
+        total = totals.get((n, gram[:-1]))
+        if not total:
+            return p(gram[1:])
+        d, c = discounts[n], counts[n].get(gram, 0)
+        left = sum(d[k - 1] * m for k, m in kinds[n, gram[:-1]].items())
+        return (max(c - (d[min(c, 3) - 1] if c else 0), 0) + left * p(gram[1:])) / total
+
+    return runs, p
+
+
+def test_perplexity_equals_brute_force(spark):
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("ab cé,.1 x") for _ in range(rng.randint(0, 40))) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    model = perplexity.fit(perplexity.count_grams(docs))
+    runs, p = brute_probability([t for t in texts if t])
+    found = {r.doc_id: r for r in perplexity.score(docs, model, ["doc_id"]).collect()}
+    table = perplexity.folding()
+    for i, t in enumerate(texts):
+        symbols = [0, 0, 0, *(int(s) for s in perplexity.fold(np.array([ord(c) for c in t], np.uint32), table)), 0] \
+            if t else [0, 0, 0, 0]
+        logs = [math.log10(p(tuple(symbols[k:k + 4]))) for k in range(len(symbols) - 3)]
+        assert found[i].n_grams == len(logs)
+        assert found[i].log_perplexity == pytest.approx(-sum(logs) / len(logs), rel=1e-5)
+
+
+def brute_base(text):
+    words = [w for w in (text or "").translate({i: " " for i in range(9, 14)}).split(" ") if w]
+    windows = Counter(tuple(words[i:i + 5]) for i in range(len(words) - 4))
+    covered = {i + k for i in range(len(words) - 4) if windows[tuple(words[i:i + 5])] > 1 for k in range(5)}
+    seen, lines = set(), 0
+    for line in (text or "").split("\n"):
+        if line.strip(" \t\n\x0b\x0c\r"):
+            lines += line in seen
+            seen.add(line)
+    n = len(words)
+    return (n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), lines, len(covered),
+            n < 10 or 100 * len(covered) > 20 * n)
+
+
+def test_base_counts_equal_brute_force(documents):
+    rng = random.Random(8)
+    texts = [r.text for r in documents.collect()] + [r[1] for r in edge_rows()]
+    texts += [" ".join(rng.choice("ab") for _ in range(rng.randint(0, 30))) + rng.choice(["\n", "\n\n x\nx", "\x1fy"])
+              for _ in range(300)]
+    found = list(zip(*perplexity.base_counts([None if t is None else t.encode() for t in texts])))
+    assert found == [brute_base(t) for t in texts]
+
+
+def test_bands_reject_what_lies_outside(spark):
+    rng = random.Random(1)
+    plain = [" ".join(rng.choice("stone river cloud garden window quiet summer".split()) for _ in range(60))
+             for _ in range(80)]
+    # no five words twice in a row, so the base rules pass
+    odd = ["".join(rng.choice("qzxjvkw#*%") for _ in range(400))] + ["zq " * 0 + " ".join(
+        "".join(rng.choice("qxzjkv") for _ in range(7)) for _ in range(60))]
+    rows = [(i, t, "en") for i, t in enumerate(plain + odd)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = {r.doc_id: r for r in perplexity.quality(docs, perplexity.Bands(3.0, 0.2)).collect()}
+    assert len(found) == 82
+    assert not found[81].base_failed and not found[81].kept
+    passed = [r for i, r in found.items() if i < 80 and not r.base_failed]
+    assert passed and all(r.kept for r in passed)
+
+
+def test_quality_on_edges(edges, none):
+    rows = perplexity.quality(edges, keep=edges.columns).collect()
+    assert len(rows) == len(edge_rows())
+    for r in rows:
+        assert (int(r.n_words), r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) \
+            == brute_base(r.text)
+        assert not (r.base_failed and r.kept)
+    assert perplexity.quality(none).count() == 0
+
+
+def test_mixture_equals_plain_expectation_maximisation():
+    rng = np.random.default_rng(3)
+    counts = rng.integers(0, 5, (languages.FEATURES, 3)).astype(float)
+    model = languages.LanguageModel(["x", "y", "z"], counts)
+    table = languages.folding()
+    texts = ["Hello there, ABC", "", "12 34", "çava été 漢字", "a"]
+    lang, score, mixture = languages.infer(texts, model, table)
+    assert lang[1] == lang[2] == "und" and score[1] == 0.0
+    for i in (0, 3, 4):
+        grams = Counter(languages.trigrams(texts[i], table).tolist())
+        p = {g: model.p[g].astype(float) for g in grams}
+        n, best = sum(grams.values()), None
+
+        def run(allowed, rounds):
+            shares = np.array([1.0 if j in allowed else 0.0 for j in range(3)])
+            shares /= shares.sum()
+            for _ in range(rounds):
+                shares = sum(c * p[g] * shares / (p[g] @ shares) for g, c in grams.items()) / n
+            return shares, sum(c * math.log(p[g] @ shares) for g, c in grams.items())
+
+        order = np.argsort(-run({0, 1, 2}, languages.ROUNDS)[0], kind="stable")
+        for size in (1, 2, 3):
+            shares, fit = run(set(order[:size].tolist()), 0 if size == 1 else languages.ROUNDS)
+            value = fit - 0.5 * (size - 1) * math.log(n)
+            if best is None or value > best[0]:
+                best = value, shares
+            else:
+                break
+        assert lang[i] == "xyz"[int(best[1].argmax())]
+        assert score[i] == pytest.approx(best[1].max(), rel=1e-3)
+
+
+def test_trigrams_are_counted_over_all_texts(spark):
+    rows = [("en", "Abc d"), ("de", "ähm"), ("en", "abc"), (None, "zzz"), ("en", None)]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    found = {(r["lang"], r["feature"]): r["count"] for r in languages.count_trigrams(docs).collect()}
+    table = languages.folding()
+    wanted = Counter((lang, int(g)) for lang, t in rows if lang and t for g in languages.trigrams(t, table))
+    assert found == dict(wanted)
+
+
+@needs_tables
+def test_languages_of_held_out_documents(spark):
+    found = queries.QUERIES["op8_language_id"](spark, MIDDLE)
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet").select("doc_id", "lang")
+    row = found.where("held_out").join(docs, "doc_id").agg(
+        F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.min("score"), F.max("score")).first()
+    assert row[0] > 0.97 and 0 <= row[1] and row[2] <= 1
+
+
+def test_languages_on_edges(edges, none):
+    model = languages.fit(edges)
+    assert model.names == ["de", "en"]
+    rows = languages.predict(edges, model, edges.columns).collect()
+    assert len(rows) == len(edge_rows())
+    assert all(r.lang_pred == "und" and r.score == 0 for r in rows if not any(map(str.isalpha, r.text or "")))
+    nothing = languages.fit(none)
+    assert languages.predict(none, model).count() == 0
+    assert {r.lang_pred for r in languages.predict(edges, nothing).collect()} == {"und"}
+
+
+def test_features():
+    lexicon = {"idiot": 3.0, "chlla*": 2.0}
+    found = dict(zip(toxicity.NAMES, toxicity.features("You IDIOT!! 1d1ot chllaero, sooooo i d i o t", lexicon)))
+    assert found["word_hits"] == pytest.approx(math.log1p(1)) and found["near_second_person"] == 1
+    assert found["stem_hits"] == pytest.approx(math.log1p(1)) and found["weight_max"] == 3
+    assert found["disguised_hits"] == 1 and found["capital_words"] > 0 and found["exclamations"] > 0
+    assert found["letter_runs"] > 0 and found["spelt_out"] > 0
+    assert toxicity.features("", lexicon) == [0.0] * len(toxicity.NAMES)
+
+
+def test_lexicon_equals_brute_force(spark):
+    rows = [("bad word here", 1), ("bad thing", 1), ("bad again", 1), ("bad bad", 1), ("good word", 0),
+            ("good thing bad", 0), ("fine", 0), ("fine thing", 0), ("good", 0), ("so good", 0)]
+    docs = spark.createDataFrame(rows, "text string, toxic int").repartition(3)
+    settings = toxicity.Settings(least_rows=2, least_odds=0.5)
+    found = toxicity.learn_lexicon(docs, settings)
+    t, c = Counter(), Counter()
+    for text, toxic in rows:
+        (t if toxic else c).update(toxicity.entries(text))
+    wanted = {w: math.log((t[w] + .5) / 5 / ((c[w] + .5) / 7)) for w in t if t[w] >= 2}
+    assert found == pytest.approx({w: o for w, o in wanted.items() if o >= 0.5})
+
+
+@needs_tables
+def test_toxicity_of_held_out_documents(spark):
+    found = queries.QUERIES["op3_toxicity"](spark, MIDDLE)
+    labels = spark.read.parquet(f"{MIDDLE}/labels.parquet")
+    rows = found.where("held_out").join(labels, "doc_id").collect()
+    right = sum(r.predicted == r.toxic for r in rows) / len(rows)
+    assert right > 0.9 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
+
+
+def test_toxicity_on_edges(spark, edges, none):
+    labels = spark.createDataFrame([(1, 1), (2, 0), (6, 0), (6, 1), (None, 1), (8, None), (9, 0)],
+                                   "doc_id bigint, toxic int")
+    settings = toxicity.Settings(trees=2, depth=1)
+    model = toxicity.fit(edges, labels, settings)
+    rows = toxicity.score(edges, model, edges.columns).collect()
+    assert len(rows) == len(edge_rows()) and all(0 <= r.score <= 1 for r in rows)
+    assert {r.n_words for r in rows} == {"w"}
+    only = toxicity.fit(edges, labels.where("toxic = 0 and doc_id <> 6"), settings)
+    assert {r.score for r in toxicity.score(edges, only).collect()} == {0.0}
+    empty = toxicity.fit(none, labels, settings)
+    assert toxicity.score(none, empty).count() == 0
