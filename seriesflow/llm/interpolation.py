@@ -317,7 +317,8 @@ def score(docs: DataFrame, keep: list[str] | None = None, text: str = "text", do
 
     histogram = (joined.where("deleted").mapInArrow(held_out_counts, "b bigint, p bigint, w bigint, n bigint")
                  .groupBy("b", "p", "w").agg(F.sum("n").alias("n")).collect())  # bounded by the steps
-    shared = share(docs, learn_weights([tuple(r) for r in histogram], totals.words))
+    weights = learn_weights([tuple(r) for r in histogram], totals.words)
+    shared = share(docs, weights if totals.tokens else np.tile([0.0, 0.0, 1.0], (BUCKETS, 1)))
     types = [docs.schema[c].dataType for c in keep]
     schema = T.StructType([T.StructField(c, t) for c, t in zip(keep, types)] + [T.StructField(n, t) for n, t in new])
     base_total = np.log10(totals.tokens + ADDED * (totals.words + 1))
