@@ -71,7 +71,7 @@ labelled AS (
 
 
 def _r(expression: str, places: int = 4) -> str:
-    return f"CAST(round(CAST({expression} AS DECIMAL(38,6)), {places}) AS DOUBLE)"
+    return f"CAST(round(CAST({expression} AS DECIMAL(38,10)), {places}) AS DOUBLE)"
 
 
 def _texts(name: str, places: int) -> str:

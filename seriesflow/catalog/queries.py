@@ -575,8 +575,7 @@ def high_error_review_skewed(spark, folder):
 
 
 def _summary(spark, folder) -> DataFrame:
-    series = tb.monthly_orders(spark, folder)
-    rows = review.run_summary(series, _orders_forecasts(spark, folder), ORDERS, MONTHLY)
+    rows = review.run_summary(_orders_forecasts(spark, folder), ORDERS, MONTHLY)
     return rows.withColumn("conditions_compared", F.array_join("conditions_compared", ","))
 
 
@@ -587,8 +586,7 @@ def run_summary(spark, folder):
 
 @_query
 def run_summary_skewed(spark, folder):
-    series = tb.skewed_events(spark, folder)
-    rows = review.run_summary(series, _skewed_forecasts(spark, folder), "skewed_events")
+    rows = review.run_summary(_skewed_forecasts(spark, folder), "skewed_events")
     return rows.withColumn("conditions_compared", F.array_join("conditions_compared", ","))
 
 

@@ -21,7 +21,14 @@ PATIENCE, MIN_GAIN = 30, 1e-6
 SEED = 42
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
 BASELINE = "Baseline"
-BASELINE_MODELS = ("Naive", "MovingAvg-12", "SeasonalNaive-12", "LinearTrend")
+
+
+def baseline_models(season: int = SEASON) -> tuple[str, ...]:
+    """Names of the rule-based models for a season of so many rows."""
+    return ("Naive", f"MovingAvg-{season}", f"SeasonalNaive-{season}", "LinearTrend")
+
+
+BASELINE_MODELS = baseline_models()
 
 
 @dataclass(frozen=True)

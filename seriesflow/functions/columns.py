@@ -12,7 +12,8 @@ from seriesflow.config import (
 
 def month_date(text: Column) -> Column:
     """First day of a ``yyyy-MM`` month; NULL when the text is no month."""
-    return F.concat(text, F.lit("-01")).try_cast("date")
+    day = F.concat(text, F.lit("-01")).try_cast("date")
+    return F.when(text.rlike(r"^\d{4}-\d{2}$"), day)
 
 
 def measure(text: Column) -> Column:
@@ -60,12 +61,12 @@ def mape(actual: Column, forecast: Column) -> Column:
 def report_round(value: Column, places: int) -> Column:
     """Half-up rounding of decimal digits.
 
-    Going through a decimal with six places first removes the float noise
-    that would otherwise decide an exact tie such as 0.0125.
+    Going through a decimal with ten places first removes the float noise
+    that would otherwise decide an exact tie such as 0.0125. Values that are
+    no such decimal, among them infinite ones, stay as they are.
     """
-    exact = value.cast("decimal(38,6)")
-    rounded = exact if places == 6 else F.round(exact, places)
-    return F.when(F.isnan(value), value).otherwise(rounded.cast("double"))
+    rounded = F.round(value.try_cast("decimal(38,10)"), places).cast("double")
+    return F.coalesce(F.when(~F.isnan(value), rounded), value)
 
 
 def month_text(day: Column) -> Column:

@@ -11,30 +11,39 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
+from pyspark.sql import Column, DataFrame, functions as F
 
 from seriesflow.config import (
-    AUTO, BASELINE_MODELS, IDX, KEY, MIN_GAIN, PATIENCE, SEED, SPLIT, T, TEST, TRAIN,
+    AUTO, IDX, KEY, MIN_GAIN, N, PATIENCE, SEED, SPLIT, STD_EPSILON, T, TEST, TRAIN,
     VALIDATION, WINDOW, Y, Layout,
 )
-from seriesflow.operators.scaling import unscaled
-from seriesflow.operators.windows import supervised_rows
+from seriesflow.functions.columns import split_label
+from seriesflow.operators.scaling import index_with_scale, scaled, scaler_fit, unscaled
 from seriesflow.sources.storage import store
 
 LEVEL, DELTA = "Learned - no differencing", "Learned - differencing"
 _LABELS = {LEVEL: "level_target", DELTA: "delta_target"}
 LINEAR, BOOSTED = "LinearRegression", "GBT"
+PACK = 4096  # rows of a series read together
+FIRST_ORDER = 100  # of learned models in ties: after baselines and external models
 
 
 @dataclass(frozen=True)
 class LearnedSettings:
+    """``length`` is the window. Boosting stops after ``patience`` rounds without gain on
+    the validation rows, at the latest after ``max_rounds``; the selection report says
+    where that limit was reached. Rounds are fitted in bulk: ``first_rounds``, then twice
+    as many as long as the patience lasts."""
+
+    length: int = WINDOW
     models: tuple[str, ...] = (LINEAR, BOOSTED)
     ridge: tuple[float, ...] = (0.0, 0.01, 0.1)
-    max_rounds: int = 40
+    first_rounds: int = 40
+    max_rounds: int = 300
     depth: int = 3
     patience: int = PATIENCE
     min_gain: float = MIN_GAIN
@@ -61,32 +70,92 @@ def best_round(curve: Sequence[float], patience: int, min_gain: float) -> int:
     return kept
 
 
+def packed(df: DataFrame, layout: Layout = AUTO, length: int = WINDOW) -> DataFrame:
+    """Packs of up to PACK consecutive rows of a series, with the ``length`` rows before.
+
+    The windows of a pack's rows lie inside it. So the table that the fits read
+    holds each row about once, and not once for every window it is part of;
+    and a long series has many packs.
+    """
+    if length > PACK:
+        raise ValueError(f"windows of more than {PACK} rows")
+    own = F.expr(f"{IDX} div {PACK}")
+    homes = F.when(F.col(IDX) % PACK >= PACK - length, F.array(own, own + 1)).otherwise(F.array(own))
+    return (
+        index_with_scale(df, layout).df
+        .withColumn("_pack", F.explode(homes))
+        .groupBy(KEY, "_pack")
+        .agg(
+            F.sort_array(F.collect_list(F.struct(IDX, T, Y))).alias("_rows"),
+            *[F.max(c).alias(c) for c in (N, "scale_mean", "scale_std")],
+        )
+    )
+
+
+def unpacked(packs: DataFrame, length: int = WINDOW) -> DataFrame:
+    """The supervised rows of the packs; see ``windows.supervised_rows``."""
+    rows = F.col("_rows")
+    start = F.greatest(F.col("_pack") * PACK, F.lit(length)) - rows[0][IDX]
+    places = F.when(start < F.size(rows), F.sequence(start.cast("int"), F.size(rows) - 1))
+
+    def supervised(j: Column) -> Column:
+        row = rows[j]
+        x = F.transform(F.slice(rows, j - length + 1, length), lambda r: scaled(r[Y]))
+        level, last = scaled(row[Y]), scaled(rows[j - 1][Y])
+        return F.struct(
+            row[T].alias(T), row[IDX].alias(IDX), row[Y].alias(Y), x.alias("x"),
+            last.alias("last_level"), level.alias("level_target"),
+            (level - last).alias("delta_target"),
+        )
+
+    # The rows are built inside an array, so that a pack is not copied to each of them.
+    made = packs.select(KEY, N, "scale_mean", "scale_std",
+                        F.explode(F.transform(places, supervised)).alias("_r"))
+    return made.select(
+        KEY, f"_r.{T}", f"_r.{IDX}", f"_r.{Y}", "scale_mean", "scale_std",
+        split_label(F.col(f"_r.{IDX}")).alias(SPLIT),
+        "_r.x", "_r.last_level", "_r.level_target", "_r.delta_target",
+    )
+
+
 def learning_rows(df: DataFrame, layout: Layout = AUTO, length: int = WINDOW) -> DataFrame:
     """Supervised rows with a feature vector.
 
-    Rows whose window or target has a gap stay in, marked as not ``usable``;
-    they are kept out of the fits and get no forecast.
+    Rows whose window or target has a gap or an infinite value stay in, marked
+    as not ``usable``; they are kept out of the fits and get no forecast. So do
+    all rows of a series without spread in its training rows: scaled by next to
+    nothing, its later values would outweigh those of every other series.
     """
-    rows = supervised_rows(df, layout, length)
-    window_ok = ~F.exists("x", lambda v: v.isNull() | F.isnan(v))
-    target_ok = F.col("level_target").isNotNull() & ~F.isnan("level_target")
-    rows = rows.withColumns({"window_ok": window_ok, "usable": window_ok & target_ok})
+    rows = unpacked(store(packed(df, layout, length), "packs"), length)
+    rows = rows.withColumn("has_spread", _has_spread())
+    window_ok = F.col("has_spread") & F.forall("x", _finite)
+    rows = rows.withColumn("window_ok", F.coalesce(window_ok, F.lit(False)))
+    target_ok = F.coalesce(_finite(F.col("level_target")), F.lit(False))
+    rows = rows.withColumn("usable", F.col("window_ok") & target_ok)
     blank = F.array_repeat(F.lit(0.0), length)
     vector = array_to_vector(F.when(F.col("window_ok"), F.col("x")).otherwise(blank))
     return rows.withColumn("features", vector)
 
 
-def _fitting_data(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Training and validation rows, written out once.
+def _finite(value: Column) -> Column:
+    return value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
 
-    The fits pass over them many times; read from a table, a lost executor
-    does not send each pass back through the windows.
-    """
-    usable = rows.filter(F.col("usable") & F.col(SPLIT).isin(TRAIN, VALIDATION))
-    kept = store(
-        usable.select("features", *_LABELS.values(), SPLIT), "windows", partition_by=SPLIT
-    )
-    return kept.filter(F.col(SPLIT) == TRAIN), kept.filter(F.col(SPLIT) == VALIDATION)
+
+def _has_spread() -> Column:
+    """Whether the training rows differ by more than float noise."""
+    std, mean = F.col("scale_std") - STD_EPSILON, F.col("scale_mean")
+    return F.coalesce(_finite(std) & (std > STD_EPSILON * F.greatest(F.lit(1.0), F.abs(mean))), F.lit(False))
+
+
+def series_without_spread(df: DataFrame, layout: Layout = AUTO) -> DataFrame:
+    """The series that get no learned forecast because their training rows are all alike."""
+    return scaler_fit(df, layout).filter(~_has_spread()).select(KEY, "scale_mean")
+
+
+def _fitting_data(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Training and validation rows; each pass reads the packs anew."""
+    usable = rows.filter("usable").select("features", *_LABELS.values(), SPLIT)
+    return usable.filter(F.col(SPLIT) == TRAIN), usable.filter(F.col(SPLIT) == VALIDATION)
 
 
 def _side_by_side(fit: Callable, choices: Sequence, train: DataFrame) -> list:
@@ -124,23 +193,37 @@ def _fit_linear(train, validation, settings: LearnedSettings) -> dict[str, tuple
     return chosen
 
 
+def first_trees(model: GBTRegressionModel, count: int) -> GBTRegressionModel:
+    """The boosted model after ``count`` rounds: later trees do not change earlier ones."""
+    if count >= model.getNumTrees:
+        return model
+    gateway, java = SparkContext._gateway, model._java_obj
+    kind = gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    trees, weights = gateway.new_array(kind, count), gateway.new_array(gateway.jvm.double, count)
+    for i in range(count):
+        trees[i], weights[i] = java.trees()[i], float(model.treeWeights[i])
+    cut = gateway.jvm.org.apache.spark.ml.regression.GBTRegressionModel(model.uid, trees, weights)
+    return GBTRegressionModel(java.copyValues(cut, java.extractParamMap()))
+
+
 def _fit_boosted(train, validation, settings: LearnedSettings) -> dict[str, tuple]:
     """Boosted trees with as many rounds as patience on the validation curve keeps."""
     has_validation = not validation.isEmpty()
 
     def fit(label: str) -> tuple:
-        trees = GBTRegressor(
-            labelCol=label, maxDepth=settings.depth, maxIter=settings.max_rounds, seed=SEED
-        )
-        model, loss, rounds = trees.fit(train), None, settings.max_rounds
-        if has_validation:
+        rounds = min(settings.first_rounds, settings.max_rounds)
+        while True:
+            trees = GBTRegressor(labelCol=label, maxDepth=settings.depth, maxIter=rounds, seed=SEED)
+            model = trees.fit(train)
+            if not has_validation:
+                return model, None, f"rounds={rounds}"
             curve = model.evaluateEachIteration(validation, "squared")
             kept = best_round(curve, settings.patience, settings.min_gain)
-            loss = curve[kept]
-            if kept + 1 < rounds:
-                rounds = kept + 1
-                model = trees.setMaxIter(rounds).fit(train)
-        return model, loss, f"rounds={rounds}"
+            if kept + settings.patience < rounds or rounds == settings.max_rounds:
+                break
+            rounds = min(2 * rounds, settings.max_rounds)
+        limit = "" if kept + settings.patience < rounds else ", at the limit"
+        return first_trees(model, kept + 1), curve[kept], f"rounds={kept + 1}{limit}"
 
     return dict(zip(_LABELS, _side_by_side(fit, list(_LABELS.values()), train)))
 
@@ -156,7 +239,7 @@ def fit_models(rows: DataFrame, settings: LearnedSettings = LearnedSettings()) -
     fits = {name: _FITS[name](train, validation, settings) for name in settings.models}
     pairs = [(c, name) for c in _LABELS for name in settings.models]
     return [
-        Fitted(c, name, len(BASELINE_MODELS) + i, *fits[name][c])
+        Fitted(c, name, FIRST_ORDER + i, *fits[name][c])
         for i, (c, name) in enumerate(pairs)
     ]
 
@@ -196,6 +279,6 @@ def learned_forecasts(
     df: DataFrame, layout: Layout = AUTO, settings: LearnedSettings = LearnedSettings()
 ) -> tuple[DataFrame, DataFrame]:
     """Test forecasts of the learned models and their selection report."""
-    rows = learning_rows(df, layout)
+    rows = learning_rows(df, layout, settings.length)
     fitted = fit_models(rows, settings)
     return forecasts_of(rows, fitted), selection_report(df, fitted)

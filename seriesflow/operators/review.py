@@ -21,7 +21,9 @@ Forecasts = DataFrame | SeriesFrame
 
 
 def _by_rmse() -> WindowSpec:
-    return Window.partitionBy(KEY).orderBy(F.col("test_rmse").asc_nulls_last(), "model_order")
+    # A full order: models that tie in both are told apart by name, under every layout.
+    return Window.partitionBy(KEY).orderBy(
+        F.col("test_rmse").asc_nulls_last(), "model_order", "condition", "model")
 
 
 def rank_models(board: DataFrame, top: int | None = None) -> DataFrame:
@@ -123,11 +125,12 @@ def _ranked_in_place(forecasts: DataFrame, stds: float) -> DataFrame:
 
 def _ranked_by_block(forecasts: DataFrame, stds: float, block_rows: int) -> DataFrame:
     stats = forecasts.groupBy(KEY, *MODEL).agg(
-        *[c.alias(name) for name, c in _error_aggregates().items()], F.max(IDX).alias("_last")
+        *[c.alias(name) for name, c in _error_aggregates().items()],
+        F.min(IDX).alias("_first"), F.max(IDX).alias("_last"),
     )
     stats = rank_models(_with_metrics(stats, stds))
     # Keyed by block as well, the rows of a long series go to many tasks.
-    stats = spread_over_blocks(stats, "_last", block_rows)
+    stats = spread_over_blocks(stats, "_last", block_rows, "_first")
     rows = forecasts.withColumn(BLOCK, block_of(block_rows))
     return join_series(rows, stats, *MODEL, BLOCK).drop(BLOCK)
 
@@ -147,7 +150,12 @@ def high_error_review(
     forecasts: Forecasts, layout: Layout = AUTO, stds: float = REVIEW_STDS
 ) -> DataFrame:
     """Forecasts of the best model of each series, flagged where the error is high."""
-    return _review(ranked_errors(forecasts, layout, stds).filter(F.col("rank") == 1))
+    return review_of(ranked_errors(forecasts, layout, stds))
+
+
+def review_of(ranked: DataFrame) -> DataFrame:
+    """The review, from rows of ``ranked_errors``."""
+    return _review(ranked.filter(F.col("rank") == 1))
 
 
 def high_error_review_by_model(
@@ -164,21 +172,30 @@ def forecast_comparison(forecasts: Forecasts, layout: Layout = AUTO) -> DataFram
 
 
 def run_summary(
-    series: DataFrame, forecasts: Forecasts, dataset: str, layout: Layout = AUTO
+    forecasts: Forecasts, dataset: str, layout: Layout = AUTO, window: int = WINDOW
 ) -> DataFrame:
-    """One row per series: settings, best models, gain and flagged periods."""
+    """One row per series: settings, best models, gain and flagged periods.
+
+    The last row of a series is always a test row, so its length is known from
+    the forecasts and the series are not read again.
+    """
+    return summary_of(ranked_errors(forecasts, layout), dataset, window)
+
+
+def summary_of(ranked: DataFrame, dataset: str, window: int = WINDOW) -> DataFrame:
+    """The run summary, from rows of ``ranked_errors``."""
     best = F.col("rank") == 1
-    compared = ranked_errors(forecasts, layout).groupBy(KEY).agg(
-        F.max("rank").alias("models_compared"),
+    compared = ranked.groupBy(KEY).agg(
+        F.max("rank").alias("models_compared"),  # ranks have no ties
+        (F.max(IDX) + 1).alias("total_observations"),
         F.array_sort(F.collect_set("condition")).alias("conditions_compared"),
         *_pair_columns(),
         F.count_if(best & F.col("high_error_flag")).alias("high_error_periods_flagged"),
         C.report_round(_at_rank(1, "error_threshold"), 3).alias("review_threshold"),
     )
-    lengths = series.groupBy(KEY).agg(F.count(F.lit(1)).alias("total_observations"))
-    return join_series(_with_gain(compared), lengths).withColumns({
+    return _with_gain(compared).withColumns({
         "dataset": F.lit(dataset),
         "forecast_horizon": F.lit("1-step ahead"),
-        "window_length": F.lit(WINDOW).cast("bigint"),
+        "window_length": F.lit(window).cast("bigint"),
         "seed": F.lit(SEED).cast("bigint"),
     })

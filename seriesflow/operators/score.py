@@ -62,8 +62,8 @@ def result_records(scores: DataFrame, validation: DataFrame | None = None) -> Da
     if validation is None:
         scores = scores.withColumn("best_val_mse", F.lit(None).cast("double"))
     else:
-        # One row per fitted model, however many series there are.
-        scores = scores.join(F.broadcast(validation), ["condition", "model"], "left")
+        # One row per fitted model: Spark broadcasts what it finds to be small.
+        scores = scores.join(validation, ["condition", "model"], "left")
     return scores.select(
         KEY, *MODEL,
         C.report_round(F.col("best_val_mse"), 6).alias("best_val_mse"),

@@ -29,14 +29,18 @@ def order_columns(df: DataFrame) -> list[str]:
     return [T, TIE, Y] if TIE in df.columns else [T, Y]
 
 
-def spread_over_blocks(params: DataFrame, last_idx: str, block_rows: int) -> DataFrame:
-    """One copy of a per-series row for each block of the series.
+def spread_over_blocks(
+    params: DataFrame, last_idx: str, block_rows: int, first_idx: str | None = None
+) -> DataFrame:
+    """One copy of a per-series row for each block of the series, from that of
+    ``first_idx`` on.
 
     Joining on series and block instead of on series alone keeps a long
     series spread over many tasks.
     """
-    blocks = F.sequence(F.lit(0).cast("bigint"), F.expr(f"{last_idx} div {block_rows}"))
-    return params.withColumn(BLOCK, F.explode(blocks)).drop(last_idx)
+    first = F.expr(f"{first_idx} div {block_rows}") if first_idx else F.lit(0).cast("bigint")
+    blocks = F.sequence(first, F.expr(f"{last_idx} div {block_rows}"))
+    return params.withColumn(BLOCK, F.explode(blocks)).drop(last_idx, first_idx or last_idx)
 
 
 def join_series(left: DataFrame, right: DataFrame, *also: str, how: str = "inner") -> DataFrame:

@@ -12,21 +12,33 @@ CORRUPT = "_corrupt_record"
 def read_series_csv(
     spark: SparkSession, path: str, schema: T.StructType, strict: bool = False
 ) -> DataFrame:
-    """Read a CSV file with a header under an explicit schema.
+    """Read the columns of a schema from a CSV file, by the names in its header.
 
     Types are never inferred: that reads the file once more and lets one bad
-    row change the type of a column. By default a bad row keeps its text in
-    ``_corrupt_record``; ``strict`` fails on it instead.
+    row change the type of a column. Further columns are left out, a missing
+    one is an error. By default a bad row keeps its text in ``_corrupt_record``;
+    ``strict`` fails on it instead, and on an empty value.
     """
     reader = spark.read.option("header", True)
+    header = read_texts(spark, path).columns
+    missing = [c for c in schema.names if c not in header]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in {path}")
+    kinds = {f.name: f.dataType for f in schema.fields}
+    fields = [T.StructField(c, kinds.get(c, T.StringType())) for c in header]
     if strict:
-        return reader.option("mode", "FAILFAST").schema(schema).csv(path)
-    with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+        table = reader.option("mode", "FAILFAST").schema(T.StructType(fields)).csv(path)
+        return table.select(*[
+            F.when(F.col(c).isNull(), F.raise_error(F.lit(f"empty value in column {c}")))
+            .otherwise(F.col(c)).cast(kinds[c]).alias(c) for c in schema.names
+        ])
+    fields.append(T.StructField(CORRUPT, T.StringType()))
     return (
         reader.option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .schema(with_corrupt)
+        .schema(T.StructType(fields))
         .csv(path)
+        .select(*schema.names, CORRUPT)
     )
 
 

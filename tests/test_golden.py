@@ -160,7 +160,7 @@ def test_published_ranking(spark):
 @pytest.mark.parametrize("layout", LAYOUTS, ids=str)
 def test_run_summary(air, published, layout):
     forecasts = score.all_forecasts(baselines.baseline_forecasts(air, layout), published)
-    row = review.run_summary(air, forecasts, "air", layout).first()
+    row = review.run_summary(forecasts, "air", layout).first()
     assert (row.dataset, row.total_observations, row.models_compared) == ("air", 144, 5)
     assert row.conditions_compared == ["Baseline", "RNN - differencing"]
     assert (row.best_model, row.best_rmse) == ("BiLSTM", 34.931)

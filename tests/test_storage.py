@@ -68,7 +68,7 @@ def test_reports_survive_the_round_trip(spark, make_series, tmp_path):
     sinks.write_report_csv(records, str(tmp_path / "csv"))
     back = sources.read_series_csv(spark, str(tmp_path / "csv"), records.schema, strict=True)
     assert rows_of(back, "model") == rows_of(records, "model")
-    summary = review.run_summary(df, forecasts, "d", PLAIN)
+    summary = review.run_summary(forecasts, "d", PLAIN)
     sinks.write_summary_json(summary, str(tmp_path / "json"))
     assert rows_of(spark.read.schema(summary.schema).json(str(tmp_path / "json")), "series_id") == (
         rows_of(summary, "series_id"))
