@@ -71,7 +71,11 @@ labelled AS (
 
 
 def _r(expression: str, places: int = 4) -> str:
-    return f"CAST(round(CAST({expression} AS DECIMAL(38,10)), {places}) AS DOUBLE)"
+    rounded = "CAST(round(CAST({} AS DECIMAL(38,{})), {}) AS DOUBLE)"
+    return (
+        f"CASE WHEN abs({expression}) < 1000 THEN {rounded.format(expression, 10, places)} "
+        f"ELSE {rounded.format(expression, 7, places)} END"
+    )
 
 
 def _texts(name: str, places: int) -> str:
@@ -124,13 +128,14 @@ windowed AS (
   WHERE idx >= 24)"""
 
 
-def _forecasts(order: str = "t") -> str:
+def _forecasts(order: str = "t", season: int = 12) -> str:
     w = f"PARTITION BY series_id ORDER BY {order}"
     return f""",
 wide AS (
   SELECT *, lag(y, 1) OVER ({w}) AS naive,
-         avg(y) OVER ({w} ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) AS moving,
-         CASE WHEN idx >= 12 THEN lag(y, 12) OVER ({w}) ELSE lag(y, 1) OVER ({w}) END AS seasonal
+         avg(y) OVER ({w} ROWS BETWEEN {season} PRECEDING AND 1 PRECEDING) AS moving,
+         CASE WHEN idx >= {season} THEN lag(y, {season}) OVER ({w}) ELSE lag(y, 1) OVER ({w}) END
+           AS seasonal
   FROM labelled),
 trend AS (
   SELECT series_id, regr_slope(y, idx) AS a, regr_intercept(y, idx) AS b
@@ -142,8 +147,8 @@ forecasts AS (
   SELECT series_id, t, idx, 'Baseline' AS condition, model, model_order, y AS actual, forecast
   FROM (
     SELECT *, 'Naive' AS model, 0 AS model_order, naive AS forecast FROM tested UNION ALL
-    SELECT *, 'MovingAvg-12', 1, moving FROM tested UNION ALL
-    SELECT *, 'SeasonalNaive-12', 2, seasonal FROM tested UNION ALL
+    SELECT *, 'MovingAvg-{season}', 1, moving FROM tested UNION ALL
+    SELECT *, 'SeasonalNaive-{season}', 2, seasonal FROM tested UNION ALL
     SELECT *, 'LinearTrend', 3, trend FROM tested))"""
 
 
@@ -162,7 +167,8 @@ records AS (
          {_r("mape", 2)} AS test_mape_percent
   FROM scores),
 ranked AS (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY series_id ORDER BY test_rmse, model_order) AS rank
+  SELECT *, ROW_NUMBER() OVER (
+    PARTITION BY series_id ORDER BY test_rmse, model_order, condition, model) AS rank
   FROM records)"""
 
 
@@ -183,6 +189,47 @@ review AS (
          {_r("error_threshold", 3)} AS error_threshold, high_error_flag
   FROM reviewed)"""
 
+
+def _tied(source: str, series: str) -> str:
+    """Review of three models with the naive forecasts, the first by name."""
+    tied = """,
+tied AS (
+  SELECT * EXCLUDE (model, letter), 'Naive-' || letter AS model
+  FROM (SELECT * FROM forecasts WHERE model = 'Naive'), (VALUES ('C'), ('A'), ('B')) v(letter))"""
+    parts = series + _indexed("t, tiebreak") + _forecasts("t, tiebreak")
+    parts += tied + _scores("tied")
+    parts += REVIEW.replace("FROM forecasts f", "FROM tied f")
+    row = "series_id, idx, model, actual, forecast, absolute_error, error_threshold, high_error_flag"
+    return f"SELECT '{source}' AS source, * FROM (WITH {parts.strip()}\nSELECT {row} FROM review WHERE rank = 1)"
+
+
+# Least squares over scaled windows of one value, all series together.
+ONE_VALUE = """,
+fit AS (
+  SELECT series_id, avg(y) AS scale_mean, stddev_pop(y) + 1e-8 AS scale_std
+  FROM labelled WHERE split = 'train' GROUP BY 1),
+scaled AS (
+  SELECT l.*, scale_mean, scale_std,
+         coalesce(scale_std - 1e-8 > 1e-8 * greatest(1.0, abs(scale_mean)), FALSE) AS spread,
+         (y - scale_mean) / scale_std AS z,
+         (lag(y) OVER (PARTITION BY l.series_id ORDER BY idx) - scale_mean) / scale_std AS x
+  FROM labelled l LEFT JOIN fit ON l.series_id = fit.series_id),
+windowed AS (SELECT *, spread AND x IS NOT NULL AND z IS NOT NULL AS usable FROM scaled WHERE idx >= 1),
+line AS (
+  SELECT 'Learned - no differencing' AS condition, regr_slope(z, x) AS a, regr_intercept(z, x) AS b,
+         0.0 AS last
+  FROM windowed WHERE usable AND split = 'train' UNION ALL
+  SELECT 'Learned - differencing', regr_slope(z - x, x), regr_intercept(z - x, x), 1.0
+  FROM windowed WHERE usable AND split = 'train'),
+selection AS (
+  SELECT condition, 'LinearRegression' AS model,
+         avg((z - last * x - a * x - b) * (z - last * x - a * x - b)) AS best_val_mse
+  FROM windowed, line WHERE usable AND split = 'validation' GROUP BY 1),
+learned AS (
+  SELECT series_id, idx, condition, 'LinearRegression' AS model, 100 AS model_order, y AS actual,
+         CASE WHEN spread THEN (last * x + a * x + b) * scale_std + scale_mean END AS forecast
+  FROM windowed, line WHERE split = 'test')"""
+
 EXTERNAL = SCALED + _windowed("z", "scaled") + """,
 external AS (
   SELECT series_id, t, idx, 'External' AS condition, 'SeasonChange' AS model, 4 AS model_order,
@@ -466,6 +513,28 @@ ORACLE: dict[str, str] = {
     "run_summary_skewed": _sql(
         SKEWED_RANKED + REVIEW + "," + _BEST_VS_NEXT, _summary("skewed_events")),
     "run_summary": _SUMMARY,
+    "scan_series_csv_reordered": _LOADED,
+    "baseline_suite_season7": _sql(
+        USERS_INDEXED + _forecasts(EVENT_ORDER, 7) + _scores(), _SUITE),
+    "high_error_review_ties": _tied("users", USERS) + "\nUNION ALL\n" + _tied("skewed", SKEWED),
+    "learned_forecast_one_value": _sql(
+        USERS_INDEXED + ONE_VALUE,
+        f"SELECT series_id, idx, condition, model, actual, {_r('forecast', 3)} AS forecast "
+        "FROM learned"),
+    "model_selection_one_value": _sql(
+        USERS_INDEXED + ONE_VALUE,
+        f"SELECT condition, model, {_r('best_val_mse', 6)} AS best_val_mse, "
+        "'regParam=0.0' AS setting FROM selection"),
+    "leaderboard_one_value": _sql(
+        USERS_INDEXED + ONE_VALUE + _scores("learned"),
+        "SELECT series_id, condition, model, "
+        f"{_r('s.best_val_mse', 6)} AS best_val_mse, test_mae, test_rmse, test_mape_percent "
+        "FROM records r JOIN selection s USING (condition, model)"),
+    "boosted_validation": _sql(
+        ORDERS_INDEXED,
+        "SELECT condition, COUNT(*) AS validation_rows, CAST(0 AS DOUBLE) AS difference "
+        "FROM labelled, (VALUES ('Learned - no differencing'), ('Learned - differencing')) "
+        "v(condition) WHERE split = 'validation' AND idx >= 6 GROUP BY 1"),
     "sink_reports": _RECORDS,
     "sink_forecast_report": _COMPARED,
     "sink_review_report": _sql(ORDERS_REVIEW, f"{_REVIEWED} WHERE rank = 1"),

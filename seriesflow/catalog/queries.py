@@ -70,6 +70,24 @@ def scan_series_csv(spark, folder):
     return typed.select("series_id", _day(), "y")
 
 
+@_query
+def scan_series_csv_reordered(spark, folder):
+    """The same with the columns of the file in another order and one more among them."""
+    path = new_path(spark, "series-csv")
+    sinks.write_report_csv(tb.monthly_orders(spark, folder).select(
+        F.col("y").alias("amount"), F.lit("x").alias("other"),
+        C.month_text(F.col("t")).alias("month"), F.col("series_id").alias("priority"),
+    ), path)
+    schema = T.StructType([
+        T.StructField("priority", T.StringType()), T.StructField("month", T.StringType()),
+        T.StructField("amount", T.DoubleType()),
+    ])
+    raw = sources.read_series_csv(spark, path, schema, strict=True)
+    return raw.select(
+        F.col("priority").alias("series_id"),
+        C.month_date(F.col("month")).cast("string").alias("t"), F.col("amount").alias("y"))
+
+
 # --- typing and quality ----------------------------------------------------
 
 @_query
@@ -414,6 +432,11 @@ def baseline_suite_users(spark, folder):
     return _suite(baselines.baseline_suite(tb.user_events(spark, folder)))
 
 
+@_query
+def baseline_suite_season7(spark, folder):
+    return _suite(baselines.baseline_suite(tb.user_events(spark, folder), season=7))
+
+
 @_query
 def baseline_suite_lineitem(spark, folder):
     return _suite(baselines.baseline_suite(tb.monthly_lineitem(spark, folder), MONTHLY))
@@ -574,6 +597,21 @@ def high_error_review_skewed(spark, folder):
     return rows.select("series_id", "idx", "model", *_REVIEW)
 
 
+def _tied(forecasts: SeriesFrame) -> SeriesFrame:
+    """Three models with the forecasts of the naive one and equal order."""
+    names = F.explode(F.array(*[F.lit(f"Naive-{c}") for c in "CAB"]))
+    return forecasts.map(lambda rows: rows.filter(F.col("model") == "Naive").withColumn("model", names))
+
+
+@_query
+def high_error_review_ties(spark, folder):
+    """The first by name of three models that tie, for series of users and a hot one in blocks."""
+    users = baselines.baseline_frame(tb.user_events(spark, folder))
+    parts = [("users", _tied(users)), ("skewed", _tied(_skewed_forecasts(spark, folder)))]
+    rows = [review.high_error_review(f).withColumn("source", F.lit(name)) for name, f in parts]
+    return rows[0].unionByName(rows[1]).select("source", "series_id", "idx", "model", *_REVIEW)
+
+
 def _summary(spark, folder) -> DataFrame:
     rows = review.run_summary(_orders_forecasts(spark, folder), ORDERS, MONTHLY)
     return rows.withColumn("conditions_compared", F.array_join("conditions_compared", ","))
@@ -628,7 +666,52 @@ def sink_summary_json(spark, folder):
     return spark.read.schema(summary.schema).json(path)
 
 
-# --- learned forecasters: no SQL counterpart -------------------------------
+# --- learned forecasters ---------------------------------------------------
+
+# A window of one value and no penalty: least squares, which SQL has as well.
+_ONE_VALUE = learned.LearnedSettings(length=1, models=(learned.LINEAR,), ridge=(0.0,))
+
+
+def _one_value(spark, folder):
+    return learned.learned_forecasts(tb.user_events(spark, folder), AUTO, _ONE_VALUE)
+
+
+@_query
+def learned_forecast_one_value(spark, folder):
+    forecasts, _ = _one_value(spark, folder)
+    return forecasts.select("series_id", "idx", "condition", "model", "actual", _r("forecast", 3))
+
+
+@_query
+def model_selection_one_value(spark, folder):
+    _, selection = _one_value(spark, folder)
+    return selection.select("condition", "model", _r("best_val_mse", 6), "setting")
+
+
+@_query
+def leaderboard_one_value(spark, folder):
+    forecasts, selection = _one_value(spark, folder)
+    return score.leaderboard(forecasts, selection).select(*_RECORD)
+
+
+@_query
+def boosted_validation(spark, folder):
+    """Kept validation error of the boosted trees against that of their own forecasts."""
+    settings = learned.LearnedSettings(length=6, models=(learned.BOOSTED,), depth=2, first_rounds=10, max_rounds=10)
+    rows = learned.learning_rows(tb.monthly_orders(spark, folder), MONTHLY, settings.length)
+    fitted = {f.condition: f for f in learned.fit_models(rows, settings)}
+    found = []
+    for condition, label in ((learned.LEVEL, "level_target"), (learned.DELTA, "delta_target")):
+        model = fitted[condition].model.copy().setPredictionCol("_p")
+        scored = model.transform(rows.filter((F.col(SPLIT) == "validation") & F.col("usable")))
+        gap = F.abs(F.avg(F.pow(F.col(label) - F.col("_p"), 2)) - F.lit(fitted[condition].best_val_mse))
+        found.append(scored.agg(
+            F.lit(condition).alias("condition"), F.count(F.lit(1)).alias("validation_rows"),
+            F.round(gap, 6).alias("difference")))
+    return found[0].unionByName(found[1])
+
+
+# Windows of 24 values and boosted trees have no SQL counterpart.
 
 def _learned(spark, folder):
     return learned.learned_forecasts(tb.monthly_orders(spark, folder), MONTHLY)

@@ -61,12 +61,16 @@ def mape(actual: Column, forecast: Column) -> Column:
 def report_round(value: Column, places: int) -> Column:
     """Half-up rounding of decimal digits.
 
-    Going through a decimal with ten places first removes the float noise
-    that would otherwise decide an exact tie such as 0.0125. Values that are
-    no such decimal, among them infinite ones, stay as they are.
+    Going through a decimal with ten places first (seven from 1,000 on, where
+    doubles are coarser) removes the float noise that would otherwise decide an
+    exact tie such as 0.0125. Values that are no such decimal, among them
+    infinite ones, stay as they are.
     """
-    rounded = F.round(value.try_cast("decimal(38,10)"), places).cast("double")
-    return F.coalesce(F.when(~F.isnan(value), rounded), value)
+    def rounded(exact: int) -> Column:
+        return F.round(value.try_cast(f"decimal(38,{exact})"), places).cast("double")
+
+    kept = F.when(F.isnan(value), value).when(F.abs(value) < 1000, rounded(10))
+    return F.coalesce(kept.otherwise(rounded(7)), value)
 
 
 def month_text(day: Column) -> Column:
