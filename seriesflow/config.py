@@ -41,6 +41,10 @@ class Layout:
                bounded by construction, such as one row per calendar month.
     ``blocks`` cut every series into blocks.
 
+    Series of more than ``block_rows`` rows are long. Their blocks hold that
+    many rows, or more where all long series together would have more than
+    ``max_blocks`` blocks: the counts of the blocks are summed in one place.
+
     ``indexed`` says that the rows carry position ``idx`` and length ``n`` of
     their whole series, so that these need not be found again.
     """
@@ -48,7 +52,7 @@ class Layout:
     mode: str = "auto"
     block_rows: int = 1_000_000
     indexed: bool = False
-    max_range_partitions: int = 20_000
+    max_blocks: int = 100_000
 
     def __post_init__(self):
         if self.mode not in ("auto", "plain", "blocks"):

@@ -134,17 +134,18 @@ def index_series(
     order = [IDX] if layout.indexed else order_columns(df)
     lengths = measure_lengths(df, layout)
     short, long = _by_length(df, lengths, layout)
+    block_rows = max(layout.block_rows, ceil(lengths.long_rows / layout.max_blocks))
     if short is not None:
         short = _index_short(short, order, layout.indexed, windows, aggs)
     if long is not None:
         if not layout.indexed:
-            long = _index_long(long, order, lengths, layout)
-        long = long.withColumn(BLOCK, block_of(layout.block_rows))
+            long = _index_long(long, order, lengths, block_rows)
+        long = long.withColumn(BLOCK, block_of(block_rows))
         if aggs is not None:
-            long = _long_aggregates(long, aggs, lengths, layout)
+            long = _long_aggregates(long, aggs, lengths, block_rows)
         if windows is not None:
-            long = _over_blocks(long, windows, back, ahead, layout.block_rows)
-    return SeriesFrame(short, long, tuple(order), layout.block_rows, lengths)
+            long = _over_blocks(long, windows, back, ahead, block_rows)
+    return SeriesFrame(short, long, tuple(order), block_rows, lengths)
 
 
 def measure_lengths(df: DataFrame, layout: Layout) -> Lengths:
@@ -240,20 +241,22 @@ def _index_short(
     return df.select("*", *idx).select("*", *n).select("*", *totals).select("*", *extra)
 
 
-def _index_long(df: DataFrame, order: list[str], lengths: Lengths, layout: Layout) -> DataFrame:
+def _index_long(df: DataFrame, order: list[str], lengths: Lengths, block_rows: int) -> DataFrame:
     """Number the rows of long series without one task seeing a whole series.
 
-    Range partitions on key and order, with a row number last, are balanced
-    however many rows share a key, a time or all of their values. The row
-    numbers and then the places of the rows are written out before use: neither
-    may change when a lost task is run again. Only counts per partition are
-    then summed up.
+    Range partitions on key and order are balanced if a tiebreak tells rows
+    apart; without one a row number comes last, so that they are however many
+    rows share a time and a value. Row numbers and the places of the rows are
+    written out before use: neither may change when a lost task is run again.
+    Only counts per partition are then summed up.
     """
-    order = [KEY, *order, "_row"]
-    numbered = store(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    parts = min(ceil(lengths.long_rows / layout.block_rows), layout.max_range_partitions)
+    order = [KEY, *order]
+    if TIE not in df.columns:
+        df = store(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+        order.append("_row")
+    parts = ceil(lengths.long_rows / block_rows)
     placed = store(
-        numbered.repartitionByRange(parts, *order)
+        df.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
         .withColumn("_pos", F.monotonically_increasing_id())
         .drop("_row"),
@@ -262,11 +265,12 @@ def _index_long(df: DataFrame, order: list[str], lengths: Lengths, layout: Layou
     pieces = placed.groupBy(KEY, "_piece").agg(
         F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_rows")
     )
-    starts = pieces.select(
+    # Kept, so that what follows reads the positions once for each of its branches.
+    starts = store(pieces.select(
         KEY, "_piece",
         (_rows_before("_piece") - F.col("_first")).alias("_shift"),
         F.sum("_rows").over(Window.partitionBy(KEY)).alias(N),
-    )
+    ), "pieces")
     return (
         join_series(placed, _broadcast_up_to(starts, parts + lengths.long_series), "_piece")
         .withColumn(IDX, F.col("_pos") + F.col("_shift"))
@@ -275,14 +279,14 @@ def _index_long(df: DataFrame, order: list[str], lengths: Lengths, layout: Layou
 
 
 def _long_aggregates(
-    df: DataFrame, aggs: dict[str, Column], lengths: Lengths, layout: Layout
+    df: DataFrame, aggs: dict[str, Column], lengths: Lengths, block_rows: int
 ) -> DataFrame:
     params = df.groupBy(KEY).agg(
         *[c.alias(name) for name, c in aggs.items()], F.max(IDX).alias("_last")
     )
     if lengths.long_series <= BROADCAST_ROWS:
         return join_series(df, F.broadcast(params.drop("_last")))
-    return join_series(df, spread_over_blocks(params, "_last", layout.block_rows), BLOCK)
+    return join_series(df, spread_over_blocks(params, "_last", block_rows), BLOCK)
 
 
 def _over_blocks(
