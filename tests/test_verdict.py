@@ -104,6 +104,19 @@ def test_first_trees_are_those_of_a_shorter_fit(make_series):
     assert a == pytest.approx(b, abs=1e-12)
 
 
+def test_other_lags_and_rolls(make_series):
+    from seriesflow.operators import features
+
+    values = [float(i * i % 17) for i in range(30)]
+    for layout in (PLAIN, Layout("blocks", block_rows=10)):
+        rows = rows_of(features.feature_table(make_series(a=values), layout, (2, 5), (4,)), "t")
+        assert len(rows) == 30 - 5 - 1
+        for i, r in enumerate(rows, 5):
+            assert (r["y"], r["lag_2"], r["lag_5"], r["target_next"]) == (
+                values[i], values[i - 2], values[i - 5], values[i + 1])
+            assert r["rolling_mean_4"] == pytest.approx(sum(values[i - 4:i]) / 4)
+
+
 SCHEMA = StructType([StructField("Month", StringType()), StructField("Units", DoubleType())])
 
 
