@@ -10,14 +10,16 @@ CORRUPT = "_corrupt_record"
 
 
 def read_series_csv(
-    spark: SparkSession, path: str, schema: T.StructType, strict: bool = False
+    spark: SparkSession, path: str, schema: T.StructType, strict: bool = False,
+    allow_empty: bool = False,
 ) -> DataFrame:
     """Read the columns of a schema from a CSV file, by the names in its header.
 
     Types are never inferred: that reads the file once more and lets one bad
     row change the type of a column. Further columns are left out, a missing
     one is an error. By default a bad row keeps its text in ``_corrupt_record``;
-    ``strict`` fails on it instead, and on an empty value.
+    ``strict`` fails on it instead, and on an empty value unless ``allow_empty``,
+    as in reports whose columns do not apply to every row.
     """
     reader = spark.read.option("header", True)
     header = read_texts(spark, path).columns
@@ -28,6 +30,8 @@ def read_series_csv(
     fields = [T.StructField(c, kinds.get(c, T.StringType())) for c in header]
     if strict:
         table = reader.option("mode", "FAILFAST").schema(T.StructType(fields)).csv(path)
+        if allow_empty:
+            return table.select(*schema.names)
         return table.select(*[
             F.when(F.col(c).isNull(), F.raise_error(F.lit(f"empty value in column {c}")))
             .otherwise(F.col(c)).cast(kinds[c]).alias(c) for c in schema.names

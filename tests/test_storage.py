@@ -66,7 +66,7 @@ def test_reports_survive_the_round_trip(spark, make_series, tmp_path):
     forecasts = baselines.baseline_forecasts(df, PLAIN)
     records = score.leaderboard(forecasts)
     sinks.write_report_csv(records, str(tmp_path / "csv"))
-    back = sources.read_series_csv(spark, str(tmp_path / "csv"), records.schema, strict=True)
+    back = sources.read_series_csv(spark, str(tmp_path / "csv"), records.schema, strict=True, allow_empty=True)
     assert rows_of(back, "model") == rows_of(records, "model")
     summary = review.run_summary(forecasts, "d", PLAIN)
     sinks.write_summary_json(summary, str(tmp_path / "json"))
@@ -88,8 +88,12 @@ def _session(master):
     return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None))
 
 
-def test_cluster_without_shared_folder_is_refused():
-    with pytest.raises(RuntimeError):
-        storage.shared_folder(_session("spark://host:7077"))
-    local = _session("local[2]")
-    assert storage.shared_folder(local) == storage.shared_folder(local)
+def test_cluster_without_shared_folder_is_refused(monkeypatch):
+    monkeypatch.setattr(storage, "qualified", lambda session, folder: "file:/warehouse")
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            storage.shared_folder(_session(master))
+    for master in ("local", "local[2]", "local[*]"):
+        assert storage.shared_folder(_session(master)) == "file:/warehouse/seriesflow"
+    monkeypatch.setattr(storage, "qualified", lambda session, folder: "hdfs://host/warehouse/")
+    assert storage.shared_folder(_session("spark://host:7077")) == "hdfs://host/warehouse/seriesflow"
