@@ -13,6 +13,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 SLICE_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
+_BATCH, _DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
 def share(df: DataFrame, value):
@@ -21,24 +23,20 @@ def share(df: DataFrame, value):
     return lambda: pickle.loads(shared.value)
 
 
+def small_batches(df: DataFrame) -> None:
+    """Let Spark hand over about BATCH_BYTES to Python at a time, unless the session says
+    otherwise: at its default of 64 MB the copies of long texts fill the memory."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH, _DEFAULT) == _DEFAULT:
+        conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def crc_mod(column: Column, n: int) -> Column:
     """crc32 of the value as text, modulo n; null ids count as empty text."""
     text = F.coalesce(column.cast("string"), F.lit(""))
     return F.crc32(text.cast("binary")) % n
 
 
-def slices(values: list, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Consecutive ranges of texts of about ``limit`` bytes, at least one text each."""
-    start = size = 0
-    for i, value in enumerate(values):
-        size += len(value or b"") + 64
-        if size >= limit:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(values):
-        yield start, len(values)
-
-
 def parts(items: Iterable, n: int) -> Iterator[list]:
     """Lists of up to n items each."""
     rest = iter(items)
@@ -55,11 +53,15 @@ def add_columns(df: DataFrame, make: Callable, fields: list[tuple[str, T.DataTyp
     whose name is a new field's are replaced by it. No shuffle; a slice of about
     ``limit`` bytes of text, or one longer text, is worked on at a time.
     """
+    small_batches(df)
     names = [name for name, _ in fields]
     keep = [c for c in keep if c not in names]
     types = [df.schema[c].dataType for c in keep]
-    source = df.select(F.col(text).cast("string").cast("binary").alias("0text"),
-                       *[F.col(c).alias(f"{i + 1}keep") for i, c in enumerate(keep)])
+    # a kept text travels once
+    again = [c == text and t == T.StringType() for c, t in zip(keep, types)]
+    source = df.select(F.col(text).cast("string").alias("0text"),
+                       *[F.col(c).alias(f"{i}keep") for i, c in enumerate(keep) if not again[i]])
+    places = [0 if a else 1 + sum(not b for b in again[:i]) for i, a in enumerate(again)]
     schema = T.StructType(
         [T.StructField(c, t) for c, t in zip(keep, types)]
         + [T.StructField(c, t) for c, t in fields])
@@ -69,11 +71,11 @@ def add_columns(df: DataFrame, make: Callable, fields: list[tuple[str, T.DataTyp
         work = make()
         for batch in batches:
             texts = batch.column(0)
-            rest = [batch.column(i + 1) for i in range(len(keep))]
+            rest = [batch.column(i) for i in places]
             lengths = np.diff(np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1,
                                             texts.offset * 4)) if len(texts) else []
             for a, b in ranges(lengths, limit):
-                found = work(texts.slice(a, b - a).to_pylist())
+                found = work(texts.slice(a, b - a).cast(pa.binary()).to_pylist())
                 new = [pa.array(v, kind) for v, kind in zip(found, kinds)]
                 yield pa.RecordBatch.from_arrays([c.slice(a, b - a) for c in rest] + new,
                                                  names=[*keep, *names])

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from seriesflow.llm.common import add_columns, ranges, share, starts_of
+from seriesflow.llm.common import add_columns, ranges, share, small_batches, starts_of
 
 SYMBOLS = 64  # 0 no letter, 1-26 Latin letters, 27-63 other letters
 FEATURES = SYMBOLS ** 3
@@ -55,6 +55,7 @@ def trigrams(text: str, table: np.ndarray) -> np.ndarray:
 def count_trigrams(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """Rows (lang, feature, count) over all texts with a language. A task sends at most
     one row per language and trigram."""
+    small_batches(docs)
     source = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from seriesflow.llm.common import add_columns, mix, ranges, share, starts_of
+from seriesflow.llm.common import add_columns, mix, ranges, share, small_batches, starts_of
 
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
 _NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:st|nd|rd|th|%)?")
@@ -274,6 +274,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, matching: Matching = M
     keep = [c for c in (["doc_id"] if keep is None else keep) if c not in names]
     schema = T.StructType([T.StructField(c, docs.schema[c].dataType) for c in keep]
                           + [T.StructField(n, t) for n, t in new])
+    small_batches(docs)
     source = docs.select(F.col(text).cast("string").cast("binary").alias("text_"),
                          *[F.col(c).alias(f"kept{i}_") for i, c in enumerate(keep)])
     found = None

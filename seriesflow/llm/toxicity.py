@@ -19,7 +19,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from seriesflow.llm.common import add_columns, share
+from seriesflow.llm.common import add_columns, share, small_batches
 from seriesflow.sources.storage import store
 
 WORD = re.compile(r"\w+")
@@ -108,6 +108,8 @@ def learn_lexicon(rows: DataFrame, settings: Settings, text: str = "text") -> di
     if not toxic or not clean:
         return {}
 
+    small_batches(rows)
+
     def run(batches):
         counts = [Counter(), Counter()]
         for batch in batches:

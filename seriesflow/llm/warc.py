@@ -21,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seriesflow.llm.common import share
+from seriesflow.llm.common import share, small_batches
 
 # Fixed value: the profile of records that repeat the payload of another.
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -167,6 +167,7 @@ def write_archives(pages: DataFrame, folder: str, settings: Archive = Archive())
     are shuffled once, with a short row for each revisit beside them. An empty table gives an
     empty manifest.
     """
+    small_batches(pages)
     payload = F.coalesce(F.col("html").cast("string").cast("binary"), F.lit("").cast("binary"))
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
                         payload.alias("payload")).withColumn("digest", F.sha1("payload"))
