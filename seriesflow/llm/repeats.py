@@ -23,11 +23,11 @@ import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from seriesflow.llm.common import mix, numbered, ranges, share, starts_of
+from seriesflow.llm.common import mix, numbered, ranges, share, small_batches, starts_of
 
-MINI = 4
+MINI = 3
 LONGEST = 2048  # windows of one super-k-mer
-SLICE = 8 << 20  # bytes of text whose super-k-mers are packed together
+SLICE = 4 << 20  # bytes of text whose super-k-mers are packed together
 SAMPLE_DOCS = 10_000
 HOT_SHARE = 0.005  # of the sampled documents
 LAST_ID = 2**63 - 1  # stands for a null doc_id, after all others
@@ -118,7 +118,7 @@ def _kmers_of(words: list[list[bytes]], size: int, hot: np.ndarray):
 def pack(ids, ties, starts, sizes, contents: list[bytes]) -> bytes:
     head = struct.pack("<q", len(contents)) + b"".join(
         np.asarray(x, kind).tobytes() for x, kind in ((ids, "<i8"), (ties, "<i8"), (starts, "<i4"), (sizes, "<i4")))
-    return zstandard.ZstdCompressor(level=1).compress(head + b"\n".join(contents))
+    return zstandard.ZstdCompressor(level=5).compress(head + b"\n".join(contents))
 
 
 def unpack(payload: bytes):
@@ -195,12 +195,17 @@ def _power(base: np.uint64, n: int) -> np.uint64:
 
 def _spans(ids, ties, position):
     """Runs of consecutive windows of one document."""
+    return _joined(ids, ties, position, np.ones(len(position), np.int64))
+
+
+def _joined(ids, ties, starts, sizes):
+    """Spans in order, those that follow each other without a gap made one."""
     if not len(ids):
-        return ids, ties, position, position
+        return ids, ties, starts, sizes
     begin = np.ones(len(ids), bool)
-    begin[1:] = (ids[1:] != ids[:-1]) | (ties[1:] != ties[:-1]) | (position[1:] != position[:-1] + 1)
+    begin[1:] = (ids[1:] != ids[:-1]) | (ties[1:] != ties[:-1]) | (starts[1:] != starts[:-1] + sizes[:-1])
     first = np.flatnonzero(begin)
-    return ids[first], ties[first], position[first], np.diff(np.append(first, len(ids)))
+    return ids[first], ties[first], starts[first], np.add.reduceat(sizes, first)
 
 
 def _span_batch(ids, ties, starts, sizes):
@@ -210,10 +215,11 @@ def _span_batch(ids, ties, starts, sizes):
 
 def repeat_spans(docs: DataFrame, size: int = 20, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Rows (id, tie, start, n): n windows from word ``start`` on occur earlier."""
+    small_batches(docs)
     spark = docs.sparkSession
     source = _identified(docs, text, doc_id)
     hot = hot_minimisers(source, size)
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 6 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared = share(docs, hot)
 
     def cut(batches):
@@ -232,10 +238,11 @@ def repeat_spans(docs: DataFrame, size: int = 20, text: str = "text", doc_id: st
             other = kept[again]
             again = again[(ids[text_of[again]] != ids[text_of[other]]) | (ties[text_of[again]] != ties[text_of[other]])
                           | (start[again] != start[other])]
-            if len(again):
+            if len(again):  # decided: dealt out by document
+                spans = _joined(ids[text_of[again]], ties[text_of[again]], start[again], sizes[again])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array((minimiser[again] % np.uint64(buckets)).astype(np.int32)), pa.nulls(len(again), pa.binary()),
-                     *_span_batch(ids[text_of[again]], ties[text_of[again]], start[again], sizes[again])],
+                    [pa.array((mix(spans[0].view(np.uint64)) % np.uint64(buckets)).astype(np.int32)),
+                     pa.nulls(len(spans[0]), pa.binary()), *_span_batch(*spans)],
                     names=["bucket", "payload", "id", "tie", "start", "n"])
             sent = np.flatnonzero(kept == np.arange(len(kept)))
             bucket = (minimiser[sent] % np.uint64(buckets)).astype(np.int64)
@@ -320,22 +327,34 @@ def remove_repeats(docs: DataFrame, size: int = 20, keep: list[str] | None = Non
     spans = repeat_spans(docs, size, text, doc_id)
     spans = spans.groupBy("id", "tie").agg(
         F.collect_list("start").alias("starts_"), F.collect_list("n").alias("sizes_"))
+    # the text travels once, also where it is kept
+    own_text = [text] if docs.schema[text].dataType == T.StringType() else []
     named = docs.select(
         F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LAST_ID)).alias("id_"),
         F.coalesce(F.xxhash64(F.col(text).cast("string")), F.lit(0)).alias("tie_"),
-        F.col(text).cast("string").cast("binary").alias("text_"),
-        *[F.col(c).alias(f"kept{i}_") for i, c in enumerate(keep)])
+        F.col(text).cast("string").alias("text_"),
+        *[F.col(c).alias(f"kept{i}_") for i, c in enumerate(keep) if c not in own_text])
     joined = named.join(spans.withColumnsRenamed({"id": "id_", "tie": "tie_"}), ["id_", "tie_"], "left")
     types = [docs.schema[c].dataType for c in keep]
     schema = T.StructType([T.StructField(c, t) for c, t in zip(keep, types)] + [
         T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
         T.StructField(new, T.StringType())])
+    places = ["text_" if c in own_text else f"kept{i}_" for i, c in enumerate(keep)]
+    columns = ["text_", "starts_", "sizes_", *dict.fromkeys(c for c in places if c != "text_")]
 
-    def run(batches):
+    def parts_of(batches):
         for batch in batches:
+            texts = batch.column(0)
+            if len(texts):
+                sizes = np.diff(np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, texts.offset * 4))
+                for a, b in ranges(sizes, SLICE):
+                    yield batch.slice(a, b - a)
+
+    def run(batches):
+        for batch in parts_of(batches):
             n_words, n_removed, left = [], [], []
             for raw, starts, sizes in zip(batch.column(0), batch.column(1), batch.column(2)):
-                words = (raw.as_py() or b"").split()
+                words = (raw.as_py() or "").encode().split()
                 n_words.append(len(words))
                 if starts.is_valid and len(starts):
                     edge = np.zeros(len(words) + 1, np.int64)
@@ -350,8 +369,8 @@ def remove_repeats(docs: DataFrame, size: int = 20, keep: list[str] | None = Non
                 joined_words = b" ".join(words)
                 left.append(hashlib.sha256(joined_words).hexdigest() if digest else joined_words.decode())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(i + 3) for i in range(len(keep))]
+                [batch.column(columns.index(c)) for c in places]
                 + [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(left, pa.string())],
                 names=[*keep, "n_words", "n_removed", new])
 
-    return joined.select("text_", "starts_", "sizes_", *[f"kept{i}_" for i in range(len(keep))]).mapInArrow(run, schema)
+    return joined.select(*columns).mapInArrow(run, schema)
