@@ -14,12 +14,13 @@ from itertools import chain, count
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from seriesflow.llm.common import add_columns, mix, ranges, share, starts_of
+from seriesflow.llm.common import add_columns, mix, ranges, share, small_batches, starts_of
 from seriesflow.sources.storage import store
 
 ORDER = 4
 SYMBOLS = 40  # 0 space, 1-26 letters, 27 digits, 28 comma, 29 stop, 30 other marks, 31 rest, 32-39 other letters
 _TABLE_SIZE = 0x3000
+FEW_LANGUAGES = 10_000  # rows of a table that may be broadcast
 
 
 @dataclass(frozen=True)
@@ -88,6 +89,7 @@ def grams_of(texts: list[bytes], table: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def count_grams(docs: DataFrame, text: str = "text") -> DataFrame:
     """Rows (gram, count) over all texts. A task sends at most one row per n-gram."""
+    small_batches(docs)
     source = docs.select(F.col(text).cast("string").cast("binary").alias("text"))
 
     def run(batches):
@@ -281,15 +283,18 @@ def quality(docs: DataFrame, bands: Bands = Bands(), keep: list[str] | None = No
     in no given order; an input column named like a new one is replaced.
     """
     model = fit(count_grams(docs, text))
-    keep = [c for c in (["doc_id"] if keep is None else keep) if c != "language_"]
+    own = ("language_", "perplexity", "perplexity_low", "perplexity_high", "kept")
+    keep = [c for c in (["doc_id"] if keep is None else keep) if c not in own]
     scored = store(score(docs.withColumn("language_", F.coalesce(F.col(lang).cast("string"), F.lit(""))),
                          model, [*keep, "language_"], text), "perplexity")
     passed = F.when(~F.col("base_failed"), F.col("log_perplexity"))
     quartiles = scored.groupBy("language_").agg(
         F.percentile_approx(passed, F.array(F.lit(0.25), F.lit(0.75)), F.lit(10_000)).alias("q"))
     width = (F.col("q")[1] - F.col("q")[0]) * bands.spread
-    limits = quartiles.select("language_", (F.col("q")[0] - width).alias("low_"),
-                              (F.col("q")[1] + width).alias("high_"))
+    limits = store(quartiles.select("language_", (F.col("q")[0] - width).alias("low_"),
+                                    (F.col("q")[1] + width).alias("high_")), "bands")
+    if limits.count() <= FEW_LANGUAGES:  # else the rows are shuffled to their language
+        limits = F.broadcast(limits)
     slack = bands.short / F.sqrt("n_grams")
     inside = F.coalesce(F.col("log_perplexity").between(F.col("low_") - slack, F.col("high_") + slack), F.lit(True))
     return (scored.join(limits, "language_")
