@@ -10,7 +10,7 @@ from seriesflow.llm import pieces, repeats, simhash, templates, toxicity
 SHINGLE_WORDS, SIMHASH_BITS = 3, 2
 WINDOW_WORDS = 20
 _OWN = ("score", "predicted", "fingerprint", "component_id", "component_fp", "n_words", "n_removed",
-        "kept_text", "fp_", "root_", "lowest_", "place_")
+        "kept_text", "fp_", "root_", "lowest_", "place_", "id_key_", "tie_key_", "first_")
 
 
 def _clear(docs: DataFrame) -> tuple[DataFrame, list]:
@@ -29,11 +29,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component: that with the smallest doc_id."""
     docs, back = _clear(docs)
-    rows = simhash.near_components(docs, SHINGLE_WORDS, SIMHASH_BITS, docs.columns)
-    first = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # rows that repeat a doc_id, or have none, leave one of a component
-    order = Window.partitionBy("component_fp").orderBy(F.xxhash64("text"))
-    return first.withColumn("place_", F.row_number().over(order)).where("place_ = 1").select(*back)
+    # Texts stay out of the components: the documents are told by id and a hash of the text.
+    docs = docs.withColumns({"id_key_": F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+                             "tie_key_": F.xxhash64("text")})
+    rows = simhash.near_components(docs, SHINGLE_WORDS, SIMHASH_BITS, ["doc_id", "id_key_", "tie_key_"])
+    first = (rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+             .groupBy("component_fp").agg(F.min(F.struct("tie_key_", "id_key_")).alias("first_"))
+             .select("first_.*"))
+    kept = docs.join(first, ["id_key_", "tie_key_"], "left_semi")
+    # of rows that repeat id and text one stays
+    order = Window.partitionBy("id_key_", "tie_key_").orderBy("tie_key_")
+    return kept.withColumn("place_", F.row_number().over(order)).where("place_ = 1").select(*back)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
