@@ -25,10 +25,10 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from seriesflow.llm.common import crc_mod, mix, numbered, ranges, share, starts_of
+from seriesflow.llm.common import crc_mod, mix, numbered, ranges, share, small_batches, starts_of
 from seriesflow.sources.storage import store
 
-CHUNK = 8 << 20  # bytes of text
+CHUNK = 4 << 20  # bytes of text
 FOLDS, HELD_OUT, DELETED = 10, 0, 1  # remainders of the id's crc32: never learned from, weights
 _BEGIN, _END = np.uint64(0x243F6A8885A308D3), b"\n"  # no word holds a line end
 BUCKETS = 40  # context frequencies: unseen, 1, 2-3, 4-7, ...
@@ -82,6 +82,7 @@ def chunks(docs: DataFrame, keep: list[str], text: str, doc_id: str) -> DataFram
     """Rows (chunk, deleted, payload): texts of about CHUNK bytes with columns ``keep``, as an
     Arrow stream; texts of the deleted fold have chunks of their own."""
     fold = crc_mod(F.col(doc_id), FOLDS).cast("int")
+    small_batches(docs)
     source = docs.select(F.coalesce(F.col(text).cast("string").cast("binary"), F.lit("").cast("binary")).alias("text_"),
                          fold.alias("fold_"), *[F.col(c).alias(f"kept{i}_") for i, c in enumerate(keep)])
 
@@ -129,18 +130,22 @@ class Chunk:
 
     def __init__(self, payload: bytes):
         with pa.ipc.open_stream(payload) as reader:
-            self.rows = reader.read_all().combine_chunks()
-        texts = self.rows.column(0).to_pylist()
-        self.fold = np.asarray(self.rows.column(1))
-        split = [t.lower().split() for t in texts]
-        flat = []
-        for words in split:
-            flat += words
+            rows = reader.read_all()
+        self.fold = np.asarray(rows.column(1))
+        self.kept = [c.combine_chunks() for c in rows.columns[2:]]
+        flat, lengths = [], []
+        for text in rows.column(0):
+            before = len(flat)
+            flat += text.as_py().lower().split()
             flat.append(_END)
-        self.lengths = np.array([len(w) + 1 for w in split], np.int64)
+            lengths.append(len(flat) - before)
+        del rows
+        self.lengths = np.array(lengths, np.int64)
         self.starts = starts_of(self.lengths)
         numbers, hashes = numbered(flat)
+        del flat
         value = hashes[numbers]
+        del numbers, hashes
         before = np.empty_like(value)
         before[1:] = value[:-1]
         before[self.starts] = _BEGIN
@@ -335,7 +340,7 @@ def score(docs: DataFrame, keep: list[str] | None = None, text: str = "text", do
                 count = word[chunk.word]
                 base = np.log10(count + ADDED) - base_total
                 yield pa.RecordBatch.from_arrays(
-                    [chunk.rows.column(i + 2).combine_chunks() for i in range(len(keep))]
+                    chunk.kept
                     + [pa.array(chunk.fold == HELD_OUT), pa.array(chunk.lengths),
                        pa.array(np.add.reduceat((count > 0).astype(np.int64), chunk.starts)),
                        pa.array(np.full(len(chunk.lengths), totals.tokens, np.int64)),
