@@ -6,6 +6,10 @@ punctuation. Windows of ``size`` template words are joined by hash and then comp
 word. What stands in the slots has to fit: along one alignment of a benchmark item with a
 document a name, number or unit of the item always answers to the same one in the document,
 and different names to different ones.
+
+Windows of few words beside their slots (*weak* ones) say little by their template. They match
+if all their words are equal, or if the whole item is in the document and its slots fit.
+An item of slots only has no template and is found by equal words.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from seriesflow.llm.common import add_columns, mix, ranges, share, small_batches, starts_of
 
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
+HOLES = frozenset((NUMBER, NAME, UNIT))
 _NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:st|nd|rd|th|%)?")
 _EDGES = "!\"#&'()*,-./:;<=>?@[\\]^_`{|}~«»“”‘’…¿¡"
 # Number words and units that are read as placeholders.
@@ -33,6 +38,7 @@ UNITS = frozenset("mm cm m km mg g kg t ml l s ms h hz khz mhz ghz kb mb gb tb w
                   "ounces liter liters litre litres second seconds minute minutes hour hours day days "
                   "week weeks month months year years dollar dollars euro euros cent cents "
                   "degree degrees percent".split())
+LETTERS = frozenset(u for u in UNITS if len(u) == 1 and u.isalpha())  # units after a number only
 
 
 REMEMBERED = 500_000  # words a task remembers before it starts afresh
@@ -41,7 +47,8 @@ REMEMBERED = 500_000  # words a task remembers before it starts afresh
 @dataclass(frozen=True)
 class Matching:
     """An item is found in a document if matching windows cover ``share`` of its template
-    words, or ``run`` of them in a row. Windows need ``plain`` words that are no placeholder.
+    words, or ``run`` of them in a row. Windows with fewer than ``plain`` words that are no
+    placeholder are weak (short windows: if any word is one).
     ``block_windows`` bounds the benchmark windows broadcast at a time: a larger benchmark
     is taken in several blocks, each against all documents. An alignment is dropped if the
     slots of more than ``misfits`` of its windows do not fit those before."""
@@ -56,16 +63,16 @@ class Matching:
 
 def template_word(word: str) -> tuple[str, str, bool, bool]:
     """Template word if it begins a sentence, template word else, ends a sentence, is kept."""
-    bare = word.strip(_EDGES)
+    inner = word.strip(_EDGES)
     ends = word.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", "…")
-    if not bare:
+    if not inner:
         return "", "", ends, False
-    low = bare.lower()
-    if _NUMBER.fullmatch(bare) or low in NUMBER_WORDS:
+    low = inner.lower()
+    if _NUMBER.fullmatch(inner) or low in NUMBER_WORDS:
         return NUMBER, NUMBER, ends, True
-    if low in UNITS:
+    if low in UNITS and low not in LETTERS:
         return UNIT, UNIT, ends, True
-    return low, NAME if bare[0].isupper() else low, ends, True
+    return low, NAME if inner[0].isupper() else low, ends, True
 
 
 class Reader:
@@ -74,9 +81,10 @@ class Reader:
     def __init__(self):
         self.forms: dict[str, int] = {}
         self.words: dict[str, int] = {}
-        self.table = np.zeros((0, 4), np.int64)
+        self.table = np.zeros((0, 6), np.int64)
         self.raw: list[str] = []
         self._hashes = np.zeros(0, np.uint64)
+        self._word_hashes = np.zeros(0, np.uint64)
 
     def form(self, s: str) -> int:
         return self.forms.setdefault(s, len(self.forms))
@@ -91,7 +99,8 @@ class Reader:
             first, later, ends, kept = template_word(w)
             self.words[w] = len(self.words)
             self.raw.append(w)
-            rows.append((self.form(first), self.form(later), ends, kept))
+            rows.append((self.form(first), self.form(later), ends, kept, first == NUMBER,
+                         w.strip(_EDGES).lower() in LETTERS))
         if rows:
             self.table = np.concatenate([self.table, np.array(rows, np.int64)])
         flat = np.fromiter(map(self.words.__getitem__, chain.from_iterable(split)), np.int64, int(lengths.sum()))
@@ -101,6 +110,11 @@ class Reader:
         starts[1:] = self.table[flat[:-1], 2] > 0
         starts[starts_of(lengths)[lengths > 0]] = True
         form = np.where(starts, self.table[flat, 0], self.table[flat, 1])
+        unit = np.zeros(len(flat), bool)
+        unit[1:] = (self.table[flat[:-1], 4] & self.table[flat[1:], 5]) > 0
+        unit &= ~starts
+        if unit.any():
+            form[unit] = self.form(UNIT)
         kept = self.table[flat, 3] > 0
         text_of = np.repeat(np.arange(len(texts)), lengths)
         return form[kept], flat[kept], text_of[kept]
@@ -114,6 +128,19 @@ class Reader:
             self._hashes = np.concatenate([self._hashes, more])
         return self._hashes
 
+    def word_hashes(self) -> np.ndarray:
+        """Hash of each word without case and outer punctuation, by number."""
+        known = len(self._word_hashes)
+        if known < len(self.raw):
+            more = np.fromiter((xxhash.xxh64_intdigest(bare(w)) for w in self.raw[known:]), np.uint64,
+                               len(self.raw) - known)
+            self._word_hashes = np.concatenate([self._word_hashes, more])
+        return self._word_hashes
+
+
+def bare(word: str) -> str:
+    return word.strip(_EDGES).lower()
+
 
 def window_hashes(value: np.ndarray, size: int) -> np.ndarray:
     """Hash of each window of ``size`` values."""
@@ -128,32 +155,53 @@ def window_hashes(value: np.ndarray, size: int) -> np.ndarray:
 class Items:
     """Templates of a block of benchmark items and their sorted window hashes, by width.
 
-    Items of fewer than ``size`` template words are one window of their own width.
+    Items of fewer than ``size`` template words are one window of their own width. Weak
+    windows are in ``exact``, by their words; that with most plain words is in ``windows``
+    too if the item has no other there. The first word is looked up under each way to read
+    it, as a document may have it within a sentence or after a number.
     """
 
     def __init__(self, rows: list[tuple[int, str]], matching: Matching):
         self.matching = matching
         reader = Reader()
         form, word, text_of = reader.read([t for _, t in rows])
+        unit = reader.form(UNIT)
         names = list(reader.forms)
         value = reader.hashes()[form] if len(form) else np.zeros(0, np.uint64)
+        own = reader.word_hashes()[word] if len(form) else value
         self.ids = [i for i, _ in rows]
         bounds = np.searchsorted(text_of, np.arange(len(rows) + 1))
         self.forms = [[names[f] for f in form[a:b]] for a, b in zip(bounds, bounds[1:])]
         self.slots = [[reader.raw[w].strip(_EDGES) for w in word[a:b]] for a, b in zip(bounds, bounds[1:])]
-        holes = {NUMBER, NAME, UNIT}
+        self.weak: list[set[int]] = [set() for _ in rows]
+        self.plain = [sum(f not in HOLES for f in forms) for forms in self.forms]
         found: dict[int, list] = {}
+        exact: dict[int, list] = {}
         for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
             width = min(matching.size, int(b - a))
             if not width:
                 continue
-            for at, key in enumerate(window_hashes(value[a:b], width).tolist()):
-                if sum(f not in holes for f in self.forms[k][at:at + width]) >= min(matching.plain, width):
-                    found.setdefault(width, []).append((key, k, at))
-        self.windows = {}
-        for width, some in found.items():
-            some.sort()
-            self.windows[width] = (np.array([s[0] for s in some], np.uint64), [s[1:] for s in some])
+            keys = window_hashes(value[a:b], width).tolist()
+            plain = [sum(f not in HOLES for f in self.forms[k][at:at + width]) for at in range(len(keys))]
+            self.weak[k] = {at for at, n in enumerate(plain) if n < min(matching.plain, width)}
+            same = window_hashes(own[a:b], width).tolist()
+            exact.setdefault(width, []).extend((same[at], k, at) for at in self.weak[k])
+            looked_up = [at for at in range(len(keys)) if at not in self.weak[k]]
+            if not looked_up and self.plain[k]:
+                # not the first window if another will do: its first word may be a name
+                looked_up = [max(range(len(keys)), key=lambda at: (plain[at] > 0, at > 0, plain[at]))]
+            for at in looked_up:
+                found.setdefault(width, []).append((keys[at], k, at))
+                if at == 0:
+                    others = {*reader.table[word[a], :2].tolist(), *([unit] * int(reader.table[word[a], 5]))}
+                    for other in others - {int(form[a])}:
+                        first = value[a:a + width].copy()
+                        first[0] = reader.hashes()[other]
+                        found[width].append((int(window_hashes(first, width)[0]), k, 0))
+        self.windows, self.exact = ({
+            width: (np.array([s[0] for s in some], np.uint64), [s[1:] for s in some])
+            for width, some in ((width, sorted(some)) for width, some in by_width.items()) if some}
+            for by_width in (found, exact))
 
 
 def matches(texts: list[str], items: Items, reader: Reader):
@@ -161,38 +209,68 @@ def matches(texts: list[str], items: Items, reader: Reader):
     form, word, text_of = reader.read(texts)
     if not len(form):
         return
-    value = reader.hashes()[form]
     hits: dict[tuple[int, int, int], list] = {}
-    for width, (keys, places) in items.windows.items():
-        own = window_hashes(value, width)
-        if not len(own):
-            continue
-        at = np.searchsorted(keys, own)
-        near = np.minimum(at, len(keys) - 1)
-        found = np.flatnonzero((keys[near] == own) & (text_of[:len(own)] == text_of[width - 1:]))
-        for p in found.tolist():
-            k = int(at[p])
-            while k < len(keys) and keys[k] == own[p]:
-                item, begin = places[k]
-                hits.setdefault((int(text_of[p]), item, p - begin), []).append((begin, width))
-                k += 1
+    for exact, windows in ((False, items.windows), (True, items.exact)):
+        value = (reader.word_hashes()[word] if exact else reader.hashes()[form]) if windows else None
+        for width, (keys, places) in windows.items():
+            own = window_hashes(value, width)
+            if not len(own):
+                continue
+            at = np.searchsorted(keys, own)
+            near = np.minimum(at, len(keys) - 1)
+            found = np.flatnonzero((keys[near] == own) & (text_of[:len(own)] == text_of[width - 1:]))
+            for p in found.tolist():
+                k = int(at[p])
+                while k < len(keys) and keys[k] == own[p]:
+                    item, begin = places[k]
+                    hits.setdefault((int(text_of[p]), item, p - begin), []).append((begin, width, exact))
+                    k += 1
     if not hits:
         return
     names = list(reader.forms)
+
+    def slots(item, shift, begin, end, rename=False):
+        """Slots of the item's words and what the document has there; None if words differ."""
+        pairs = []
+        for i in range(begin, end):
+            kind, ours = items.forms[item][i], items.slots[item][i]
+            other, theirs = names[form[shift + i]], reader.raw[word[shift + i]].strip(_EDGES)
+            if kind == other:
+                if kind in HOLES:
+                    pairs.append((kind, ours, theirs))
+            elif i or ours.lower() != theirs.lower():
+                if i or not rename or not (ours[0].isupper() and theirs[0].isupper()):
+                    return None
+                pairs.append((NAME, ours, theirs))
+        return pairs
+
     covered: dict[tuple[int, int], tuple[set, set]] = {}
     for (text, item, shift), windows in hits.items():
+        n, weak = len(items.forms[item]), items.weak[item]
         there, back = {}, {}
         fitting, others = [], 0
-        for begin, width in sorted(windows):
-            if any(names[form[shift + i]] != items.forms[item][i] for i in range(begin, begin + width)):
+        for begin, width, exact in sorted(windows):
+            if exact or begin in weak:
+                continue
+            pairs = slots(item, shift, begin, begin + width)
+            if pairs is None:
                 continue  # equal hash, other words
-            pairs = [(items.forms[item][i], items.slots[item][i], reader.raw[word[shift + i]].strip(_EDGES))
-                     for i in range(begin, begin + width) if items.forms[item][i] in (NUMBER, NAME, UNIT)]
             if _fits(pairs, there, back):
                 fitting.append((begin, width))
             else:
                 others += 1
-        if fitting and others <= items.matching.misfits * (others + len(fitting)):
+        if others > items.matching.misfits * (others + len(fitting)):
+            fitting = []
+        fitting += [(begin, width) for begin, width, exact in windows
+                    if exact and all(bare(reader.raw[word[shift + i]]) == items.slots[item][i].lower()
+                                     for i in range(begin, begin + width))]
+        if weak and items.plain[item] and shift >= 0 and shift + n <= len(form) \
+                and text_of[shift] == text == text_of[shift + n - 1]:
+            pairs = slots(item, shift, 0, n, rename=n > items.matching.size)
+            if pairs is not None and _fits(pairs, {}, {}):
+                width = min(n, items.matching.size)
+                fitting = [(begin, width) for begin in range(n - width + 1)]
+        if fitting:
             words, starts = covered.setdefault((text, item), (set(), set()))
             words.update(i for begin, width in fitting for i in range(begin, begin + width))
             starts.update(begin for begin, _ in fitting)
