@@ -1,6 +1,7 @@
-"""Quality rules with a perplexity band for each language.
+"""Quality rules with perplexity bands for each language.
 
-The language model is a modified Kneser-Ney model of character 4-grams over a folded
+Words are scored by a modified Kneser-Ney model of word pairs of their language
+(``word_pairs``), which leaves unknown words to the model of characters. That one is a modified Kneser-Ney model of character 4-grams over a folded
 alphabet of 40 symbols. Its size is bounded by the alphabet (40**4 n-grams, 2.56 million)
 and not by the collection, so it may be held on the driver and broadcast. The counts are
 those of all texts, added up by Spark; the model is looked up in sorted arrays of hashes.
@@ -14,7 +15,9 @@ from itertools import chain, count
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from seriesflow.llm import word_pairs
 from seriesflow.llm.common import add_columns, mix, ranges, share, small_batches, starts_of
+from seriesflow.llm.interpolation import chunks
 from seriesflow.sources.storage import store
 
 ORDER = 4
@@ -27,7 +30,7 @@ FEW_LANGUAGES = 10_000  # rows of a table that may be broadcast
 class Bands:
     """Perplexity bands: ``spread`` interquartile ranges of a language's log10 perplexity
     beyond its quartiles, and ``short / sqrt(characters)`` more, as the mean of few
-    characters scatters more."""
+    characters scatters more. For the perplexity of words, ``short / sqrt(words)`` more."""
 
     spread: float = 3.0
     short: float = 2.0
@@ -273,9 +276,60 @@ def score(docs: DataFrame, model: HashedModel, keep: list[str], text: str = "tex
     return add_columns(docs, make, _BASE + _SCORED, keep, text)
 
 
+def score_words(docs: DataFrame, model: HashedModel, keep: list[str], text: str = "text",
+                lang: str = "language_") -> DataFrame:
+    """Columns ``keep`` and those of ``score``, the number of words and one end (``n_tokens``)
+    and their mean negative log10 probability after the word before (``log_words``)."""
+    import pyarrow as pa
+
+    fields = [*_BASE, *_SCORED, ("n_tokens", T.LongType()), ("log_words", T.DoubleType())]
+    keep = [c for c in keep if c not in [name for name, _ in fields]]
+    # chunks by the hash of the language: its folds are of no use here
+    table = store(chunks(docs, [lang, *keep], text, lang), "word_chunks")
+    joined, languages = word_pairs.statistics(table)
+    shared = share(docs, (model, languages))
+    schema = T.StructType([T.StructField(c, docs.schema[c].dataType) for c in keep]
+                          + [T.StructField(n, t) for n, t in fields])
+
+    def run(batches):
+        (own, languages), table = shared(), folding()
+
+        def log_sums(texts):
+            sums, sizes = [], []
+            for a, b in ranges([len(t) for t in texts], 1 << 20):
+                codes, lengths = grams_of(texts[a:b], table)
+                sums.append(np.add.reduceat(own.log10(codes), starts_of(lengths)))
+                sizes.append(lengths)
+            return np.concatenate(sums), np.concatenate(sizes)
+
+        def word_logs(words):
+            # one text, four spaces between words: the end of one and the gap before the next
+            sizes = np.fromiter(map(len, words), np.int64, len(words))
+            logs = own.log10(grams_of(["    ".join(words).encode()], table)[0])
+            ends = np.append(0.0, np.cumsum(logs))
+            begins = starts_of(sizes + ORDER)
+            return ends[begins + sizes + 1] - ends[begins]
+
+        for batch in batches:
+            for payload, pairs, words in zip(*(batch.column(i) for i in range(3))):
+                chunk = word_pairs.Chunk(payload.as_py())
+                _, total = word_pairs.unpacked(pairs.as_py(), word_pairs.PAIR)
+                _, *word = word_pairs.unpacked(words.as_py(), word_pairs.WORD)
+                logs = word_pairs.log10_probabilities(
+                    chunk, total, word, languages, word_logs(chunk.forms))
+                sums, lengths = log_sums(chunk.texts)
+                columns = [*base_counts(chunk.texts), lengths, -sums / lengths, chunk.lengths,
+                           -np.add.reduceat(logs, chunk.starts) / chunk.lengths]
+                yield pa.RecordBatch.from_arrays(chunk.kept + [pa.array(c) for c in columns],
+                                                 names=[*keep, *[n for n, _ in fields]])
+
+    return joined.mapInArrow(run, schema)
+
+
 def quality(docs: DataFrame, bands: Bands = Bands(), keep: list[str] | None = None,
             text: str = "text", lang: str = "lang") -> DataFrame:
-    """Base counts, perplexity, the band of the row's language and ``kept``.
+    """Base counts, perplexity of characters and of words, the bands of the row's language and
+    ``kept``. Words have an upper limit only: copies are predicted well and are no salad.
 
     The bands are found over all texts that pass the base rules; a language without such
     texts has none and rejects nothing by perplexity. A null language is a language of its
@@ -283,23 +337,30 @@ def quality(docs: DataFrame, bands: Bands = Bands(), keep: list[str] | None = No
     in no given order; an input column named like a new one is replaced.
     """
     model = fit(count_grams(docs, text))
-    own = ("language_", "perplexity", "perplexity_low", "perplexity_high", "kept")
+    own = ("language_", "perplexity", "perplexity_low", "perplexity_high", "word_perplexity",
+           "word_perplexity_high", "kept")
     keep = [c for c in (["doc_id"] if keep is None else keep) if c not in own]
-    scored = store(score(docs.withColumn("language_", F.coalesce(F.col(lang).cast("string"), F.lit(""))),
+    scored = store(score_words(docs.withColumn("language_", F.coalesce(F.col(lang).cast("string"), F.lit(""))),
                          model, [*keep, "language_"], text), "perplexity")
-    passed = F.when(~F.col("base_failed"), F.col("log_perplexity"))
-    quartiles = scored.groupBy("language_").agg(
-        F.percentile_approx(passed, F.array(F.lit(0.25), F.lit(0.75)), F.lit(10_000)).alias("q"))
-    width = (F.col("q")[1] - F.col("q")[0]) * bands.spread
+    quartiles = scored.groupBy("language_").agg(*[
+        F.percentile_approx(F.when(~F.col("base_failed"), F.col(c)), F.array(F.lit(0.25), F.lit(0.75)),
+                            F.lit(10_000)).alias(q) for c, q in (("log_perplexity", "q"), ("log_words", "w"))])
+    width, word_width = ((F.col(q)[1] - F.col(q)[0]) * bands.spread for q in "qw")
     limits = store(quartiles.select("language_", (F.col("q")[0] - width).alias("low_"),
-                                    (F.col("q")[1] + width).alias("high_")), "bands")
+                                    (F.col("q")[1] + width).alias("high_"),
+                                    (F.col("w")[1] + word_width).alias("word_high_")), "bands")
     if limits.count() <= FEW_LANGUAGES:  # else the rows are shuffled to their language
         limits = F.broadcast(limits)
     slack = bands.short / F.sqrt("n_grams")
     inside = F.coalesce(F.col("log_perplexity").between(F.col("low_") - slack, F.col("high_") + slack), F.lit(True))
+    word_limit = F.col("word_high_") + bands.short / F.sqrt("n_tokens")
+    inside &= F.coalesce(F.col("log_words") <= word_limit, F.lit(True))
     return (scored.join(limits, "language_")
-            .select(*[c for c in scored.columns if c not in ("language_", "n_grams", "log_perplexity")],
+            .select(*[c for c in scored.columns if c not in ("language_", "n_grams", "log_perplexity",
+                                                       "n_tokens", "log_words")],
                     F.pow(F.lit(10.0), "log_perplexity").alias("perplexity"),
                     F.pow(F.lit(10.0), F.col("low_") - slack).alias("perplexity_low"),
                     F.pow(F.lit(10.0), F.col("high_") + slack).alias("perplexity_high"),
+                    F.pow(F.lit(10.0), "log_words").alias("word_perplexity"),
+                    F.pow(F.lit(10.0), word_limit).alias("word_perplexity_high"),
                     (~F.col("base_failed") & inside).alias("kept")))

@@ -1,5 +1,7 @@
 """Quality rules, languages and toxicity: brute force on small texts, held-out accuracy."""
 
+import functools
+import itertools
 import math
 import os
 import random
@@ -109,6 +111,85 @@ def test_bands_reject_what_lies_outside(spark):
     assert passed and all(r.kept for r in passed)
 
 
+def brute_words(texts, lang, one, by_characters):
+    """Mean negative log10 probability of the words of text ``one``, from the others' pairs."""
+    runs = [[None, *t.lower().split(), "\n"] for t, k in zip(texts, lang) if k == lang[one]]
+    others = [[None, *t.lower().split(), "\n"] for i, (t, k) in enumerate(zip(texts, lang)) if k == lang[one] and i != one]
+    def pairs(some):
+        return Counter(p for r in some for p in zip(r, r[1:]))
+    def before(counted):
+        return Counter(w for _, w in counted)
+    def cuts(counted):
+        of = [sum(c == i for c in counted.values()) for i in range(1, 5)]
+        if not all(of):
+            return [0, 0.5, 1.0, 1.5]
+        y = of[0] / (of[0] + 2 * of[1])
+        raw = [1 - 2 * y * of[1] / of[0], 2 - 3 * y * of[2] / of[1], 3 - 4 * y * of[3] / of[2]]
+        return [0] + [min(max(x, 0.01), i + 0.99) for i, x in enumerate(raw)]
+    d2, d1 = cuts(pairs(runs)), cuts(before(pairs(runs)))  # discounts are those of all texts
+    c2 = pairs(others)
+    c1, logs = before(c2), []
+    for u, w in zip([None, *texts[one].lower().split()], [*texts[one].lower().split(), "\n"]):
+        p = by_characters(w)
+        if c1:
+            p = (max(c1[w] - d1[min(c1[w], 3)], 0) + sum(d1[min(c, 3)] for c in c1.values()) * p) / sum(c1.values())
+        after = [c for (v, _), c in c2.items() if v == u]
+        if after:
+            p = (max(c2[u, w] - d2[min(c2[u, w], 3)], 0) + sum(d2[min(c, 3)] for c in after) * p) / sum(after)
+        logs.append(math.log10(p))
+    return -sum(logs) / len(logs)
+
+
+def test_word_pairs_equal_brute_force_and_salad_is_rejected(spark):
+    rng = random.Random(5)
+    who, does, what = "the old king|a young sailor|my quiet sister|our tall teacher".split("|"), \
+        "often walks to|never sees|sometimes paints".split("|"), \
+        "the green river|a small harbour|her stone house|every wooden boat".split("|")
+    texts = [" ".join(f"{rng.choice(who)} {rng.choice(does)} {rng.choice(what)} in week{rng.randint(1, 30)} ."
+                      for _ in range(rng.randint(3, 9))) for _ in range(60)]
+    lang = [("en", "de")[i % 2] for i in range(60)]
+    salad = texts[0].split() + texts[2].split()
+    rng.shuffle(salad)
+    texts, lang = [*texts, " ".join(salad), "", "einzig"], [*lang, "en", "en", "xx"]
+    docs = spark.createDataFrame(list(zip(range(len(texts)), texts, lang)), "doc_id bigint, text string, lang string")
+    model = perplexity.fit(perplexity.count_grams(docs))
+    table = perplexity.folding()
+
+    @functools.cache
+    def by_characters(w):
+        return 10 ** float(model.log10(perplexity.grams_of([w.encode()], table)[0]).sum())
+
+    found = {r.doc_id: r for r in perplexity.quality(docs.repartition(3)).collect()}
+    for i in range(len(texts)):
+        wanted = brute_words(texts, lang, i, by_characters)
+        assert math.log10(found[i].word_perplexity) == pytest.approx(wanted, rel=1e-6), i
+    rejected = {i for i, r in found.items() if not r.base_failed and r.word_perplexity > r.word_perplexity_high}
+    assert not found[60].kept and not found[60].base_failed and rejected == {60}
+
+
+def test_salad_of_real_words_is_rejected_by_words_alone(spark):
+    rng = random.Random(8)
+    words = ["".join(f"{c}a" for c in cs) for cs in itertools.product("bdkl", repeat=4)]
+    after = {w: rng.sample(words, 2) for w in words}
+
+    def walk():
+        out = [rng.choice(words)]
+        while len(out) < 80:
+            out.append(rng.choice(after[out[-1]]))
+        return out
+
+    texts = [" ".join(walk()) for _ in range(80)]
+    for _ in range(3):
+        salad = walk()
+        rng.shuffle(salad)
+        texts.append(" ".join(salad))
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string")
+    found = [r for r in perplexity.quality(docs.repartition(3)).collect() if not r.base_failed]
+    assert {r.doc_id for r in found if r.perplexity_low <= r.perplexity <= r.perplexity_high} \
+        == {r.doc_id for r in found}  # the characters show nothing
+    assert {r.doc_id for r in found if not r.kept} == {80, 81, 82}
+
+
 def test_quality_on_edges(edges, none):
     rows = perplexity.quality(edges, keep=edges.columns).collect()
     assert len(rows) == len(edge_rows())
