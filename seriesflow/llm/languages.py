@@ -147,8 +147,6 @@ def infer(texts: list[str], model: LanguageModel, table: np.ndarray):
             p, counts, lengths, place < size, 0 if size == 1 else ROUNDS)
         value = fit_ - 0.5 * (size - 1) * np.log(n)
         better = value > best
-        if not better.any():
-            break
         chosen[:, better], best[better] = shares[:, better], value[better]
     top = chosen.argmax(axis=0)
     for k, i in enumerate(some):

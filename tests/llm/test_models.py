@@ -200,6 +200,19 @@ def test_quality_on_edges(edges, none):
     assert perplexity.quality(none).count() == 0
 
 
+def test_language_sets_do_not_depend_on_the_slice():
+    table = languages.folding()
+    counts = np.zeros((languages.FEATURES, 4))
+    for i, t in enumerate(["aba bab abab", "aba bab abab", "zyz yzy zyzy", "mnm nmn mnmn"]):
+        counts[:, i] = np.bincount(languages.trigrams(t * 50, table), minlength=languages.FEATURES)
+    model = languages.LanguageModel(["a", "b", "c", "d"], counts)
+    text = "abab " * 35 + "zyzy " * 15  # b adds nothing to a; c after it does
+    alone = [x[0] for x in languages.infer([text], model, table)]
+    assert set(alone[2]) == {"a", "b", "c"}
+    among = [x[1] for x in languages.infer(["mnmn zyzy " * 40, text, "abab"], model, table)]
+    assert alone == among
+
+
 def test_mixture_equals_plain_expectation_maximisation():
     rng = np.random.default_rng(3)
     counts = rng.integers(0, 5, (languages.FEATURES, 3)).astype(float)
