@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from seriesflow.llm import (
-    interpolation, languages, perplexity, pieces, repeats, simhash, templates, token_counts, toxicity,
+    fill_middle, interpolation, languages, perplexity, pieces, repeats, simhash, templates, token_counts, toxicity,
     warc,
 )
 from seriesflow.llm.common import crc_mod
@@ -127,3 +127,38 @@ FROM bodies LEFT JOIN kept USING (body)
 @_query
 def op4_interpolation(spark: SparkSession, folder: str) -> DataFrame:
     return interpolation.score(_table(spark, folder, "documents"))
+
+
+@_query
+def op13_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    made = fill_middle.transform(_table(spark, folder, "documents"), ["doc_id"])
+    back = fill_middle.restore(made, made.columns)
+    return back.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                       F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"))
+
+
+ORACLE["op13_fill_middle"] = """
+WITH hashed AS (
+    SELECT doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n,
+           sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), cut AS (
+    SELECT doc_id, t, n, CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS c1,
+           CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS c2,
+           CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                     OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90 THEN 'plain'
+                WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM hashed
+), parts AS (
+    SELECT *, substring(t, 1, least(c1, c2)) AS p,
+           substring(t, least(c1, c2) + 1, greatest(c1, c2) - least(c1, c2)) AS m,
+           substring(t, greatest(c1, c2) + 1) AS s
+    FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN least(c1, c2) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN greatest(c1, c2) - least(c1, c2) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
