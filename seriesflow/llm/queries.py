@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from seriesflow.llm import (
-    fill_middle, interpolation, languages, perplexity, pieces, repeats, simhash, templates, token_counts, toxicity,
+    fill_middle, interpolation, languages, page_text, perplexity, pieces, repeats, simhash, templates, token_counts, toxicity,
     warc,
 )
 from seriesflow.llm.common import crc_mod
@@ -162,3 +162,8 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN least(c1, c2) END AS pref
        sha256(t) AS restored_sha256
 FROM parts
 """
+
+
+@_query
+def op12_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return page_text.extract(_table(spark, folder, "pages"), ["page_id", "url"])
