@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from seriesflow.llm import (
-    fill_middle, interpolation, languages, page_text, perplexity, pieces, repeats, simhash, templates, token_counts, toxicity,
+    fill_middle, interpolation, languages, page_text, perplexity, pieces, repeats, simhash, spelling, templates, token_counts, toxicity,
     warc,
 )
 from seriesflow.llm.common import crc_mod
@@ -167,3 +167,8 @@ FROM parts
 @_query
 def op12_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return page_text.extract(_table(spark, folder, "pages"), ["page_id", "url"])
+
+
+@_query
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(_table(spark, folder, "documents"))
