@@ -7,14 +7,20 @@ next difference, from which the level is then rebuilt.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Model
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import (
+    DecisionTreeRegressor, GBTRegressionModel, GBTRegressor, LinearRegressionModel,
+)
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, functions as F
 
 from seriesflow.config import (
@@ -36,8 +42,8 @@ FIRST_ORDER = 100  # of learned models in ties: after baselines and external mod
 class LearnedSettings:
     """``length`` is the window. Boosting stops after ``patience`` rounds without gain on
     the validation rows, at the latest after ``max_rounds``; the selection report says
-    where that limit was reached. Rounds are fitted in bulk: ``first_rounds``, then twice
-    as many as long as the patience lasts."""
+    where that limit was reached. The ``first_rounds`` are fitted in bulk, those that the
+    patience asks for beyond them one after another."""
 
     length: int = WINDOW
     models: tuple[str, ...] = (LINEAR, BOOSTED)
@@ -164,22 +170,65 @@ def _side_by_side(fit: Callable, choices: Sequence, train: DataFrame) -> list:
         return pool.map(inheritable_thread_target(train.sparkSession)(fit), choices)
 
 
-def _fit_linear(train, validation, settings: LearnedSettings) -> dict[str, tuple]:
-    """Ridge regression; the penalty is the one with the lowest validation error."""
-    choices = [(condition, ridge) for condition in _LABELS for ridge in settings.ridge]
+def moments(rows: DataFrame, features: str = "features") -> np.ndarray:
+    """Sums of all products of two of: the features, the labels, one. A single pass.
+
+    The matrix has a row and a column for each of them, whatever the number of rows.
+    """
+    both = F.concat(vector_to_array(features), F.array(*[F.col(c) for c in _LABELS.values()], F.lit(1.0)))
+    vectors = MLUtils.convertVectorColumnsFromML(rows.select(array_to_vector(both).alias("v")), "v")
+    return RowMatrix(vectors).computeGramianMatrix().toArray()
 
-    def fit(choice: tuple[str, float]) -> Model:
-        condition, ridge = choice
-        return LinearRegression(
-            labelCol=_LABELS[condition], regParam=ridge, solver="normal",
-            predictionCol=f"_p{choices.index(choice)}",
-        ).fit(train)
 
-    candidates = dict(zip(choices, _side_by_side(fit, choices, train)))
+def ridge_weights(sums: np.ndarray, label: int, ridge: float) -> tuple[np.ndarray, float]:
+    """Weights and intercept of the ridge regression on one label of ``moments``.
+
+    They are those of ``LinearRegression`` with ``regParam=ridge``: the penalty is on the
+    weights of features scaled to a standard deviation of one. Constant features weigh
+    nothing; of many solutions it is the one with the smallest scaled weights.
+    """
+    k = len(sums) - len(_LABELS) - 1
+    means = sums[:, -1] / sums[-1, -1]
+    spread = sums / sums[-1, -1] - np.outer(means, means)
+    std = np.sqrt(np.maximum(np.diag(spread), 0.0))
+    y, noise = k + label, 1e-7 * (1.0 + np.abs(means))
+    weights = np.zeros(k)
+    used = np.flatnonzero(std[:k] > noise[:k])
+    if len(used) and std[y] > noise[y]:
+        alike = spread[np.ix_(used, used)] / np.outer(std[used], std[used])
+        values, axes = np.linalg.eigh(alike)
+        damped = values + ridge / std[y]
+        kept = damped > 1e-12 * damped.max()
+        target = axes[:, kept].T @ (spread[used, y] / (std[used] * std[y]))
+        weights[used] = axes[:, kept] @ (target / damped[kept]) * std[y] / std[used]
+    return weights, float(means[y] - weights @ means[:k])
+
+
+def linear_model(weights: Sequence[float], intercept: float) -> LinearRegressionModel:
+    gateway = SparkContext._gateway
+    values = gateway.new_array(gateway.jvm.double, len(weights))
+    for i, w in enumerate(weights):
+        values[i] = float(w)
+    java = gateway.jvm.org.apache.spark.ml.regression.LinearRegressionModel(
+        f"LinearRegression_{uuid.uuid4().hex[:12]}", gateway.jvm.org.apache.spark.ml.linalg.Vectors.dense(values),
+        float(intercept))
+    return LinearRegressionModel(java)
+
+
+def linear_candidates(train: DataFrame, settings: LearnedSettings) -> dict[tuple[str, float], Model]:
+    """The model of every condition and penalty, all solved from the same sums."""
+    sums = moments(train)
+    return {(condition, ridge): linear_model(*ridge_weights(sums, i, ridge))
+            for i, condition in enumerate(_LABELS) for ridge in settings.ridge}
+
+
+def _fit_linear(train, validation, settings: LearnedSettings) -> dict[str, tuple]:
+    """Ridge regression; the penalty is the one with the lowest validation error."""
+    candidates = linear_candidates(train, settings)
     # All candidates are scored in one pass over the validation rows.
     scored = validation
-    for model in candidates.values():
-        scored = model.transform(scored)
+    for i, model in enumerate(candidates.values()):
+        scored = model.setPredictionCol(f"_p{i}").transform(scored)
     errors = scored.agg(*[
         F.avg(F.pow(F.col(_LABELS[c]) - F.col(m.getPredictionCol()), 2)).alias(m.getPredictionCol())
         for (c, _), m in candidates.items()
@@ -193,17 +242,46 @@ def _fit_linear(train, validation, settings: LearnedSettings) -> dict[str, tuple
     return chosen
 
 
+def boosted_model(like: GBTRegressionModel, trees: Sequence, weights: Sequence[float]) -> GBTRegressionModel:
+    """A boosted model of the given trees (of Spark's JVM side), else as ``like``."""
+    gateway, java = SparkContext._gateway, like._java_obj
+    kind = gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    its_trees, its_weights = gateway.new_array(kind, len(trees)), gateway.new_array(gateway.jvm.double, len(trees))
+    for i, (tree, weight) in enumerate(zip(trees, weights)):
+        its_trees[i], its_weights[i] = tree, float(weight)
+    made = gateway.jvm.org.apache.spark.ml.regression.GBTRegressionModel(like.uid, its_trees, its_weights)
+    return GBTRegressionModel(java.copyValues(made, java.extractParamMap()))
+
+
 def first_trees(model: GBTRegressionModel, count: int) -> GBTRegressionModel:
     """The boosted model after ``count`` rounds: later trees do not change earlier ones."""
     if count >= model.getNumTrees:
         return model
-    gateway, java = SparkContext._gateway, model._java_obj
-    kind = gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
-    trees, weights = gateway.new_array(kind, count), gateway.new_array(gateway.jvm.double, count)
-    for i in range(count):
-        trees[i], weights[i] = java.trees()[i], float(model.treeWeights[i])
-    cut = gateway.jvm.org.apache.spark.ml.regression.GBTRegressionModel(model.uid, trees, weights)
-    return GBTRegressionModel(java.copyValues(cut, java.extractParamMap()))
+    return boosted_model(model, list(model._java_obj.trees())[:count], model.treeWeights[:count])
+
+
+def more_rounds(
+    model: GBTRegressionModel, train: DataFrame, boosting: GBTRegressor, rounds: int
+) -> GBTRegressionModel:
+    """The model after further rounds of ``boosting``; those that it has are not fitted again.
+
+    A round is a tree on twice what the model leaves of the label, the slope of the squared
+    error, so the trees are those of one longer fit (where two
+    splits gain the same but for rounding, either may be taken).
+    """
+    trees, weights = list(model._java_obj.trees()), list(model.treeWeights)
+    added = []  # a fitted tree's Java side lives as long as its Python side
+    for _ in range(rounds):
+        left = 2 * (F.col(boosting.getLabelCol()) - F.col("_f"))
+        rows = model.copy().setPredictionCol("_f").transform(train).withColumn("_left", left)
+        tree = DecisionTreeRegressor(
+            labelCol="_left", maxDepth=boosting.getMaxDepth(), seed=boosting.getSeed(),
+        ).fit(rows.select("features", "_left"))
+        added.append(tree)
+        trees.append(tree._java_obj)
+        weights.append(boosting.getStepSize())
+        model = boosted_model(model, trees, weights)
+    return model
 
 
 def _fit_boosted(train, validation, settings: LearnedSettings) -> dict[str, tuple]:
@@ -212,18 +290,20 @@ def _fit_boosted(train, validation, settings: LearnedSettings) -> dict[str, tupl
 
     def fit(label: str) -> tuple:
         rounds = min(settings.first_rounds, settings.max_rounds)
+        boosting = GBTRegressor(labelCol=label, maxDepth=settings.depth, maxIter=rounds, seed=SEED)
+        model = boosting.fit(train)
+        if not has_validation:
+            return model, None, f"rounds={rounds}"
         while True:
-            trees = GBTRegressor(labelCol=label, maxDepth=settings.depth, maxIter=rounds, seed=SEED)
-            model = trees.fit(train)
-            if not has_validation:
-                return model, None, f"rounds={rounds}"
             curve = model.evaluateEachIteration(validation, "squared")
             kept = best_round(curve, settings.patience, settings.min_gain)
-            if kept + settings.patience < rounds or rounds == settings.max_rounds:
+            at_limit = kept + settings.patience >= len(curve)
+            if not at_limit or len(curve) >= settings.max_rounds:
                 break
-            rounds = min(2 * rounds, settings.max_rounds)
-        limit = "" if kept + settings.patience < rounds else ", at the limit"
-        return first_trees(model, kept + 1), curve[kept], f"rounds={kept + 1}{limit}"
+            # the curve can stop at the earliest after these
+            missing = kept + settings.patience + 1 - len(curve)
+            model = more_rounds(model, train, boosting, min(missing, settings.max_rounds - len(curve)))
+        return first_trees(model, kept + 1), curve[kept], f"rounds={kept + 1}" + ", at the limit" * at_limit
 
     return dict(zip(_LABELS, _side_by_side(fit, list(_LABELS.values()), train)))
 
