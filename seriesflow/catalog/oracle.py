@@ -367,6 +367,20 @@ _TARGETS = (
     f"{_r('x[24]')} AS last_level, {_r('z')} AS level_target, {_r('z - x[24]')} AS delta_target"
 )
 ORDERS_WINDOWED = ORDERS_INDEXED + SCALED + _windowed("z", "scaled")
+USERS_WINDOWED = USERS_INDEXED + SCALED + _windowed("z", "scaled", EVENT_ORDER)
+# Training rows of series whose training values differ; windows and targets have no gaps here.
+_LEARNABLE = """,
+learnable AS (
+  SELECT list_concat(x, [z, z - x[24], 1.0]) AS v FROM windowed
+  WHERE split = 'train' AND scale_std - 1e-8 > 1e-8 * greatest(1, abs(scale_mean)))"""
+_MOMENTS = f"""
+SELECT CAST(a.i AS INTEGER) AS a, CAST(b.i AS INTEGER) AS b, {_r('SUM(v[a.i + 1] * v[b.i + 1])')} AS value
+FROM learnable, range(27) a(i), range(27) b(i) GROUP BY 1, 2"""
+_OPTIMALITY = """
+SELECT condition, CAST(ridge AS DOUBLE) AS ridge, CAST(f.i AS INTEGER) AS feature,
+       (SELECT COUNT(*) FROM learnable) AS train_rows, CAST(0 AS DOUBLE) AS slope
+FROM (VALUES ('Learned - no differencing'), ('Learned - differencing')) c(condition),
+     (VALUES (0.0), (0.01), (0.1)) r(ridge), range(25) f(i)"""
 
 ORACLE: dict[str, str] = {
     "load_series": _LOADED,
@@ -535,6 +549,15 @@ ORACLE: dict[str, str] = {
         "SELECT condition, COUNT(*) AS validation_rows, CAST(0 AS DOUBLE) AS difference "
         "FROM labelled, (VALUES ('Learned - no differencing'), ('Learned - differencing')) "
         "v(condition) WHERE split = 'validation' AND idx >= 6 GROUP BY 1"),
+    "learning_moments": _sql(ORDERS_WINDOWED + _LEARNABLE, _MOMENTS),
+    "learning_moments_users": _sql(USERS_WINDOWED + _LEARNABLE, _MOMENTS),
+    "linear_optimality": _sql(ORDERS_WINDOWED + _LEARNABLE, _OPTIMALITY),
+    "linear_optimality_users": _sql(USERS_WINDOWED + _LEARNABLE, _OPTIMALITY),
+    "boosted_validation_full": _sql(
+        ORDERS_INDEXED,
+        "SELECT condition, COUNT(*) AS validation_rows, CAST(0 AS DOUBLE) AS difference, TRUE AS ended_by_patience "
+        "FROM labelled, (VALUES ('Learned - no differencing'), ('Learned - differencing')) "
+        "v(condition) WHERE split = 'validation' AND idx >= 24 GROUP BY 1"),
     "sink_reports": _RECORDS,
     "sink_forecast_report": _COMPARED,
     "sink_review_report": _sql(ORDERS_REVIEW, f"{_REVIEWED} WHERE rank = 1"),

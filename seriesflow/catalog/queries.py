@@ -711,7 +711,52 @@ def boosted_validation(spark, folder):
     return found[0].unionByName(found[1])
 
 
-# Windows of 24 values and boosted trees have no SQL counterpart.
+def _training(spark, folder):
+    return learned.learning_rows(tb.monthly_orders(spark, folder), MONTHLY)
+
+
+@_query
+def learning_moments(spark, folder):
+    """Sums of products of the 24 window values, both targets and one, which decide the linear fits."""
+    return learned.moment_rows(_training(spark, folder)).select("a", "b", _r("value"))
+
+
+@_query
+def learning_moments_users(spark, folder):
+    return learned.moment_rows(learned.learning_rows(tb.user_events(spark, folder))).select("a", "b", _r("value"))
+
+
+@_query
+def linear_optimality(spark, folder):
+    """The fits of every penalty meet the conditions of their optimum."""
+    gaps = learned.optimality_gaps(_training(spark, folder))
+    return gaps.select("condition", "ridge", "feature", "train_rows", F.round(F.abs("slope"), 6).alias("slope"))
+
+
+@_query
+def linear_optimality_users(spark, folder):
+    gaps = learned.optimality_gaps(learned.learning_rows(tb.user_events(spark, folder)))
+    return gaps.select("condition", "ridge", "feature", "train_rows", F.round(F.abs("slope"), 6).alias("slope"))
+
+
+@_query
+def boosted_validation_full(spark, folder):
+    """``boosted_validation`` with the default settings, where the patience ends the rounds."""
+    rows = _training(spark, folder)
+    fitted = {f.condition: f for f in learned.fit_models(rows, learned.LearnedSettings(models=(learned.BOOSTED,)))}
+    scored, conditions = rows.filter((F.col(SPLIT) == "validation") & F.col("usable")), []
+    for i, (condition, label) in enumerate(((learned.LEVEL, "level_target"), (learned.DELTA, "delta_target"))):
+        fit = fitted[condition]
+        scored = fit.model.copy().setPredictionCol(f"_p{i}").transform(scored)
+        gap = F.abs(F.avg(F.pow(F.col(label) - F.col(f"_p{i}"), 2)) - F.lit(fit.best_val_mse))
+        conditions.append(F.struct(
+            F.lit(condition).alias("condition"), F.count(F.lit(1)).alias("validation_rows"),
+            F.round(gap, 6).alias("difference"),
+            F.lit(not fit.setting.endswith("at the limit")).alias("ended_by_patience")))
+    return scored.agg(F.array(*conditions).alias("_c")).select(F.explode("_c").alias("_c")).select("_c.*")
+
+
+# Predictions of windows of 24 values and boosted trees have no SQL counterpart.
 
 def _learned(spark, folder):
     return learned.learned_forecasts(tb.monthly_orders(spark, folder), MONTHLY)

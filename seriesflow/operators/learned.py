@@ -222,6 +222,45 @@ def linear_candidates(train: DataFrame, settings: LearnedSettings) -> dict[tuple
             for i, condition in enumerate(_LABELS) for ridge in settings.ridge}
 
 
+def moment_rows(rows: DataFrame) -> DataFrame:
+    """``moments`` of the training rows as a table (a, b, value): features, labels, one."""
+    sums = moments(_fitting_data(rows)[0])
+    return rows.sparkSession.createDataFrame(
+        [(a, b, float(v)) for a, line in enumerate(sums) for b, v in enumerate(line)],
+        "a int, b int, value double")
+
+
+def optimality_gaps(rows: DataFrame, settings: LearnedSettings = LearnedSettings()) -> DataFrame:
+    """How far the linear models are from the optimum of what they minimise.
+
+    One row per condition, penalty and feature (the last one stands for the intercept): the
+    training rows, and the slope of half the mean squared error plus penalty, zero at the
+    optimum. Found from the residuals of the rows, not from the sums that gave the weights.
+    """
+    train, _ = _fitting_data(rows)
+    candidates = linear_candidates(train, settings)
+    scored = train.withColumn("_x", vector_to_array("features"))
+    for i, model in enumerate(candidates.values()):
+        scored = model.setPredictionCol(f"_p{i}").transform(scored)
+    deviations = [F.stddev_pop(F.col("_x")[j]).alias(f"_s{j}") for j in range(settings.length)]
+    deviations += [F.stddev_pop(c).alias(f"_s_{c}") for c in _LABELS.values()]
+    slopes = []
+    for i, (condition, _) in enumerate(candidates):
+        left = F.col(f"_p{i}") - F.col(_LABELS[condition])
+        slopes += [F.avg(left * F.col("_x")[j]).alias(f"_g{i}_{j}") for j in range(settings.length)]
+        slopes.append(F.avg(left).alias(f"_g{i}_{settings.length}"))
+    found = scored.agg(F.count(F.lit(1)).alias("_n"), *deviations, *slopes)
+    gaps = []
+    for i, ((condition, ridge), model) in enumerate(candidates.items()):
+        for j in range(settings.length + 1):
+            slope = F.col(f"_g{i}_{j}")
+            if j < settings.length:
+                slope += ridge / F.col(f"_s_{_LABELS[condition]}") * F.pow(f"_s{j}", 2) * float(model.coefficients[j])
+            gaps.append(F.struct(F.lit(condition).alias("condition"), F.lit(ridge).alias("ridge"),
+                                 F.lit(j).alias("feature"), F.col("_n").alias("train_rows"), slope.alias("slope")))
+    return found.select(F.explode(F.array(*gaps)).alias("_g")).select("_g.*")
+
+
 def _fit_linear(train, validation, settings: LearnedSettings) -> dict[str, tuple]:
     """Ridge regression; the penalty is the one with the lowest validation error."""
     candidates = linear_candidates(train, settings)
