@@ -386,6 +386,13 @@ ORACLE: dict[str, str] = {
     "load_series": _LOADED,
     "load_series_lineitem": _sql(LINEITEM, f"SELECT series_id, {DAY}, y FROM series"),
     "scan_series_csv": _LOADED,
+    "scan_series_csv_folder": _LOADED,
+    "unreadable_rows": _sql(
+        RAW, "SELECT *, CASE WHEN TRY_CAST(month || '-01' AS DATE) IS NOT NULL THEN 'value' "
+        "WHEN amount IS NULL OR TRY_CAST(amount AS DOUBLE) IS NOT NULL THEN 'month' "
+        "ELSE 'month and value' END AS unreadable FROM raw "
+        "WHERE TRY_CAST(month || '-01' AS DATE) IS NULL "
+        "OR amount IS NOT NULL AND TRY_CAST(amount AS DOUBLE) IS NULL"),
     "parse_month": _sql(
         RAW, "SELECT order_key, CAST(TRY_CAST(month || '-01' AS DATE) AS VARCHAR) AS month_date "
         "FROM raw"),

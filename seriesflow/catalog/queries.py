@@ -70,6 +70,29 @@ def scan_series_csv(spark, folder):
     return typed.select("series_id", _day(), "y")
 
 
+@_query
+def scan_series_csv_folder(spark, folder):
+    """A folder whose files have their columns in three orders, one of them with a column more."""
+    path = new_path(spark, "series-csv")
+    monthly = tb.monthly_orders(spark, folder).select(
+        F.col("series_id").alias("priority"), C.month_text(F.col("t")).alias("month"), F.col("y").alias("amount"))
+    orders = (("priority", "month", "amount"), ("amount", "priority", "month"), ("month", "note", "amount", "priority"))
+    part = F.pmod(F.xxhash64("priority", "month"), F.lit(len(orders)))
+    for i, columns in enumerate(orders):
+        rows = monthly.filter(part == i).withColumn("note", F.lit("x, y"))
+        sinks.write_report_csv(rows.select(*columns), f"{path}/part={i}")
+    raw = sources.read_texts(spark, f"{path}/*", ("priority", "month", "amount"))
+    typed = prepare.prepare_series(raw, F.col("priority"), F.col("month"), F.col("amount"))
+    return typed.select("series_id", _day(), "y")
+
+
+@_query
+def unreadable_rows(spark, folder):
+    """Orders whose month or amount text cannot be read, with the texts."""
+    raw = tb.raw_orders(spark, folder)
+    return prepare.unreadable_rows(raw, F.col("month"), F.col("amount"))
+
+
 @_query
 def scan_series_csv_reordered(spark, folder):
     """The same with the columns of the file in another order and one more among them."""

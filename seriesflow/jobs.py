@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from seriesflow.config import (
-    AUTO, PLAIN, SEASON, TRAIN_SHARE, VALIDATION_SHARE, WINDOW, Layout,
+    AUTO, LAGS, PLAIN, ROLLS, SEASON, TRAIN_SHARE, VALIDATION_SHARE, WINDOW, Layout,
 )
 from seriesflow.functions.columns import month_date, month_text
 from seriesflow.operators import baselines, features, learned, prepare, review, score
@@ -25,6 +25,10 @@ from seriesflow.sources.series import load_series, read_series_csv, read_texts
 from seriesflow.sources.storage import scratch, store
 
 
+def _names(*columns: str | None) -> list[str]:
+    return list(dict.fromkeys(c for c in columns if c))
+
+
 def read_input(
     spark: SparkSession, path: str, time: str, value: str, key: str | None, tiebreak: str | None,
     is_csv: bool, strict: bool = False,
@@ -38,28 +42,33 @@ def read_input(
     if is_csv and strict:
         schema = StructType([
             StructField(c, DoubleType() if c == value else StringType())
-            for c in dict.fromkeys(c for c in (key, time, value, tiebreak) if c)
+            for c in _names(key, time, value, tiebreak)
         ])
         table = read_series_csv(spark, path, schema, strict=True)
         bad = F.raise_error(F.concat(F.lit("not a month: "), F.col(time)))
         table = table.withColumn(time, F.when(month_date(F.col(time)).isNull(), bad).otherwise(F.col(time)))
         return prepare.prepare_series(table, name, F.col(time), F.col(value).cast("string"), order)
-    table = read_texts(spark, path) if is_csv else spark.read.parquet(path)
     if is_csv:
+        table = read_texts(spark, path, _names(key, time, value, tiebreak))
         return prepare.prepare_series(table, name, F.col(time), F.col(value), order)
+    table = spark.read.parquet(path)
     return load_series(table, name, F.col(time), F.col(value).cast("double"), order)
 
 
-def prepare_job(series: DataFrame, output: str, layout: Layout = AUTO, source: str = "") -> None:
+def prepare_job(
+    series: DataFrame, output: str, layout: Layout = AUTO, source: str = "",
+    lags: Sequence[int] = LAGS, rolls: Sequence[int] = ROLLS,
+) -> None:
     """Write the feature table and the preparation report."""
     series, layout = keep_index(series, layout)
-    sinks.write_features(features.feature_table(series, layout), f"{output}/features")
+    lags, rolls = tuple(lags), tuple(rolls)
+    sinks.write_features(features.feature_table(series, layout, lags, rolls), f"{output}/features")
     report = prepare.prep_report(series, layout).withColumns({
         "input": F.lit(source),
         "output": F.lit(f"{output}/features"),
         "split_rule": F.lit(f"chronological: train below {TRAIN_SHARE:.0%}, validation below "
                             f"{VALIDATION_SHARE:.0%}, test the rest"),
-        "feature_columns": F.array(*[F.lit(c) for c in features.FEATURES]),
+        "feature_columns": F.array(*[F.lit(c) for c in features.feature_names(lags, rolls)]),
         "target_column": F.lit(features.TARGETS[0]),
     })
     sinks.write_summary_json(report, f"{output}/preparation_report")
@@ -130,6 +139,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--strict", action="store_true", help="fail on bad or empty CSV values")
     parser.add_argument("--season", type=int, default=SEASON, help="rows of a season")
     parser.add_argument("--window", type=int, default=WINDOW, help="rows of a learned model's window")
+    parser.add_argument("--lags", type=int, nargs="+", default=LAGS, help="rows back of the lag features")
+    parser.add_argument("--rolls", type=int, nargs="+", default=ROLLS, help="rows of the rolling means")
     parser.add_argument(
         "--bounded", action="store_true", help="every series fits one task: skip the count")
     args = parser.parse_args(arguments)
@@ -140,7 +151,12 @@ def main(arguments: Sequence[str] | None = None) -> None:
     layout = PLAIN if args.bounded else AUTO
     with scratch(spark):
         if args.job == "prepare":
-            prepare_job(series, args.output, layout, args.input)
+            prepare_job(series, args.output, layout, args.input, args.lags, args.rolls)
+            if is_csv and not args.strict:  # what became NULL, as it was read
+                texts = read_texts(spark, args.input, _names(args.key, args.time, args.value, args.tiebreak))
+                sinks.write_report_csv(
+                    prepare.unreadable_rows(texts, F.col(args.time), F.col(args.value)),
+                    f"{args.output}/unreadable_rows")
         else:
             forecast_job(
                 series, args.dataset or args.input, args.output, layout,

@@ -19,6 +19,14 @@ def prepare_series(
     return raw.select(*columns)
 
 
+def unreadable_rows(raw: DataFrame, month: Column, value: Column) -> DataFrame:
+    """The rows whose month or value text is there but cannot be read, with all their columns."""
+    bad = [(month.isNotNull() & C.month_date(month).isNull(), "month"),
+           (value.isNotNull() & C.measure(value).isNull(), "value")]
+    reasons = F.array_compact(F.array(*[F.when(is_bad, F.lit(name)) for is_bad, name in bad]))
+    return raw.withColumn("unreadable", F.array_join(reasons, " and ")).filter("unreadable != ''")
+
+
 def _per_period(df: DataFrame) -> DataFrame:
     """Rows, missing and NaN values per series and period.
 

@@ -97,3 +97,81 @@ def test_cluster_without_shared_folder_is_refused(monkeypatch):
         assert storage.shared_folder(_session(master)) == "file:/warehouse/seriesflow"
     monkeypatch.setattr(storage, "qualified", lambda session, folder: "hdfs://host/warehouse/")
     assert storage.shared_folder(_session("spark://host:7077")) == "hdfs://host/warehouse/seriesflow"
+
+
+UNITS = T.StructType([T.StructField("Month", T.StringType()), T.StructField("Units", T.DoubleType())])
+
+
+def _folder(tmp_path, **files):
+    folder = tmp_path / "in put%"
+    folder.mkdir()
+    for name, text in files.items():
+        (folder / f"{name}.csv").write_text(text)
+    return str(folder)
+
+
+def test_files_of_a_folder_are_read_by_their_own_headers(spark, tmp_path):
+    path = _folder(tmp_path, a="Month,Units\n2020-01,1\n2020-02,2\n", b="Units,Month\n3,2020-03\n",
+                   c='Note,Units,"Month"\n"x, y",4,2020-04\n', d="Units,Month\n5,2020-05\n", e="", f="\nMonth,Units\n")
+    expected = [(f"2020-0{i}", float(i)) for i in range(1, 6)]
+    for strict in (True, False):
+        rows = sources.read_series_csv(spark, path, UNITS, strict=strict).collect()
+        assert sorted((r.Month, r.Units) for r in rows) == expected
+    texts = sources.read_texts(spark, path, ["Units"]).collect()
+    assert sorted(r.Units for r in texts) == list("12345")
+    assert [len(files) for _, files in sources.by_header(spark, path, ["Month"])] == [2, 1, 2]
+
+
+@pytest.mark.parametrize("text, message", [("Month,Unit\n1,2\n", "no column Units in .*b.csv"),
+                                           ("Units,Month,Units\n1,2,3\n", "more than one column Units in .*b.csv")])
+def test_a_file_without_a_column_is_named(spark, tmp_path, text, message):
+    path = _folder(tmp_path, a="Month,Units\n2020-01,1\n", b=text)
+    with pytest.raises(ValueError, match=message):
+        sources.read_series_csv(spark, path, UNITS)
+
+
+def test_a_folder_without_lines_has_no_rows(spark, tmp_path):
+    path = _folder(tmp_path, a="", b="\n\n")
+    assert sources.read_series_csv(spark, path, UNITS, strict=True).count() == 0
+    assert sources.read_texts(spark, path, ["Month"]).columns == ["Month"]
+
+
+def test_headers_are_found_without_reading_on(spark, tmp_path):
+    long = "Month,Units\n" + "2020-01,1\n" * 200_000
+    path = _folder(tmp_path, a=long, b=long)
+    headers = sources.csv_headers(spark, path)
+    assert headers.rdd.getNumPartitions() == 2  # one task a file
+    assert [r.header for r in headers.collect()] == ["Month,Units"] * 2
+
+
+def _features(spark, n, tasks):
+    return spark.range(n).select(
+        F.concat(F.lit("s"), F.col("id") % 50).alias("series_id"), F.col("id").alias("t"),
+        F.element_at(F.array(*map(F.lit, ("train", "validation", "test"))), (F.col("id") % 3 + 1).cast("int")).alias("split"),
+        F.sha2(F.col("id").cast("string"), 256).alias("x")).repartition(tasks)
+
+
+def test_number_of_feature_files_follows_the_size(spark, tmp_path):
+    df = _features(spark, 60_000, 200)
+    sinks.write_features(df, f"{tmp_path}/small")
+    files = [p for p in (tmp_path / "small").rglob("*.parquet")]
+    assert 3 <= len(files) <= 6
+    sinks.write_features(df, f"{tmp_path}/cut", file_bytes=1 << 20)
+    cut = [p for p in (tmp_path / "cut").rglob("*.parquet")]
+    assert len(files) < len(cut) <= 40
+    for path in ("small", "cut"):
+        back = spark.read.parquet(f"{tmp_path}/{path}")
+        assert back.count() == 60_000 and back.select("t").distinct().count() == 60_000
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") != str(1 << 20)
+
+
+def test_a_failed_write_leaves_the_earlier_table(spark, tmp_path):
+    df = _features(spark, 300, 4)
+    sinks.write_features(df, f"{tmp_path}/t")
+    broken = df.withColumn("x", F.when(F.col("t") == 299, F.raise_error(F.lit("broken"))).otherwise(F.col("x")))
+    with pytest.raises(Exception, match="broken"):
+        sinks.write_features(broken, f"{tmp_path}/t")
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 300
+    sinks.write_features(df.limit(20), f"{tmp_path}/t")
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 20
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
