@@ -130,7 +130,7 @@ def test_each_round_is_fitted_once(fitted, monkeypatch):
         monkeypatch.setattr(kind, "fit", lambda self, df, f=kind.fit, n=rounds: made.append(
             (self.getSeed(), n(self))) or f(self, df))
     bulk = learned.LearnedSettings(models=(learned.BOOSTED,), first_rounds=9, max_rounds=9, patience=4)
-    steps = learned.LearnedSettings(models=(learned.BOOSTED,), first_rounds=2, max_rounds=9, patience=4)
+    steps = learned.LearnedSettings(models=(learned.BOOSTED,), first_rounds=2, max_rounds=9, patience=4, refit_rows=0)
     a = learned.fit_models(rows, bulk)
     made.clear()
     b = learned.fit_models(rows, steps)
