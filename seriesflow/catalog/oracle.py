@@ -565,6 +565,11 @@ ORACLE: dict[str, str] = {
         "SELECT condition, COUNT(*) AS validation_rows, CAST(0 AS DOUBLE) AS difference, TRUE AS ended_by_patience "
         "FROM labelled, (VALUES ('Learned - no differencing'), ('Learned - differencing')) "
         "v(condition) WHERE split = 'validation' AND idx >= 24 GROUP BY 1"),
+    "feature_table_in_steps": _FEATURES,
+    "feature_table_skewed_in_steps": _sql(
+        SKEWED_INDEXED + _features(EVENT_ORDER),
+        f"SELECT series_id, tiebreak AS event_id, {FEATURE_ROW} FROM features"),
+    "data_quality_report_in_steps": _sql(USERS, _quality("user_events")),
     "sink_reports": _RECORDS,
     "sink_forecast_report": _COMPARED,
     "sink_review_report": _sql(ORDERS_REVIEW, f"{_REVIEWED} WHERE rank = 1"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -11,11 +12,11 @@ from seriesflow.catalog.tables import MONTHLY, ONE_HOT_SERIES, ONE_LONG_SERIES
 from seriesflow.config import AUTO, BASELINE_MODELS, SPLIT, TEST
 from seriesflow.functions import columns as C
 from seriesflow.operators import (
-    baselines, features, learned, prepare, review, scaling, score, splits, windows,
+    baselines, features, learned, periods, prepare, review, scaling, score, splits, windows,
 )
 from seriesflow.plans.layout import SeriesFrame
 from seriesflow.sources import series as sources, sinks
-from seriesflow.sources.storage import new_path
+from seriesflow.sources.storage import new_path, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -184,6 +185,41 @@ def data_quality_report_dirty(spark, folder):
     return _quality(tb.dirty_orders(spark, folder), "dirty_orders")
 
 
+def _in_steps(series: DataFrame, cuts: list[str], layout=AUTO) -> tuple[DataFrame, DataFrame]:
+    """Features and state after the rows have come in three steps, cut at two times."""
+    edges, state, made = [None, *cuts, None], None, []
+    for first, last in zip(edges, edges[1:]):
+        arrived = series
+        if first:
+            arrived = arrived.filter(F.col("t") >= F.lit(first).cast(series.schema["t"].dataType))
+        if last:
+            arrived = arrived.filter(F.col("t") < F.lit(last).cast(series.schema["t"].dataType))
+        step = periods.advance(arrived, state, layout)
+        made.append(step.features)
+        state = store(step.state, "state")
+    return periods.with_splits(reduce(DataFrame.unionByName, made), state), state
+
+
+@_query
+def feature_table_in_steps(spark, folder):
+    """The feature table of monthly orders that arrive in three steps."""
+    rows, _ = _in_steps(tb.monthly_orders(spark, folder), ["1995-03-01", "1997-06-01"], MONTHLY)
+    return _features(rows, _day(), _day("target_t"))
+
+
+@_query
+def feature_table_skewed_in_steps(spark, folder):
+    """Three steps of events, a third of them of one user."""
+    rows, _ = _in_steps(tb.skewed_events(spark, folder), ["2024-01-12", "2024-01-24 06:00:00"], ONE_HOT_SERIES)
+    return _features(rows, F.col("tiebreak").alias("event_id"))
+
+
+@_query
+def data_quality_report_in_steps(spark, folder):
+    _, state = _in_steps(tb.user_events(spark, folder), ["2024-01-12", "2024-01-24 06:00:00"])
+    return prepare.with_months(periods.quality_report(state, "user_events"))
+
+
 # --- positions and splits --------------------------------------------------
 
 @_query

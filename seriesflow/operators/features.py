@@ -34,7 +34,7 @@ def _lead(w: WindowSpec) -> dict[str, Column]:
     return {"target_next": F.lead(Y, 1).over(w), "target_t": F.lead(T, 1).over(w)}
 
 
-def _all(lags: Steps, rolls: Steps) -> WindowColumns:
+def feature_windows(lags: Steps, rolls: Steps) -> WindowColumns:
     # ``lag_1`` lies two periods before the target: the row's own value is between.
     return lambda w: _lags(lags)(w) | _rolling(rolls)(w) | _lead(w)
 
@@ -56,7 +56,7 @@ def lead_target(df: DataFrame, layout: Layout = AUTO) -> DataFrame:
 
 def _complete_frame(df: DataFrame, layout: Layout, lags: Steps, rolls: Steps) -> SeriesFrame:
     complete = F.col(f"lag_{max(lags)}").isNotNull() & F.col("target_next").isNotNull()
-    frame = index_series(df, layout, _all(lags, rolls), back=max(*lags, *rolls), ahead=1)
+    frame = index_series(df, layout, feature_windows(lags, rolls), back=max(*lags, *rolls), ahead=1)
     return frame.map(lambda rows: rows.filter(complete))
 
 

@@ -89,31 +89,32 @@ def prep_report(df: DataFrame, layout: Layout = AUTO) -> DataFrame:
 
 def data_quality_report(df: DataFrame, dataset: str, window: int = WINDOW) -> DataFrame:
     """Length, range, missing values, duplicates, split and window sizes."""
+    counts = _per_period(df).groupBy(KEY).agg(
+        F.sum("_rows").alias("total_observations"),
+        F.min(T).alias("start_period"),
+        F.max(T).alias("end_period"),
+        F.sum(F.col("_missing") + F.col("_nan")).alias("missing_values"),
+        F.sum(F.col("_rows") - 1).alias("duplicate_months"),
+    )
+    return quality_columns(counts, dataset, window)
+
+
+def quality_columns(counts: DataFrame, dataset: str, window: int = WINDOW) -> DataFrame:
+    """The quality report from the counts of each series."""
     n = F.col("total_observations")
     train, validation = C.train_end(n), C.validation_end(n)
-    return (
-        _per_period(df)
-        .groupBy(KEY)
-        .agg(
-            F.sum("_rows").alias("total_observations"),
-            F.min(T).alias("start_period"),
-            F.max(T).alias("end_period"),
-            F.sum(F.col("_missing") + F.col("_nan")).alias("missing_values"),
-            F.sum(F.col("_rows") - 1).alias("duplicate_months"),
-        )
-        .select(
-            KEY,
-            F.lit(dataset).alias("dataset"),
-            "total_observations", "start_period", "end_period",
-            "missing_values", "duplicate_months",
-            train.alias("train_points"),
-            (validation - train).alias("validation_points"),
-            (n - validation).alias("test_points"),
-            F.lit(window).cast("bigint").alias("window_length"),
-            F.greatest(train - window, F.lit(0)).cast("bigint").alias("train_windows"),
-            (validation - train).alias("validation_windows"),
-            (n - validation).alias("test_windows"),
-        )
+    return counts.select(
+        KEY,
+        F.lit(dataset).alias("dataset"),
+        "total_observations", "start_period", "end_period",
+        "missing_values", "duplicate_months",
+        train.alias("train_points"),
+        (validation - train).alias("validation_points"),
+        (n - validation).alias("test_points"),
+        F.lit(window).cast("bigint").alias("window_length"),
+        F.greatest(train - window, F.lit(0)).cast("bigint").alias("train_windows"),
+        (validation - train).alias("validation_windows"),
+        (n - validation).alias("test_windows"),
     )
 
 

@@ -102,7 +102,7 @@ class SeriesFrame:
             blocks = self.lengths.long_rows // self.block_rows + self.lengths.long_series
             long = long.withColumn("_local", F.row_number().over(in_block) - 1)
             long = (
-                join_series(long, _broadcast_up_to(starts, blocks), BLOCK)
+                join_series(long, broadcast_up_to(starts, blocks), BLOCK)
                 .withColumn(position, F.col("_start") + F.col("_local"))
                 .drop("_start", "_local")
             )
@@ -198,7 +198,7 @@ def _row_counts(df: DataFrame, layout: Layout) -> DataFrame:
     return df.groupBy(KEY).agg(F.count(F.lit(1)).alias("_rows"))
 
 
-def _broadcast_up_to(small: DataFrame, rows: int) -> DataFrame:
+def broadcast_up_to(small: DataFrame, rows: int) -> DataFrame:
     """Broadcast a side known to have at most ``rows`` rows, if that is few."""
     return F.broadcast(small) if rows <= BROADCAST_ROWS else small
 
@@ -215,7 +215,7 @@ def _by_length(
         return df.filter(F.col(N) <= layout.block_rows), df.filter(F.col(N) > layout.block_rows)
     keys = _row_counts(df, layout).filter(F.col("_rows") > layout.block_rows).select(KEY)
     # Used twice, and a small table: kept, so that it is not counted out again.
-    keys = _broadcast_up_to(store(keys, "long-keys"), lengths.long_series)
+    keys = broadcast_up_to(store(keys, "long-keys"), lengths.long_series)
     return join_series(df, keys, how="left_anti"), join_series(df, keys, how="left_semi")
 
 
@@ -272,7 +272,7 @@ def _index_long(df: DataFrame, order: list[str], lengths: Lengths, block_rows: i
         F.sum("_rows").over(Window.partitionBy(KEY)).alias(N),
     ), "pieces")
     return (
-        join_series(placed, _broadcast_up_to(starts, parts + lengths.long_series), "_piece")
+        join_series(placed, broadcast_up_to(starts, parts + lengths.long_series), "_piece")
         .withColumn(IDX, F.col("_pos") + F.col("_shift"))
         .drop("_pos", "_piece", "_shift")
     )
