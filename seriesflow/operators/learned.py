@@ -80,16 +80,16 @@ def best_round(curve: Sequence[float], patience: int, min_gain: float) -> int:
 
 
 def packed(df: DataFrame, layout: Layout = AUTO, length: int = WINDOW) -> DataFrame:
-    """Packs of up to PACK consecutive rows of a series, with the ``length`` rows before.
+    """Packs of up to PACK consecutive rows of a series, with the ``length`` rows before;
+    packs are longer where the windows are.
 
     The windows of a pack's rows lie inside it. So the table that the fits read
-    holds each row about once, and not once for every window it is part of;
-    and a long series has many packs.
+    holds each row about once (twice at most), and not once for every window it is
+    part of; and a long series has many packs.
     """
-    if length > PACK:
-        raise ValueError(f"windows of more than {PACK} rows")
-    own = F.expr(f"{IDX} div {PACK}")
-    homes = F.when(F.col(IDX) % PACK >= PACK - length, F.array(own, own + 1)).otherwise(F.array(own))
+    size = max(PACK, length)
+    own = F.expr(f"{IDX} div {size}")
+    homes = F.when(F.col(IDX) % size >= size - length, F.array(own, own + 1)).otherwise(F.array(own))
     return (
         index_with_scale(df, layout).df
         .withColumn("_pack", F.explode(homes))
@@ -104,7 +104,7 @@ def packed(df: DataFrame, layout: Layout = AUTO, length: int = WINDOW) -> DataFr
 def unpacked(packs: DataFrame, length: int = WINDOW) -> DataFrame:
     """The supervised rows of the packs; see ``windows.supervised_rows``."""
     rows = F.col("_rows")
-    start = F.greatest(F.col("_pack") * PACK, F.lit(length)) - rows[0][IDX]
+    start = F.greatest(F.col("_pack") * max(PACK, length), F.lit(length)) - rows[0][IDX]
     places = F.when(start < F.size(rows), F.sequence(start.cast("int"), F.size(rows) - 1))
 
     def supervised(j: Column) -> Column:

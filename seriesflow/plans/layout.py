@@ -127,14 +127,13 @@ def index_series(
     """Add position ``idx``, length ``n``, per-series aggregates and window columns.
 
     ``aggs`` may use ``idx`` and ``n``. ``windows`` maps an ordered window to
-    columns; they may look at most ``back`` rows back and ``ahead`` rows ahead.
+    columns; they may look at most ``back`` rows back and ``ahead`` rows ahead. Blocks are
+    at least as long as that, so no row is copied to more than the blocks beside its own.
     """
-    if max(back, ahead) > layout.block_rows:
-        raise ValueError("block_rows must be at least the reach of the windows")
     order = [IDX] if layout.indexed else order_columns(df)
     lengths = measure_lengths(df, layout)
     short, long = _by_length(df, lengths, layout)
-    block_rows = max(layout.block_rows, ceil(lengths.long_rows / layout.max_blocks))
+    block_rows = max(layout.block_rows, ceil(lengths.long_rows / layout.max_blocks), back, ahead)
     if short is not None:
         short = _index_short(short, order, layout.indexed, windows, aggs)
     if long is not None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from seriesflow.config import PLAIN, Layout
 from seriesflow.operators import (
-    baselines, features, prepare, review, scaling, score, splits, windows,
+    baselines, features, learned, prepare, review, scaling, score, splits, windows,
 )
 from seriesflow.plans.layout import index_series, keep_index, measure_lengths, resolve
 from seriesflow.sources import storage
@@ -169,9 +169,10 @@ def test_joins_without_broadcast_give_the_same(skewed, monkeypatch):
     assert same(scaled, rows_of(scaling.scaler_transform(skewed, layout), "series_id", "idx"))
 
 
-def test_blocks_must_reach_as_far_as_the_windows(skewed):
-    with pytest.raises(ValueError):
-        windows.window_arrays(skewed, Layout("blocks", block_rows=23))
+def test_blocks_grow_to_the_reach_of_the_windows(skewed):
+    small = features.rolling_means(skewed, Layout("blocks", block_rows=5))
+    plain = features.rolling_means(skewed, PLAIN)
+    assert same(rows_of(small, "series_id", "idx"), rows_of(plain, "series_id", "idx"))
 
 
 def test_no_window_over_all_rows_of_a_long_series(skewed):
@@ -226,3 +227,30 @@ def test_result_does_not_depend_on_partitions(skewed):
     many = features.feature_table(skewed.repartition(13), PLAIN)
     keys = ("series_id", "t", "y", "lag_1", "lag_3")
     assert rows_of(one, *keys) == rows_of(many, *keys)
+
+
+@pytest.mark.parametrize("reach", [1000, 5000])
+def test_windows_longer_than_a_block(spark, reach):
+    """Blocks of 1,000 rows, windows of as many and of five times that: the plain result."""
+    df = spark.range(13_000).select(
+        F.when(F.col("id") < 600, F.lit("short")).otherwise(F.lit("long")).alias("series_id"),
+        F.col("id").alias("t"), ((F.col("id") * 37) % 101).cast("double").alias("y"))
+    blocks = Layout("auto", block_rows=1000)
+    for make in (lambda layout: features.feature_table(df, layout, (1, reach), (3, reach)),
+                 lambda layout: baselines.baseline_forecasts(df, layout, season=reach)):
+        plain, cut = make(PLAIN), make(blocks)
+        assert plain.count() == cut.count() > 0
+        values = [c for c, kind in plain.dtypes if kind == "double"]
+        keys = [c for c in plain.columns if c not in values]
+        rounded = [df.select(*keys, *[F.round(c, 6).alias(c) for c in values]) for df in (plain, cut)]
+        assert rounded[0].exceptAll(rounded[1]).count() == 0
+
+
+def test_learned_windows_longer_than_a_pack(spark, monkeypatch):
+    monkeypatch.setattr(learned, "PACK", 16)
+    df = spark.range(300).select(F.lit("a").alias("series_id"), F.col("id").alias("t"),
+                                 ((F.col("id") * 37) % 101).cast("double").alias("y"))
+    rows = learned.unpacked(learned.packed(df, PLAIN, 40), 40).orderBy("idx").collect()
+    plain = windows.supervised_rows(df, PLAIN, 40).orderBy("idx").collect()
+    assert [(r.idx, r.split, r.x, r.delta_target) for r in rows] == [
+        (r.idx, r.split, pytest.approx(r.x), pytest.approx(r.delta_target)) for r in plain]
