@@ -7,6 +7,10 @@ word. What stands in the slots has to fit: along one alignment of a benchmark it
 document a name, number or unit of the item always answers to the same one in the document,
 and different names to different ones.
 
+Names are told by capitals, which a document may have lost or put everywhere. So each window
+is looked up a second time without regard to case, with numbers and units as its only slots;
+names other than the item's are found in ordinary spelling only.
+
 Windows of few words beside their slots (*weak* ones) say little by their template. They match
 if all their words are equal, or if the whole item is in the document and its slots fit.
 An item of slots only has no template and is found by equal words.
@@ -28,6 +32,7 @@ from seriesflow.llm.common import add_columns, mix, ranges, share, small_batches
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
 HOLES = frozenset((NUMBER, NAME, UNIT))
 _NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:st|nd|rd|th|%)?")
+_JOINED = re.compile(r"([+-]?[$€£]?\d[\d.,:/]*)([a-z%$€£]+)", re.I)
 _EDGES = "!\"#&'()*,-./:;<=>?@[\\]^_`{|}~«»“”‘’…¿¡"
 # Number words and units that are read as placeholders.
 NUMBER_WORDS = frozenset("zero one two three four five six seven eight nine ten eleven twelve "
@@ -41,6 +46,7 @@ UNITS = frozenset("mm cm m km mg g kg t ml l s ms h hz khz mhz ghz kb mb gb tb w
 LETTERS = frozenset(u for u in UNITS if len(u) == 1 and u.isalpha())  # units after a number only
 
 
+TEMPLATE, FREE, EXACT = range(3)  # ways to look a window up
 REMEMBERED = 500_000  # words a task remembers before it starts afresh
 
 
@@ -75,6 +81,16 @@ def template_word(word: str) -> tuple[str, str, bool, bool]:
     return low, NAME if inner[0].isupper() else low, ends, True
 
 
+def joined(word: str) -> tuple[str, str] | None:
+    """A number and its unit written as one word, apart; the unit takes what follows it along."""
+    inner = word.strip(_EDGES)
+    found = _JOINED.fullmatch(inner)
+    if not found or found[2].lower() not in UNITS or found[2] in "%$€£":
+        return None
+    cut = word.index(inner) + len(found[1])
+    return word[:cut], word[cut:]
+
+
 class Reader:
     """Template words of texts as numbers, remembered word by word."""
 
@@ -83,19 +99,16 @@ class Reader:
         self.words: dict[str, int] = {}
         self.table = np.zeros((0, 6), np.int64)
         self.raw: list[str] = []
+        self.apart: dict[int, tuple[int, int]] = {}  # words that are a number and its unit
         self._hashes = np.zeros(0, np.uint64)
         self._word_hashes = np.zeros(0, np.uint64)
 
     def form(self, s: str) -> int:
         return self.forms.setdefault(s, len(self.forms))
 
-    def read(self, texts: list[str]):
-        """Template numbers, word numbers and text of all kept words, end to end."""
-        split = [t.split() for t in texts]
-        lengths = np.array([len(w) for w in split], np.int64)
-        new = set().union(*split) - self.words.keys()
+    def _learn(self, words):
         rows = []
-        for w in new:
+        for w in words:
             first, later, ends, kept = template_word(w)
             self.words[w] = len(self.words)
             self.raw.append(w)
@@ -103,21 +116,45 @@ class Reader:
                          w.strip(_EDGES).lower() in LETTERS))
         if rows:
             self.table = np.concatenate([self.table, np.array(rows, np.int64)])
+
+    def read(self, texts: list[str]):
+        """Of all kept words, end to end: template number, that without regard to case, word
+        number and text."""
+        split = [t.split() for t in texts]
+        lengths = np.array([len(w) for w in split], np.int64)
+        new = set().union(*split) - self.words.keys()
+        pairs = {w: two for w in new if w[-1:].isalpha() | (w.strip(_EDGES) != w) and (two := joined(w))}
+        self._learn(new | {part for two in pairs.values() for part in two} - self.words.keys())
+        self.apart.update((self.words[w], (self.words[a], self.words[b])) for w, (a, b) in pairs.items())
         flat = np.fromiter(map(self.words.__getitem__, chain.from_iterable(split)), np.int64, int(lengths.sum()))
+        text_of = np.repeat(np.arange(len(texts)), lengths)
+        if self.apart:
+            flat, text_of = self._parted(flat, text_of)
         if not len(flat):
-            return flat, flat, flat
-        starts = np.zeros(len(flat), bool)
-        starts[1:] = self.table[flat[:-1], 2] > 0
-        starts[starts_of(lengths)[lengths > 0]] = True
-        form = np.where(starts, self.table[flat, 0], self.table[flat, 1])
+            return flat, flat, flat, flat
+        starts = np.ones(len(flat), bool)
+        starts[1:] = (self.table[flat[:-1], 2] > 0) | (text_of[1:] != text_of[:-1])
+        free = self.table[flat, 0]
+        form = np.where(starts, free, self.table[flat, 1])
         unit = np.zeros(len(flat), bool)
         unit[1:] = (self.table[flat[:-1], 4] & self.table[flat[1:], 5]) > 0
         unit &= ~starts
         if unit.any():
-            form[unit] = self.form(UNIT)
+            form[unit] = free[unit] = self.form(UNIT)
         kept = self.table[flat, 3] > 0
-        text_of = np.repeat(np.arange(len(texts)), lengths)
-        return form[kept], flat[kept], text_of[kept]
+        return form[kept], free[kept], flat[kept], text_of[kept]
+
+    def _parted(self, flat: np.ndarray, text_of: np.ndarray):
+        whole = np.fromiter(self.apart, np.int64, len(self.apart))
+        is_pair = np.zeros(len(self.raw), bool)
+        is_pair[whole] = True
+        at = np.flatnonzero(is_pair[flat])
+        if not len(at):
+            return flat, text_of
+        parts = np.array([self.apart[w] for w in flat[at].tolist()], np.int64)
+        flat = np.insert(flat, at + 1, parts[:, 1])
+        flat[at + np.arange(len(at))] = parts[:, 0]
+        return flat, np.insert(text_of, at + 1, text_of[at])
 
     def hashes(self) -> np.ndarray:
         """Hash of each template word, by number."""
@@ -146,37 +183,64 @@ def window_hashes(value: np.ndarray, size: int) -> np.ndarray:
     """Hash of each window of ``size`` values."""
     if len(value) < size:
         return np.zeros(0, np.uint64)
-    total = np.zeros(len(value) - size + 1, np.uint64)
-    for i in range(size):
-        total = total * np.uint64(0x9E3779B97F4A7C15) + value[i:len(value) - size + 1 + i]
+    width, total, base = 1, value, np.uint64(0x9E3779B97F4A7C15)
+    for bit in bin(size)[3:]:  # windows of twice the width, and one more where the bit says so
+        power = np.uint64(pow(int(base), width, 1 << 64))
+        total = total[:-width] * power + total[width:]
+        width *= 2
+        if bit == "1":
+            total = total[:-1] * base + value[width:]
+            width += 1
     return mix(total)
 
 
+class Keys:
+    """Sorted window hashes with their places, behind a table of their leading bits."""
+
+    def __init__(self, rows: list[tuple]):
+        rows = sorted(rows)
+        self.keys, self.places = np.array([r[0] for r in rows], np.uint64), [r[1:] for r in rows]
+        self.shift = np.uint64(64 - min(22, max(12, len(rows).bit_length() + 4)))
+        self.there = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.there[self.keys >> self.shift] = True
+
+    def find(self, own: np.ndarray):
+        """Pairs (place in own, row number of the first equal key)."""
+        maybe = np.flatnonzero(self.there[own >> self.shift])
+        at = np.searchsorted(self.keys, own[maybe])
+        equal = self.keys[np.minimum(at, len(self.keys) - 1)] == own[maybe]
+        return maybe[equal], at[equal]
+
+
 class Items:
     """Templates of a block of benchmark items and their sorted window hashes, by width.
 
     Items of fewer than ``size`` template words are one window of their own width. Weak
     windows are in ``exact``, by their words; that with most plain words is in ``windows``
-    too if the item has no other there. The first word is looked up under each way to read
+    too if the item has no other there. ``free`` has the windows that are not weak without
+    regard to case, names as words. The first word is looked up under each way to read
     it, as a document may have it within a sentence or after a number.
     """
 
     def __init__(self, rows: list[tuple[int, str]], matching: Matching):
         self.matching = matching
         reader = Reader()
-        form, word, text_of = reader.read([t for _, t in rows])
+        form, free, word, text_of = reader.read([t for _, t in rows])
         unit = reader.form(UNIT)
         names = list(reader.forms)
         value = reader.hashes()[form] if len(form) else np.zeros(0, np.uint64)
         own = reader.word_hashes()[word] if len(form) else value
+        low = reader.hashes()[free] if len(form) else value
         self.ids = [i for i, _ in rows]
         bounds = np.searchsorted(text_of, np.arange(len(rows) + 1))
         self.forms = [[names[f] for f in form[a:b]] for a, b in zip(bounds, bounds[1:])]
+        self.free_forms = [[names[f] for f in free[a:b]] for a, b in zip(bounds, bounds[1:])]
         self.slots = [[reader.raw[w].strip(_EDGES) for w in word[a:b]] for a, b in zip(bounds, bounds[1:])]
         self.weak: list[set[int]] = [set() for _ in rows]
         self.plain = [sum(f not in HOLES for f in forms) for forms in self.forms]
         found: dict[int, list] = {}
         exact: dict[int, list] = {}
+        cased: dict[int, list] = {}
         for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
             width = min(matching.size, int(b - a))
             if not width:
@@ -186,7 +250,9 @@ class Items:
             self.weak[k] = {at for at, n in enumerate(plain) if n < min(matching.plain, width)}
             same = window_hashes(own[a:b], width).tolist()
             exact.setdefault(width, []).extend((same[at], k, at) for at in self.weak[k])
+            caseless = window_hashes(low[a:b], width).tolist()
             looked_up = [at for at in range(len(keys)) if at not in self.weak[k]]
+            cased.setdefault(width, []).extend((caseless[at], k, at) for at in looked_up)
             if not looked_up and self.plain[k]:
                 # not the first window if another will do: its first word may be a name
                 looked_up = [max(range(len(keys)), key=lambda at: (plain[at] > 0, at > 0, plain[at]))]
@@ -198,32 +264,30 @@ class Items:
                         first = value[a:a + width].copy()
                         first[0] = reader.hashes()[other]
                         found[width].append((int(window_hashes(first, width)[0]), k, 0))
-        self.windows, self.exact = ({
-            width: (np.array([s[0] for s in some], np.uint64), [s[1:] for s in some])
-            for width, some in ((width, sorted(some)) for width, some in by_width.items()) if some}
-            for by_width in (found, exact))
+        self.windows, self.exact, self.free = (
+            {width: Keys(some) for width, some in by_width.items() if some} for by_width in (found, exact, cased))
 
 
 def matches(texts: list[str], items: Items, reader: Reader):
     """Rows (text, item, windows, coverage) of the items found in each text."""
-    form, word, text_of = reader.read(texts)
+    form, free, word, text_of = reader.read(texts)
     if not len(form):
         return
     hits: dict[tuple[int, int, int], list] = {}
-    for exact, windows in ((False, items.windows), (True, items.exact)):
-        value = (reader.word_hashes()[word] if exact else reader.hashes()[form]) if windows else None
-        for width, (keys, places) in windows.items():
+    for kind, windows in ((TEMPLATE, items.windows), (FREE, items.free), (EXACT, items.exact)):
+        if not windows:
+            continue
+        value = reader.word_hashes()[word] if kind == EXACT else reader.hashes()[free if kind == FREE else form]
+        for width, keys in windows.items():
             own = window_hashes(value, width)
             if not len(own):
                 continue
-            at = np.searchsorted(keys, own)
-            near = np.minimum(at, len(keys) - 1)
-            found = np.flatnonzero((keys[near] == own) & (text_of[:len(own)] == text_of[width - 1:]))
-            for p in found.tolist():
-                k = int(at[p])
-                while k < len(keys) and keys[k] == own[p]:
-                    item, begin = places[k]
-                    hits.setdefault((int(text_of[p]), item, p - begin), []).append((begin, width, exact))
+            found, rows = keys.find(own)
+            inside = text_of[found] == text_of[found + width - 1]
+            for p, k in zip(found[inside].tolist(), rows[inside].tolist()):
+                while k < len(keys.keys) and keys.keys[k] == own[p]:
+                    item, begin = keys.places[k]
+                    hits.setdefault((int(text_of[p]), item, p - begin), []).append((begin, width, kind))
                     k += 1
     if not hits:
         return
@@ -237,33 +301,45 @@ def matches(texts: list[str], items: Items, reader: Reader):
             other, theirs = names[form[shift + i]], reader.raw[word[shift + i]].strip(_EDGES)
             if kind == other:
                 if kind in HOLES:
-                    pairs.append((kind, ours, theirs))
+                    pairs.append((kind, _quantity(items, item, i), theirs))
             elif i or ours.lower() != theirs.lower():
                 if i or not rename or not (ours[0].isupper() and theirs[0].isupper()):
                     return None
                 pairs.append((NAME, ours, theirs))
         return pairs
 
+    def caseless_slots(item, shift, begin, end):
+        pairs = []
+        for i in range(begin, end):
+            kind = items.free_forms[item][i]
+            if kind != names[free[shift + i]]:
+                return None
+            if kind in HOLES:
+                pairs.append((kind, _quantity(items, item, i), reader.raw[word[shift + i]].strip(_EDGES)))
+        return pairs
+
     covered: dict[tuple[int, int], tuple[set, set]] = {}
     for (text, item, shift), windows in hits.items():
         n, weak = len(items.forms[item]), items.weak[item]
-        there, back = {}, {}
-        fitting, others = [], 0
-        for begin, width, exact in sorted(windows):
-            if exact or begin in weak:
-                continue
-            pairs = slots(item, shift, begin, begin + width)
-            if pairs is None:
-                continue  # equal hash, other words
-            if _fits(pairs, there, back):
-                fitting.append((begin, width))
-            else:
-                others += 1
-        if others > items.matching.misfits * (others + len(fitting)):
-            fitting = []
-        fitting += [(begin, width) for begin, width, exact in windows
-                    if exact and all(bare(reader.raw[word[shift + i]]) == items.slots[item][i].lower()
-                                     for i in range(begin, begin + width))]
+        fitting = []
+        for kind in (TEMPLATE, FREE):
+            there, back, own, others = {}, {}, [], 0
+            for begin, width, found in sorted(windows):
+                if found != kind or kind == TEMPLATE and begin in weak:
+                    continue
+                pairs = (slots if kind == TEMPLATE else caseless_slots)(item, shift, begin, begin + width)
+                if pairs is None:
+                    continue  # equal hash, other words
+                if _fits(pairs, there, back):
+                    own.append((begin, width))
+                else:
+                    others += 1
+            if others > items.matching.misfits * (others + len(own)):
+                break  # names that contradict each other do so in any case
+            fitting += own
+        fitting += [(begin, width) for begin, width, kind in windows
+                    if kind == EXACT and all(bare(reader.raw[word[shift + i]]) == items.slots[item][i].lower()
+                                             for i in range(begin, begin + width))]
         if weak and items.plain[item] and shift >= 0 and shift + n <= len(form) \
                 and text_of[shift] == text == text_of[shift + n - 1]:
             pairs = slots(item, shift, 0, n, rename=n > items.matching.size)
@@ -284,6 +360,16 @@ def matches(texts: list[str], items: Items, reader: Reader):
             yield text, items.ids[item], len(starts), len(words) / n
 
 
+def _quantity(items: Items, item: int, i: int) -> str:
+    """What stands in a slot; a number with the word after it, as equal numbers of different
+    things need not stay equal."""
+    kind, ours = items.forms[item][i], items.slots[item][i]
+    if kind != NUMBER:
+        return ours
+    after = items.slots[item][i + 1].lower() if i + 1 < len(items.slots[item]) else ""
+    return f"{ours} {after}"
+
+
 def _fits(pairs, there, back) -> bool:
     """Whether the slots agree with those seen; if so they are remembered."""
     new_there, new_back = {}, {}
