@@ -205,7 +205,7 @@ def test_language_sets_do_not_depend_on_the_slice():
     counts = np.zeros((languages.FEATURES, 4))
     for i, t in enumerate(["aba bab abab", "aba bab abab", "zyz yzy zyzy", "mnm nmn mnmn"]):
         counts[:, i] = np.bincount(languages.trigrams(t * 50, table), minlength=languages.FEATURES)
-    model = languages.LanguageModel(["a", "b", "c", "d"], counts)
+    model = languages.LanguageModel.of(["a", "b", "c", "d"], counts)
     text = "abab " * 35 + "zyzy " * 15  # b adds nothing to a; c after it does
     alone = [x[0] for x in languages.infer([text], model, table)]
     assert set(alone[2]) == {"a", "b", "c"}
@@ -216,14 +216,14 @@ def test_language_sets_do_not_depend_on_the_slice():
 def test_mixture_equals_plain_expectation_maximisation():
     rng = np.random.default_rng(3)
     counts = rng.integers(0, 5, (languages.FEATURES, 3)).astype(float)
-    model = languages.LanguageModel(["x", "y", "z"], counts)
+    model = languages.LanguageModel.of(["x", "y", "z"], counts)
     table = languages.folding()
     texts = ["Hello there, ABC", "", "12 34", "çava été 漢字", "a"]
     lang, score, mixture = languages.infer(texts, model, table)
     assert lang[1] == lang[2] == "und" and score[1] == 0.0
     for i in (0, 3, 4):
         grams = Counter(languages.trigrams(texts[i], table).tolist())
-        p = {g: model.p[g].astype(float) for g in grams}
+        p = {g: model.columns(np.array([g]))[:, 0].astype(float) for g in grams}
         n, best = sum(grams.values()), None
 
         def run(allowed, rounds):
@@ -239,12 +239,46 @@ def test_mixture_equals_plain_expectation_maximisation():
             value = fit - 0.5 * (size - 1) * math.log(n)
             if best is None or value > best[0]:
                 best = value, shares
-            else:
-                break
         assert lang[i] == "xyz"[int(best[1].argmax())]
         assert score[i] == pytest.approx(best[1].max(), rel=1e-3)
 
 
+def test_many_languages_cost_little_more_than_few():
+    import time
+
+    rng = np.random.default_rng(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    weights = rng.dirichlet(np.full(26, 0.4), 120)
+    say = lambda j, n: " ".join("".join(rng.choice(list(letters), 5, p=weights[j])) for _ in range(n))
+    table = languages.folding()
+    counts = np.stack([np.bincount(languages.trigrams(say(j, 3000), table), minlength=languages.FEATURES)
+                       for j in range(120)], axis=1)
+    few = languages.LanguageModel.of([f"l{j:03}" for j in range(4)], counts[:, :4])
+    many = languages.LanguageModel.of([f"l{j:03}" for j in range(120)], counts)
+    texts = [say(i % 4, 150) if i % 5 else say(0, 75) + " " + say(1, 75) for i in range(100)]
+
+    def seconds(model):
+        start = time.process_time()
+        found = languages.infer(texts, model, table)
+        return time.process_time() - start, found
+
+    seconds(few)
+    (short, a), (long, b) = seconds(few), seconds(many)
+    assert [x for i, x in enumerate(a[0]) if i % 5] == [f"l{i % 4:03}" for i in range(100) if i % 5] and a[0] == b[0]
+    assert all(set(m) >= {"l000", "l001"} for i, m in enumerate(b[2]) if i % 5 == 0)
+    assert long < 10 * max(short, 0.04)
+    alone = [languages.infer([t], many, table) for t in texts[:10]]
+    assert [x[0][0] for x in alone] == b[0][:10]
+    assert [x[1][0] for x in alone] == pytest.approx(b[1][:10], rel=1e-4)
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(languages, "MOST", 2)
+    docs = spark.createDataFrame([("a", "x y"), ("b", "z"), ("c", "w")], "lang string, text string")
+    with pytest.raises(ValueError, match="languages"):
+        languages.fit(docs)
+
+
 def test_trigrams_are_counted_over_all_texts(spark):
     rows = [("en", "Abc d"), ("de", "ähm"), ("en", "abc"), (None, "zzz"), ("en", None)]
     docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
