@@ -15,9 +15,9 @@ from itertools import chain, count
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from seriesflow.llm import word_pairs
 from seriesflow.llm.common import add_columns, mix, ranges, share, small_batches, starts_of
 from seriesflow.llm.interpolation import chunks
+from seriesflow.llm.word_pairs import PAIR, WORD, Chunk, log10_probabilities, statistics, unpacked
 from seriesflow.sources.storage import store
 
 ORDER = 4
@@ -286,7 +286,7 @@ def score_words(docs: DataFrame, model: HashedModel, keep: list[str], text: str
     keep = [c for c in keep if c not in [name for name, _ in fields]]
     # chunks by the hash of the language: its folds are of no use here
     table = store(chunks(docs, [lang, *keep], text, lang), "word_chunks")
-    joined, languages = word_pairs.statistics(table)
+    joined, languages = statistics(table)
     shared = share(docs, (model, languages))
     schema = T.StructType([T.StructField(c, docs.schema[c].dataType) for c in keep]
                           + [T.StructField(n, t) for n, t in fields])
@@ -312,10 +312,10 @@ def score_words(docs: DataFrame, model: HashedModel, keep: list[str], text: str
 
         for batch in batches:
             for payload, pairs, words in zip(*(batch.column(i) for i in range(3))):
-                chunk = word_pairs.Chunk(payload.as_py())
-                _, total = word_pairs.unpacked(pairs.as_py(), word_pairs.PAIR)
-                _, *word = word_pairs.unpacked(words.as_py(), word_pairs.WORD)
-                logs = word_pairs.log10_probabilities(
+                chunk = Chunk(payload.as_py())
+                _, total = unpacked(pairs.as_py(), PAIR)
+                _, *word = unpacked(words.as_py(), WORD)
+                logs = log10_probabilities(
                     chunk, total, word, languages, word_logs(chunk.forms))
                 sums, lengths = log_sums(chunk.texts)
                 columns = [*base_counts(chunk.texts), lengths, -sums / lengths, chunk.lengths,

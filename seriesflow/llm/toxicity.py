@@ -152,17 +152,20 @@ def feature_rows(docs: DataFrame, lexicon: dict[str, float], keep: list[str], te
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), text: str = "text") -> ToxicityModel:
     """Model from the labelled rows among docs (columns ``doc_id`` and ``toxic`` of labels).
 
-    At most ``settings.sample`` labelled rows are used, those with the smallest hash of
-    doc_id. Rows without an id, label or text are left out; of a repeated label the highest
-    counts.
+    At most ``settings.sample`` rows are used, those of the labels with the smallest hash of
+    doc_id. Rows without an id, label or text are left out, and so are labels that are
+    neither 0 nor 1; of a repeated label the highest counts, of rows that repeat an id the
+    one whose text has the smallest hash.
     """
-    marked = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
-              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    marked = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").try_cast("double").isin(0.0, 1.0))
+              .groupBy("doc_id").agg(F.max(F.col("toxic").try_cast("double")).cast("int").alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.sample))
     part = F.pmod(F.xxhash64("doc_id", F.lit(settings.seed)), F.lit(1000)) < 1000 * settings.calibration_share
     source = docs.select("doc_id", F.col(text).cast("string").alias("text")).where(F.col("text").isNotNull())
-    rows = store(source.join(F.broadcast(marked), "doc_id")  # bounded by settings.sample
-                 .select("text", "toxic", part.alias("aside")), "toxicity-sample")
+    labelled = source.join(F.broadcast(marked), "doc_id")  # bounded by settings.sample
+    one_each = labelled.groupBy("doc_id").agg(
+        F.min(F.struct(F.xxhash64("text"), "text", "toxic")).alias("first_")).select("doc_id", "first_.*")
+    rows = store(one_each.select("text", "toxic", part.alias("aside")), "toxicity-sample")
     fitting = rows.where(~F.col("aside"))
     lexicon = learn_lexicon(fitting, settings)
     seen = rows.groupBy("aside").agg(F.min("toxic").alias("low"), F.max("toxic").alias("high"),

@@ -352,3 +352,44 @@ def test_toxicity_on_edges(spark, edges, none):
     assert {r.score for r in toxicity.score(edges, only).collect()} == {0.0}
     empty = toxicity.fit(none, labels, settings)
     assert toxicity.score(none, empty).count() == 0
+
+
+def test_labels_other_than_0_and_1_and_repeated_ids(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"you awful idiot {i}" if i % 2 else f"a calm walk {i}") for i in range(60)]
+                                 + [(1, "another text of the same id")] * 500, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, float(i % 2)) for i in range(50)] + [(50, 2.0), (51, -1.0), (52, 0.5), (53, None)],
+                                   "doc_id bigint, toxic double")
+    stored = []
+    monkeypatch.setattr(toxicity, "store", lambda df, name, f=toxicity.store: stored.append(f(df, name)) or stored[-1])
+    model = toxicity.fit(docs, labels, toxicity.Settings(trees=2, depth=1, least_rows=2))
+    assert stored[0].count() == 50  # one row a label
+    assert {r.toxic for r in stored[0].collect()} == {0, 1}
+    assert toxicity.score(docs, model).count() == 560
+
+
+def test_scores_equal_trees_and_calibration_by_hand(spark):
+    """Features, the sum of the trees, its logistic and the isotonic line, row by row."""
+    rng = np.random.default_rng(4)
+    words = "calm walk sea idiot stupid awful you your house tree".split()
+    texts = [" ".join(rng.choice(words, 12)) + "!" * int(rng.integers(0, 4)) for _ in range(300)]
+    mark = [int(("idiot" in t) + ("awful" in t) + (rng.random() < 0.2) >= 2) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    labels = spark.createDataFrame(list(enumerate(mark)), "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, labels, toxicity.Settings(trees=6, depth=2, least_rows=5))
+    assert model.trees is not None and model.calibration is not None
+
+    def value(tree, x):
+        node = tree._call_java("rootNode")
+        while node.subtreeDepth() > 0:
+            split = node.split()
+            node = node.leftChild() if x[split.featureIndex()] <= split.threshold() else node.rightChild()
+        return node.prediction()
+
+    edges, heights = (np.array(v) for v in (model.calibration.boundaries, model.calibration.predictions))
+    trees, weights = model.trees.trees, model.trees.treeWeights
+    found = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    for i in range(0, 300, 13):
+        x = toxicity.features(texts[i], model.lexicon)
+        margin = sum(w * value(t, x) for t, w in zip(trees, weights))
+        expected = np.interp(1 / (1 + math.exp(-2 * margin)), edges, heights)
+        assert found[i] == pytest.approx(min(max(expected, 0), 1), abs=1e-9)
