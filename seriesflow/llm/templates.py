@@ -33,6 +33,7 @@ NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
 HOLES = frozenset((NUMBER, NAME, UNIT))
 _NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:st|nd|rd|th|%)?")
 _JOINED = re.compile(r"([+-]?[$€£]?\d[\d.,:/]*)([a-z%$€£]+)", re.I)
+_DIGIT = re.compile(r"\d")
 _EDGES = "!\"#&'()*,-./:;<=>?@[\\]^_`{|}~«»“”‘’…¿¡"
 # Number words and units that are read as placeholders.
 NUMBER_WORDS = frozenset("zero one two three four five six seven eight nine ten eleven twelve "
@@ -107,15 +108,27 @@ class Reader:
         return self.forms.setdefault(s, len(self.forms))
 
     def _learn(self, words):
-        rows = []
-        for w in words:
-            first, later, ends, kept = template_word(w)
-            self.words[w] = len(self.words)
+        rows, forms, mark = [], self.forms, len(self.words)
+        for number, w in enumerate(words, mark):
+            if w.isalpha():  # most words: nothing to strip, no digits, no end of a sentence
+                low = w.lower()
+                first = later = low
+                if low in NUMBER_WORDS:
+                    first = later = NUMBER
+                elif low in UNITS and len(low) > 1:
+                    first = later = UNIT
+                elif w[0].isupper():
+                    later = NAME
+                ends, kept, letter = False, True, low in LETTERS
+            else:
+                first, later, ends, kept = template_word(w)
+                letter = w.strip(_EDGES).lower() in LETTERS
+            self.words[w] = number
+            at = forms.setdefault(first, len(forms))
+            rows += (at, at if first is later else forms.setdefault(later, len(forms)), ends, kept, first == NUMBER, letter)
             self.raw.append(w)
-            rows.append((self.form(first), self.form(later), ends, kept, first == NUMBER,
-                         w.strip(_EDGES).lower() in LETTERS))
         if rows:
-            self.table = np.concatenate([self.table, np.array(rows, np.int64)])
+            self.table = np.concatenate([self.table, np.array(rows, np.int64).reshape(-1, 6)])
 
     def read(self, texts: list[str]):
         """Of all kept words, end to end: template number, that without regard to case, word
@@ -123,7 +136,7 @@ class Reader:
         split = [t.split() for t in texts]
         lengths = np.array([len(w) for w in split], np.int64)
         new = set().union(*split) - self.words.keys()
-        pairs = {w: two for w in new if w[-1:].isalpha() | (w.strip(_EDGES) != w) and (two := joined(w))}
+        pairs = {w: two for w in new if not w.isalpha() and _DIGIT.search(w) and (two := joined(w))}
         self._learn(new | {part for two in pairs.values() for part in two} - self.words.keys())
         self.apart.update((self.words[w], (self.words[a], self.words[b])) for w, (a, b) in pairs.items())
         flat = np.fromiter(map(self.words.__getitem__, chain.from_iterable(split)), np.int64, int(lengths.sum()))
