@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from seriesflow.llm.common import share, small_batches
+from seriesflow.sources.storage import store
 
 # Fixed value: the profile of records that repeat the payload of another.
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -51,37 +52,88 @@ def file_system(folder: str):
     return FileSystem.from_uri(folder)
 
 
-def boundaries(sizes: DataFrame, target: int) -> np.ndarray:
-    """Page ids at which shards begin, the first excluded, for rows (page_id, bytes).
+DIGITS = 15  # of a digest, as a number: where rows of one id are told apart
+NO_ID = -(1 << 63)  # rows without an id come first, as this one would
 
-    From histograms of bytes over equal ranges of ids; a range over the target is divided
-    again. The same pages always give the same shards; the number of ids is about that of
-    shards. A single id is never divided.
+
+def _number(digest):
+    """The first digits of a hexadecimal digest."""
+    return F.conv(F.substring(digest, 1, DIGITS), 16, 10).cast("bigint")
+
+
+def last_not_after(ids: np.ndarray, marks: np.ndarray, id_: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """Number of the pairs (ids, marks), in ascending order, that are not after each (id_, mark)."""
+    left, right = np.searchsorted(ids, id_, "left"), np.searchsorted(ids, id_, "right")
+    found = right.copy()
+    several = np.flatnonzero(left < right)  # rows of an id at which something begins
+    for edge in np.unique(left[several]):
+        rows = several[left[several] == edge]
+        end = right[rows[0]]
+        found[rows] = edge + np.searchsorted(marks[edge:end], mark[rows], "right")
+    return found
+
+
+def boundaries(sizes: DataFrame, target: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (page_id, mark) at which shards begin, the first excluded, for rows (page_id,
+    mark, bytes); marks tell the rows of one id apart, rows without an id have NO_ID.
+
+    From histograms of bytes over equal ranges of ids; ranges over the target are divided
+    again, all in one job a level, a single id by its marks. The same rows always give the
+    same shards; the number of ranges is about that of shards. Rows of one id and mark stay
+    together.
     """
-    total = sizes.agg(F.min("page_id"), F.max("page_id"), F.sum("bytes")).first()
+    top = 16 ** DIGITS - 1
+    total = sizes.agg(F.min("page_id"), F.max("page_id"), F.sum("bytes"),
+                      F.min(F.when(F.col("page_id") > NO_ID, F.col("page_id")))).first()
     if total[0] is None or not total[2]:
-        return np.zeros(0, np.int64)
-    heavy, found = [(int(total[0]), int(total[1]), int(total[2]))], []
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    low = int(total[3]) if total[3] is not None else NO_ID
+    # (first id, last id, first mark, last mark, bytes); apart from a single id all marks
+    heavy, found = [(low, int(total[1]), 0, top, int(total[2]))], []
+    if total[0] == NO_ID and low > NO_ID:
+        heavy.insert(0, (NO_ID, NO_ID, 0, top, int(total[2])))
     while heavy:
-        low, high, volume = heavy.pop()
-        width = max(1, -(-(high - low + 1) // max(16, min(65_536, 4 * volume // target))))
-        place = F.floor((F.col("page_id") - low) / F.lit(width)) if width > 1 else F.col("page_id") - low
-        rows = (sizes.where(F.col("page_id").between(low, high))
-                .groupBy(place.cast("bigint").alias("place")).agg(F.sum("bytes").alias("bytes")).collect())
+        heavy.sort()
+        grid = []  # how each range is divided: by id or mark, first place, width of a cell
+        for a, b, m, n, volume in heavy:
+            by_mark = a == b
+            first, last = (m, n) if by_mark else (a, b)
+            cells = max(4096 if by_mark else 16, min(65_536, 4 * volume // target))
+            grid.append((by_mark, first, max(1, -(-(last - first + 1) // cells))))
+        ranges_ = [np.array(x, np.int64) for x in list(zip(*heavy))[:4]]
+
+        @F.pandas_udf("struct<number:int,cell:bigint>")
+        def cell(ids: pd.Series, marks: pd.Series) -> pd.DataFrame:
+            ids, marks = ids.to_numpy(np.int64), marks.to_numpy(np.int64)
+            number = last_not_after(ranges_[0], ranges_[2], ids, marks) - 1
+            at = np.maximum(number, 0)
+            inside = (number >= 0) & (ids >= ranges_[0][at]) & (ids <= ranges_[1][at]) & (marks <= ranges_[3][at])
+            by_mark, first, width = (np.array(x) for x in zip(*grid))
+            # distances of ids may pass 2**63
+            place = np.where(by_mark[at], marks, ids).astype(np.uint64) - first[at].astype(np.int64).astype(np.uint64)
+            place = place // np.array([min(w, 2**64 - 1) for w in width.tolist()], np.uint64)[at]
+            return pd.DataFrame({"number": np.where(inside, at, -1).astype(np.int32), "cell": place.astype(np.int64)})
+
+        rows = (sizes.select(cell("page_id", "mark").alias("c"), "bytes").where("c.number >= 0")
+                .groupBy("c.number", "c.cell").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("rows"))
+                .collect())
+        next_ = []
         for r in rows:
-            begin = low + r.place * width
-            end = min(high, begin + width - 1)
-            if r.bytes > target and end > begin:
-                heavy.append((begin, end, int(r.bytes)))
-            else:
-                found.append((begin, int(r.bytes)))
+            a, b, m, n, _ = heavy[r.number]
+            by_mark, first, width = grid[r.number]
+            begin = first + r.cell * width
+            end = min(n if by_mark else b, begin + width - 1)
+            part = (a, b, begin, end, int(r.bytes)) if by_mark else (begin, end, 0, top, int(r.bytes))
+            can_be_divided = r.rows > 1 and (part[1] > part[0] or part[3] > part[2])
+            (next_ if r.bytes > target and can_be_divided else found).append(part)
+        heavy = next_
     starts, filled = [], 0
-    for begin, volume in sorted(found):
+    for a, _, m, _, volume in sorted(found):
         if filled and filled + volume > target:
-            starts.append(begin)
+            starts.append((a, m))
             filled = 0
         filled += volume
-    return np.array(starts, np.int64)
+    return tuple(np.array([x[i] for x in starts], np.int64) for i in (0, 1))
 
 
 def _record(kind: str, headers: list[tuple[str, str]], block: bytes, date: str) -> bytes:
@@ -163,21 +215,23 @@ def write_archives(pages: DataFrame, folder: str, settings: Archive = Archive())
     Null html is an empty payload. Of rows with equal payloads of at least
     ``settings.revisit_bytes`` that with the largest page_id is a response, the others are
     revisits of it; rows without a page_id are responses and come first, rows that repeat
-    both page_id and payload are alike. Null urls are replaced by one of the page_id. Pages
-    are shuffled once, with a short row for each revisit beside them. An empty table gives an
-    empty manifest.
+    both page_id and payload are alike and share a shard; others of one page_id, or without,
+    may be in several. Null urls are replaced by one of the page_id. Pages are shuffled once,
+    with a short row for each revisit beside them; ids, digests and sizes are written once.
+    An empty table gives an empty manifest.
     """
     small_batches(pages)
     payload = F.coalesce(F.col("html").cast("string").cast("binary"), F.lit("").cast("binary"))
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
                         payload.alias("payload")).withColumn("digest", F.sha1("payload"))
-    slim = rows.select("page_id", "digest", F.octet_length("payload").alias("bytes"))
-    starts = share(pages, boundaries(slim.select("page_id", (F.col("bytes") + 1000).alias("bytes")), settings.shard_bytes))
+    slim = store(rows.select("page_id", "digest", F.octet_length("payload").alias("bytes")), "warc-sizes")
+    starts = share(pages, boundaries(
+        slim.select(F.coalesce("page_id", F.lit(NO_ID)).alias("page_id"), _number("digest").alias("mark"),
+                    (F.col("bytes") + 1000).alias("bytes")), settings.shard_bytes))
 
     @F.pandas_udf("int")
-    def shard(ids: pd.Series) -> pd.Series:
-        where = np.searchsorted(starts(), ids.fillna(np.iinfo(np.int64).min).to_numpy(np.int64), "right")
-        return pd.Series(where.astype(np.int32))
+    def shard(ids: pd.Series, marks: pd.Series) -> pd.Series:
+        return pd.Series(last_not_after(*starts(), ids.to_numpy(np.int64), marks.to_numpy(np.int64)).astype(np.int32))
 
     large = slim.where((F.col("bytes") >= settings.revisit_bytes) & F.col("page_id").isNotNull())
     kept = large.groupBy("digest").agg(F.max("page_id").alias("kept"), F.count("*").alias("rows")).where("rows > 1")
@@ -186,7 +240,8 @@ def write_archives(pages: DataFrame, folder: str, settings: Archive = Archive())
         F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"))
     both = revisits.unionByName(rows.select("page_id", "digest", F.lit(1).alias("kind"),
                                             F.lit(None).cast("bigint").alias("refers_to"), "url", "payload"))
-    dealt = both.withColumn("shard", shard("page_id")).repartition("shard").sortWithinPartitions(
+    place = shard(F.coalesce("page_id", F.lit(NO_ID)), _number("digest"))
+    dealt = both.withColumn("shard", place).repartition("shard").sortWithinPartitions(
         F.col("shard"), F.col("page_id").asc_nulls_first(), "digest", "kind", "url")
     order = ["shard", "page_id", "digest", "kind", "refers_to", "url", "payload"]
 
@@ -208,6 +263,10 @@ def write_archives(pages: DataFrame, folder: str, settings: Archive = Archive())
 
     manifest = dealt.select(*order).mapInArrow(write, _MANIFEST)
     manifest.write.json(f"{folder}/_manifest")
+    system, path = file_system(folder)
+    left = f"{path}/_temporary"  # of attempts that failed
+    if system.get_file_info(left).type.name == "Directory":
+        system.delete_dir_contents(left)
     return read_manifest(pages.sparkSession, folder)
 
 
@@ -251,21 +310,35 @@ def _hex(digest: str) -> str:
     return base64.b32decode(digest.removeprefix("sha1:")).hex()
 
 
+class _Counted:
+    """A stream that keeps the size and digest of what was read."""
+
+    def __init__(self, stream):
+        self.stream, self.size, self.sha1 = stream, 0, hashlib.sha1()
+
+    def read(self, n: int) -> bytes:
+        data = self.stream.read(n)
+        self.size += len(data)
+        self.sha1.update(data)
+        return data
+
+
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """The page records of all files that the manifest names.
 
     Columns page_id, url, payload_bytes, payload_digest (hex SHA-1), record_type, refers_to.
-    Lengths and digests are checked; a damaged file fails the job. Files are read by their
-    own task each, as streams.
+    Lengths and digests, also those of the manifest, are checked; a damaged file fails the
+    job. Files are read by their own task each, as streams.
     """
     manifest = read_manifest(spark, folder)
 
     def read(batches):
         system, path = file_system(folder)
         for batch in batches:
-            for name, count in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for name, count, size, sha1 in zip(*(c.to_pylist() for c in batch.columns)):
                 rows = []
-                with system.open_input_stream(f"{path}/{name}", compression=None) as stream:
+                with system.open_input_stream(f"{path}/{name}", compression=None) as opened:
+                    stream = _Counted(opened)
                     for headers, block in records_of(stream):
                         if hashlib.sha1(block).hexdigest() != _hex(headers["WARC-Block-Digest"]):
                             raise ValueError(f"{name}: damaged block")
@@ -278,9 +351,11 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
                             rows = []
                 if count:
                     raise ValueError(f"{name}: {count} records missing")
+                if (stream.size, stream.sha1.hexdigest()) != (size, sha1):
+                    raise ValueError(f"{name}: not the file of the manifest")
                 yield _record_batch(rows)
 
-    files = manifest.select("file", "records")
+    files = manifest.select("file", "records", "bytes", "sha1")
     tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return files.repartition(tasks, "file").mapInArrow(read, _RECORDS)
 

@@ -186,13 +186,59 @@ def test_damage_is_noticed(spark, tmp_path):
         warc.read_archives(spark, str(folder)).collect()
 
 
-def test_shards_divide_crowded_ranges(spark):
-    rows = [(i, 100) for i in range(1000)] + [(10**12 + i, 100) for i in range(1000)] + [(-7, 50_000)]
-    starts = warc.boundaries(spark.createDataFrame(rows, "page_id bigint, bytes bigint"), 10_000)
-    where = np.searchsorted(starts, [r[0] for r in rows], "right")
-    volume = np.bincount(where, [r[1] for r in rows])
-    assert (np.sort(volume)[:-1] <= 10_000).all() and volume.max() == 50_000 and len(volume) < 60
-    assert len(warc.boundaries(spark.createDataFrame([], "page_id bigint, bytes bigint"), 10)) == 0
+def test_shards_divide_crowded_ranges_and_ids(spark):
+    rng = np.random.default_rng(2)
+    mark = lambda: int(rng.integers(0, 16 ** warc.DIGITS))
+    rows = [(i, mark(), 100) for i in range(1000)] + [(10**12 + i, mark(), 100) for i in range(1000)]
+    rows += [(-7, mark(), 50_000)]  # one row
+    rows += [(5, mark(), 1000) for _ in range(400)] + [(warc.NO_ID, mark(), 1000) for _ in range(300)]  # hot ids
+    rows += [(2**63 - 1, mark(), 100), (-(2**63) + 1, 4, 100)]
+    df = spark.createDataFrame(rows, "page_id bigint, mark bigint, bytes bigint").repartition(5)
+    starts = warc.boundaries(df, 10_000)
+    pairs = list(zip(*(x.tolist() for x in starts)))
+    assert pairs == sorted(set(pairs))
+    ids, marks, sizes = (np.array([r[i] for r in rows], np.int64) for i in range(3))
+    where = warc.last_not_after(*starts, ids, marks)
+    assert where.tolist() == [sum(p <= r[:2] for p in pairs) for r in rows]
+    volume = np.bincount(where, sizes)
+    assert (np.sort(volume)[:-1] <= 10_000).all() and volume.max() == 50_000 and len(volume) < 250
+    assert len(set(where[ids == 5])) >= 40 and len(set(where[ids == warc.NO_ID])) >= 30
+    assert len(warc.boundaries(spark.createDataFrame([], df.schema), 10)[0]) == 0
+
+
+def test_one_job_a_level(spark):
+    df = spark.range(100_000).selectExpr("id * id as page_id", "id as mark", "10L as bytes").cache()
+    df.count()
+    spark.sparkContext.setJobGroup("levels", "")
+    warc.boundaries(df, 200)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("levels"))
+    spark.sparkContext.setJobGroup("after", "")
+    df.unpersist()
+    assert jobs <= 20  # two for each level, and the totals
+
+
+def test_hot_and_missing_ids_are_spread_and_read_back(spark, tmp_path):
+    rows = [(7, f"http://a/{i}", f"text {i} " * 40) for i in range(200)]
+    rows += [(None, None, f"other {i} " * 40) for i in range(100)] + [(i, "http://b", "small") for i in range(10, 40)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4)
+    manifest = warc.write_archives(pages, str(tmp_path / "a"), warc.Archive(shard_bytes=20_000, revisit_bytes=100)).collect()
+    assert len({r.shard for r in manifest}) > 15 and not list((tmp_path / "a" / "_temporary").iterdir())
+    back = warc.read_archives(spark, str(tmp_path / "a")).collect()
+    assert sorted((r.page_id or -1, r.payload_digest) for r in back) == sorted(
+        (i or -1, hashlib.sha1(h.encode()).hexdigest()) for i, _, h in rows)
+    assert {r.record_type for r in back} == {"response"}
+
+
+def test_other_files_than_those_of_the_manifest_fail(spark, tmp_path):
+    import re as r
+
+    folder = tmp_path / "a"
+    warc.write_archives(pages_frame(spark), str(folder))
+    for part in (folder / "_manifest").glob("*.json"):
+        part.write_text(r.sub('"sha1":"..', '"sha1":"00', part.read_text()))
+        (folder / "_manifest" / f".{part.name}.crc").unlink(missing_ok=True)
+    with pytest.raises(Exception, match="not the file of the manifest"):
+        warc.read_archives(spark, str(folder)).collect()
 
 
 def test_no_pages(spark, tmp_path):
