@@ -92,19 +92,26 @@ class SeriesFrame:
                 "*", (F.row_number().over(ordered) - 1).cast("bigint").alias(position)
             ).withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(KEY)))
         if long is not None:
-            sizes = long.groupBy(KEY, BLOCK).agg(F.count(F.lit(1)).alias("_rows"))
-            starts = sizes.select(
-                KEY, BLOCK,
+            sizes = long.groupBy(KEY, BLOCK).agg(
+                F.count(F.lit(1)).alias("_rows"), F.min(IDX).alias("_first"), F.max(IDX).alias("_last"))
+            # Kept, as it is asked twice and is a row a block.
+            starts = store(sizes.select(
+                KEY, BLOCK, "_first",
                 _rows_before(BLOCK).alias("_start"),
                 F.sum("_rows").over(Window.partitionBy(KEY)).alias(total),
-            )
-            in_block = Window.partitionBy(KEY, BLOCK).orderBy(IDX)
+                (F.col("_last") - F.col("_first") + 1 > F.col("_rows")).alias("_gaps"),
+            ), "blocks")
+            if starts.filter("_gaps").isEmpty():  # what is left of a block is one piece
+                local = F.col(IDX) - F.col("_first")
+            else:
+                in_block = Window.partitionBy(KEY, BLOCK).orderBy(IDX)
+                long = long.withColumn("_local", F.row_number().over(in_block) - 1)
+                local = F.col("_local")
             blocks = self.lengths.long_rows // self.block_rows + self.lengths.long_series
-            long = long.withColumn("_local", F.row_number().over(in_block) - 1)
             long = (
-                join_series(long, broadcast_up_to(starts, blocks), BLOCK)
-                .withColumn(position, F.col("_start") + F.col("_local"))
-                .drop("_start", "_local")
+                join_series(long, broadcast_up_to(starts.drop("_gaps"), blocks), BLOCK)
+                .withColumn(position, F.col("_start") + local)
+                .drop("_start", "_first", "_local")
             )
         return replace(self, short=short, long=long)
 

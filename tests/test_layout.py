@@ -254,3 +254,16 @@ def test_learned_windows_longer_than_a_pack(spark, monkeypatch):
     plain = windows.supervised_rows(df, PLAIN, 40).orderBy("idx").collect()
     assert [(r.idx, r.split, r.x, r.delta_target) for r in rows] == [
         (r.idx, r.split, pytest.approx(r.x), pytest.approx(r.delta_target)) for r in plain]
+
+
+def test_rows_left_in_one_piece_are_not_numbered_again(spark):
+    values = ((F.col("id") * 37) % 101).cast("double")
+    df = spark.range(500).select(F.lit("a").alias("series_id"), F.col("id").alias("t"), values.alias("y"))
+    gaps = df.withColumn("y", F.when(F.col("t") % 7 != 3, F.col("y")))
+    windows_of = {}
+    for name, rows in (("whole", df), ("gaps", gaps)):
+        table = features.feature_table(rows, Layout("auto", block_rows=90))
+        plan = table._jdf.queryExecution().sparkPlan().toString()
+        windows_of[name] = len(re.findall(r"^\W*Window\b", plan, re.M))
+        assert same(rows_of(table, "t"), rows_of(features.feature_table(rows, PLAIN), "t"))
+    assert windows_of["whole"] == windows_of["gaps"] - 1
