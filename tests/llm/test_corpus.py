@@ -260,7 +260,7 @@ def test_query_equals_its_sql(spark, sf, name):
 
 
 def test_every_operator_is_registered():
-    assert {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 def test_pipeline_stages_one_by_one(spark, sf):
