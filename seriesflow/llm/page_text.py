@@ -8,8 +8,12 @@ over all slices by an aggregate, so a host may be of any size. A string is repea
 pages of different content have it; copies of a page are one page.
 
 Blocks covered by repeated strings are boilerplate and go, unique runs stay. Markup speaks
-where repetition cannot: menus, footers, forms and the like go also on hosts of one page,
-and the blocks of an ``article`` element stay although other pages quote or copy them.
+where repetition cannot: menus, footers, forms and the like go also on hosts of one page.
+
+The texts of ``article`` elements are streams of their own in the same arrays. Pages quote and
+copy each other's articles, so a string that two pages share is still article text there; one
+that most pages of the host have in their articles, of many different contents, is a notice
+or an advert of the host.
 """
 
 from __future__ import annotations
@@ -30,6 +34,7 @@ from seriesflow.sources.storage import store
 WINDOW = 8  # tokens compared
 NEIGHBOURS = 5  # the smallest of so many consecutive windows speaks for them
 COVERED = 2 / 3  # share of its words that makes a block boilerplate
+KINDS = 8  # different contents, at least, that have a notice in their articles
 KNOWN = 1_000_000  # repeated windows that may be broadcast (8 bytes each)
 SLICE = 4 << 20
 SALTS = 16
@@ -63,6 +68,7 @@ _PIECE = re.compile(
 _ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 _WORD = re.compile(r"[a-z]+")
 END, GAP = "\x00end", "\x00article"
+INNER = "article\x00"  # before the host, for the streams of its articles
 
 
 @dataclass(slots=True)
@@ -72,12 +78,14 @@ class Block:
     labelled: bool  # markup says that it is not the article
     links: int  # words inside links
     words: int
-    first: int  # token of its first word; -1 inside an article
+    first: int  # its first word in the page's tokens, or inner tokens if it is inside an article
+    inside: bool
 
 
 @dataclass(slots=True)
 class Page:
     tokens: list[str] = field(default_factory=list)
+    inner: list[str] = field(default_factory=list)  # of articles
     blocks: list[Block] = field(default_factory=list)
 
 
@@ -143,14 +151,21 @@ class Reader:
                 _, drop, place = stack[-1]
                 inside = place == "article" and not drop
                 page.blocks.append(Block(" ".join(words), place, drop > 0, min(links, len(words)), len(words),
-                                         -1 if inside else len(page.tokens)))
+                                         len(page.inner if inside else page.tokens), inside))
                 if not inside:
                     page.tokens.extend(words)
-                elif not page.tokens or page.tokens[-1] is not GAP:
-                    page.tokens.append(GAP)
+                else:
+                    page.inner.extend(words)
+                    if not page.tokens or page.tokens[-1] is not GAP:
+                        page.tokens.append(GAP)
             pieces.clear()
             links = 0
 
+        def mark(token):
+            page.tokens.append(token)
+            if stack[-1][2] == "article":
+                page.inner.append(token)
+
         def close(names):
             while True:
                 name = stack.pop()[0]
@@ -184,14 +199,14 @@ class Reader:
                         flush()  # the end of what was marked inside a block
                     close((name,))
                 if block:
-                    page.tokens.append(token)
+                    mark(token)
                 continue
             if name == "a":
                 linked = True
             if block:
                 if opened["p"] > 0:
                     close(("p",))
-                page.tokens.append(token)
+                mark(token)
             if name in SIBLINGS:
                 alike, around = SIBLINGS[name]
                 for other, _, _ in reversed(stack):
@@ -225,12 +240,16 @@ class Reader:
         return page
 
 
-def main_text(page: Page, covered: np.ndarray) -> str:
-    """Blocks of the article; without such an element, the main part's unique blocks.
+def main_text(page: Page, covered: np.ndarray, notices: np.ndarray | None = None) -> str:
+    """Blocks of the article without the host's notices; without such an element, the main
+    part's unique blocks. ``covered`` and ``notices`` mark tokens and inner tokens of the page.
 
     Mostly linked blocks are menus. If no unique block is left, the page is a copy and keeps
-    its repeated ones.
+    its repeated ones; so does an article of which notices would be half or more.
     """
+    def left(blocks, marks):
+        return [b for b in blocks if marks[b.first:b.first + b.words].sum() < COVERED * b.words]
+
     free = [b for b in page.blocks if not b.labelled]
     for place in ("article", "main", ""):
         chosen = [b for b in free if b.place == place] if place else free
@@ -238,8 +257,11 @@ def main_text(page: Page, covered: np.ndarray) -> str:
             break
     if chosen and chosen[0].place != "article":
         plain = [b for b in chosen if 2 * b.links <= b.words]
-        unique = [b for b in plain if covered[b.first:b.first + b.words].sum() < COVERED * b.words]
-        chosen = unique or plain
+        chosen = left(plain, covered) or plain
+    elif chosen and notices is not None:
+        own = left(chosen, notices)
+        if 2 * sum(b.words for b in own) > sum(b.words for b in chosen):
+            chosen = own
     return "\n\n".join(b.text for b in chosen)
 
 
@@ -291,21 +313,47 @@ def windows_of(streams: list[list[str]], hosts: list[str]):
     return tokens, place, np.repeat(np.arange(len(streams)), lengths), value[place], speaks[place]
 
 
-def repeats_in(streams, hosts, contents: np.ndarray):
-    """Windows of a slice that speak, with the least and largest content hash of their pages."""
+def _sorted_windows(streams, hosts):
+    """By the suffix array of the streams: window and page of each place that begins at a token,
+    where each different window begins, and which of these speak."""
     tokens, place, page, value, speaks = windows_of(streams, hosts)
     if not len(place):
-        return value, contents[:0], contents[:0]
+        return value, page, place, speaks
     order, _ = suffix_array(tokens, WINDOW)
     at = np.full(len(tokens), -1)
     at[place] = np.arange(len(place))
     order = at[order]
     order = order[order >= 0]  # the suffixes that begin at a token
-    begin = np.flatnonzero(np.append(True, value[order][1:] != value[order][:-1]))
-    low = np.minimum.reduceat(contents[page[order]], begin)
-    high = np.maximum.reduceat(contents[page[order]], begin)
-    speaking = np.logical_or.reduceat(speaks[order], begin)
-    return value[order[begin]][speaking], low[speaking], high[speaking]
+    value = value[order]
+    begin = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
+    return value, page[order], begin, np.logical_or.reduceat(speaks[order], begin)
+
+
+def repeats_in(streams, hosts, contents: np.ndarray):
+    """Windows of a slice that speak, with the least and largest content hash of their pages."""
+    value, page, begin, speaking = _sorted_windows(streams, hosts)
+    if not len(value):
+        return value, contents[:0], contents[:0]
+    low = np.minimum.reduceat(contents[page], begin)
+    high = np.maximum.reduceat(contents[page], begin)
+    return value[begin][speaking], low[speaking], high[speaking]
+
+
+def spread_in(streams, hosts, contents: np.ndarray):
+    """Windows of a slice that speak, with one of their pages, their number of pages and a bit
+    for the content of each (of 64: the bits of several slices can be united). Windows come
+    page by page."""
+    value, page, begin, speaking = _sorted_windows(streams, hosts)
+    if not len(value):
+        return value, page, page, contents[:0]
+    # equal windows are in the order of their places, so a page's are neighbours
+    new = np.append(True, page[1:] != page[:-1])
+    new[begin] = True
+    pages = np.add.reduceat(new.astype(np.int64), begin)
+    bits = np.bitwise_or.reduceat(np.left_shift(np.int64(1), contents[page] & 63), begin)
+    some = np.flatnonzero(speaking)
+    some = some[np.argsort(page[begin[some]], kind="stable")]
+    return value[begin[some]], page[begin[some]], pages[some], bits[some]
 
 
 def cover(streams, hosts, known) -> list[np.ndarray]:
@@ -345,19 +393,46 @@ def _slices(batches):
             yield batch, a, b, pages, batch.column(1).slice(a, b - a).to_pylist(), np.array(content, np.uint64)
 
 
+def _streams(pages: list[Page], hosts: list[str]):
+    """Tokens of the pages, then those of their articles, and what keeps their strings apart."""
+    return [p.tokens for p in pages] + [p.inner for p in pages], hosts + [INNER + h for h in hosts]
+
+
 def repeated_windows(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """Column ``window``: hashes of the windows that pages of different content on one host share."""
+    """Column ``window``: hashes of the windows that pages of different content on one host
+    share, and of those in the articles of most of the host's pages that have articles, of
+    ``KINDS`` different contents or more."""
     small_batches(pages)
 
     def run(batches):
         for _, _, _, read, hosts, content in _slices(batches):
             value, low, high = repeats_in([p.tokens for p in read], hosts, _signed(content))
-            yield pa.RecordBatch.from_arrays([pa.array(_signed(value)), pa.array(low), pa.array(high)],
-                                             names=["window", "low", "high"])
+            some = [i for i, p in enumerate(read) if p.inner]
+            names = [INNER + hosts[i] for i in some]
+            own = [xxhash.xxh64_intdigest("\n".join(read[i].inner)) for i in some]
+            inner, page, n, bits = spread_in([read[i].inner for i in some], names, _signed(np.array(own, np.uint64)))
+            salts = np.fromiter(map(xxhash.xxh64_intdigest, names), np.uint64, len(names))
+            of_host, counts = np.unique(salts, return_counts=True)
+            sizes = [len(value), len(inner), len(of_host)]
+
+            def column(*parts):
+                return pa.concat_arrays([pa.nulls(size, pa.int64()) if part is None else pa.array(part, pa.int64())
+                                         for part, size in zip(parts, sizes)])
+
+            yield pa.RecordBatch.from_arrays(
+                [column(None, _signed(salts[page]), _signed(of_host)), column(_signed(value), _signed(inner), None),
+                 column(low, None, None), column(high, None, None), column(None, n, counts), column(None, bits, None)],
+                names=["host", "window", "low", "high", "n", "bits"])
 
-    found = pages.select(*_page_columns(pages, html, url)).mapInArrow(run, "window bigint, low bigint, high bigint")
-    return (found.groupBy("window").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-            .where("low != high").select("window"))
+    found = pages.select(*_page_columns(pages, html, url)).mapInArrow(
+        run, "host bigint, window bigint, low bigint, high bigint, n bigint, bits bigint")
+    merged = found.groupBy("host", "window").agg(F.min("low").alias("low"), F.max("high").alias("high"),
+                                                 F.sum("n").alias("n"), F.bit_count(F.bit_or("bits")).alias("kinds"))
+    merged = store(merged.where((F.col("low") != F.col("high")) | F.col("window").isNull()
+                                | (F.col("kinds") >= KINDS)), "strings")
+    hosts = merged.where(F.col("window").isNull()).select("host", F.col("n").alias("pages"))
+    inside = merged.where(F.col("window").isNotNull()).join(hosts, "host").where(2 * F.col("n") > F.col("pages"))
+    return merged.where(F.col("host").isNull()).select("window").unionAll(inside.select("window"))
 
 
 def extract(pages: DataFrame, keep: list[str], html: str = "html", url: str = "url", known: int = KNOWN) -> DataFrame:
@@ -379,8 +454,8 @@ def extract(pages: DataFrame, keep: list[str], html: str = "html", url: str = "u
 
     def texts(batches, lookup):
         for batch, a, b, read, hosts, _ in _slices(batches):
-            marks = cover([p.tokens for p in read], hosts, lookup(batch, a, b))
-            found = [main_text(p, m) for p, m in zip(read, marks)]
+            marks = cover(*_streams(read, hosts), lookup(batch, a, b))
+            found = [main_text(p, *m) for p, *m in zip(read, marks, marks[len(read):])]
             rest = [batch.column(i + 2).slice(a, b - a) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays(
                 [*rest, pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())],
@@ -402,9 +477,9 @@ def extract(pages: DataFrame, keep: list[str], html: str = "html", url: str = "u
 
     def ask(batches):
         for batch, a, b, read, hosts, _ in _slices(batches):
-            _, _, page, value, speaks = windows_of([p.tokens for p in read], hosts)
+            _, _, page, value, speaks = windows_of(*_streams(read, hosts))
             rows = batch.column(batch.num_columns - 1).slice(a, b - a).to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(rows[page[speaks]]), pa.array(_signed(value[speaks]))],
+            yield pa.RecordBatch.from_arrays([pa.array(rows[page[speaks] % (b - a)]), pa.array(_signed(value[speaks]))],
                                              names=["row_", "window"])
 
     salt = F.pmod(F.col("row_"), F.lit(SALTS)).cast("int").alias("salt")
@@ -420,10 +495,10 @@ def extract(pages: DataFrame, keep: list[str], html: str = "html", url: str = "u
 
             def known(values, page):
                 hit = np.zeros(len(values), bool)
-                ends = np.searchsorted(page, np.arange(b - a + 1))
+                ends = np.searchsorted(page, np.arange(2 * (b - a) + 1))
                 for i, (first, last) in enumerate(zip(ends[:-1], ends[1:])):
                     if last > first:
-                        hit[first:last] = is_in(answered[i].values.to_numpy(), _signed(values[first:last]))
+                        hit[first:last] = is_in(answered[i % (b - a)].values.to_numpy(), _signed(values[first:last]))
                 return hit
 
             return known

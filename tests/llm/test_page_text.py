@@ -106,6 +106,48 @@ def test_unique_runs_stay(spark, known):
     assert sorted(r.n_chars for r in rows if r.page_id is None) == [0, 10 * 50_000 - 1]
 
 
+NOTICE = "Readers of this harbour page get every new story by letter if they leave an address at the desk"
+
+
+def article_rows():
+    """Articles with a notice that no markup tells, with a quote, with and without near copies."""
+    quote = f"<p>{PROSE}</p>"
+
+    def article(i, more=""):
+        return f"<article><h1>{unique(1000 + i)}</h1><p>{unique(i)}</p>{more}<div>{NOTICE}</div><p>{unique(500 + i)}</p></article>"
+
+    rows = [(i, f"https://one.example/{i}", MENU + article(i, quote if i % 3 == 0 else "")) for i in range(30)]
+    rows += [(i, f"https://one.example/{i}", "<p>no article here</p>") for i in range(30, 90)]
+    # every article of the host is the same but for a few words: all of it stays
+    rows += [(i, f"https://copies.example/{i}", f"<article><p>{unique(1)}</p><p>{unique(i)}</p><p>{unique(3)}</p><p>{unique(4)}</p></article>")
+             for i in range(100, 120)]
+    # copies of two articles are two kinds, whatever their number
+    rows += [(i, f"https://two.example/{i}", article(i % 2)) for i in range(200, 230)]
+    # what the articles of some pages say, others have outside of them
+    rows += [(i, f"https://mixed.example/{i}", f"<p>{PROSE}</p>" if i == 300 else f"<article><p>{unique(i)}</p><p>{PROSE}</p><p>{unique(i + 50)}</p></article>")
+             for i in range(300, 304)]
+    return rows
+
+
+@pytest.mark.parametrize("known", [10**6, 0])
+def test_strings_of_most_articles_of_a_host_are_notices(spark, known):
+    pages = spark.createDataFrame(article_rows(), "page_id bigint, url string, html string").repartition(5)
+    found = {r.page_id: r.text.split("\n\n") for r in page_text.extract(pages, ["page_id"], known=known).collect()}
+    for i in range(30):
+        assert found[i] == [unique(1000 + i), unique(i), *([PROSE] if i % 3 == 0 else []), unique(500 + i)]
+    assert all(found[i] == [unique(1), unique(i), unique(3), unique(4)] for i in range(100, 120))
+    assert all(found[i] == [unique(1000 + i % 2), unique(i % 2), NOTICE, unique(500 + i % 2)] for i in range(200, 230))
+    assert found[300] == [PROSE] and found[301] == [unique(301), PROSE, unique(351)]
+
+
+def test_pages_of_a_window_are_counted_once():
+    streams = [["a"] * 20, ["a"] * 9 + ["b"] * 9, ["c"] * 10, []]
+    value, page, n, bits = page_text.spread_in(streams, ["h"] * 4, np.array([1, 1, 66, 3], np.int64))
+    assert list(page) == sorted(page) and len(set(value)) == len(value)
+    assert n.max() == 2 and set(bits[n == 2]) == {2} and set(bits[page == 2]) == {4}
+    assert all(len(part) == 0 for part in page_text.spread_in([], [], np.array([], np.int64)))
+
+
 def test_other_columns_and_empty_tables(spark):
     columns = "page_id bigint, url string, html string, text string, window string, row_ string"
     pages = spark.createDataFrame([(1, "http://h/", "<p>a b</p>", "t", "w", "r")] * 2, columns)
