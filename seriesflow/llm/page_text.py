@@ -277,17 +277,16 @@ def doubled(tokens: np.ndarray, size: int) -> np.ndarray:
 def suffix_array(tokens: np.ndarray, size: int):
     """Places sorted by the ``size`` tokens from there on, and the rank of each place."""
     _, rank = np.unique(tokens, return_inverse=True)
-    order, width = np.argsort(rank, kind="stable"), 1
+    width = 1
     while width < size:
-        beyond = np.zeros(len(rank), np.int64)
-        beyond[:-width] = rank[width:] + 1
-        key = rank * (len(rank) + 1) + beyond
-        order = np.argsort(key, kind="stable")
-        change = np.diff(key[order]) != 0
+        key = rank * (len(rank) + 1)
+        key[:-width] += rank[width:] + 1
+        order = np.argsort(key)
+        ordered = key[order]
         rank = np.empty_like(order)
-        rank[order] = np.append(0, np.cumsum(change))
+        rank[order] = np.append(0, np.cumsum(ordered[1:] != ordered[:-1]))
         width *= 2
-    return order, rank
+    return np.argsort(rank, kind="stable"), rank
 
 
 def windows_of(streams: list[list[str]], hosts: list[str]):
@@ -306,10 +305,11 @@ def windows_of(streams: list[list[str]], hosts: list[str]):
     inside = within(lengths)
     place = np.repeat(starts_of(lengths + pad), lengths) + inside
     # a window speaks if it is the smallest of some NEIGHBOURS consecutive ones of its page
+    depth = np.full(len(value), -1)
+    depth[place] = inside
     speaks = np.zeros(len(value), bool)
     for i in range(NEIGHBOURS):
-        at = place[inside >= i]
-        speaks[at] |= value[at] == least[at - i]
+        speaks[i:i + len(least)] |= (value[i:i + len(least)] == least) & (depth[i:i + len(least)] >= i)
     return tokens, place, np.repeat(np.arange(len(streams)), lengths), value[place], speaks[place]
 
 
