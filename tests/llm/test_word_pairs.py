@@ -94,13 +94,14 @@ def test_deleted_table_is_gone(spark):
     assert not os.path.exists(folder) and os.path.isdir(os.path.dirname(folder))
 
 
-def test_packing():
+@pytest.mark.parametrize("low", [0, 3, 8])
+def test_packing(low):
     rng = np.random.default_rng(1)
-    arrays = [(np.zeros(0, np.uint64), "<u8"), (rng.integers(0, 1 << 63, 3000).astype(np.uint64), "<u8"),
-              (np.zeros(500, np.int64), "<u4"), (rng.integers(0, 2, 999).astype(bool), "<u1"),
-              (np.array([1 << 40], np.int64), "<u8")]
-    for some in ([], arrays[:1], arrays):
-        found = word_pairs._unpack(word_pairs._pack(some), [k for _, k in some])
+    arrays = [(np.zeros(0, np.uint64), "<u8"), (rng.integers(0, 1 << 63, 3000).astype(np.uint64) * np.uint64(2), "<u8"),
+              (np.zeros(500, np.int64), "<u4"), (rng.integers(0, 2, 2999).astype(bool), "<u1"), (np.zeros(2500, np.int64), "<u4"),
+              (rng.integers(0, 70_000, 2048), "<u4"), (np.array([1 << 40], np.int64), "<u8"), (np.arange(300), "<u4")]
+    for some in ([], arrays[:1], arrays, arrays[::-1]):
+        found = word_pairs._unpack(word_pairs._pack([(a, k, low) for a, k in some]), [k for _, k in some])
         assert [f.tolist() for f in found] == [a.astype(k).tolist() for a, k in some]
 
 
